@@ -11,10 +11,8 @@ CHARSET = (
 CHARSET_RE = "^[" + CHARSET + "\\.\\-]+$"
 
 # A word: letters, marks, digits and '_', with inner '.' or '-'.
-# The outer repetition is possessive: nothing follows it, so it matches the same
-# text as a plain '*', but Java then loops instead of recursing on long tokens.
 WORD = "[\\p{L}\\p{M}\\p{N}_]+"
-TOKEN_RE = WORD + "(?:[.\\-]" + WORD + ")*+"
+TOKEN_RE = WORD + "(?:[.\\-]" + WORD + ")*"
 
 MIN_TOKEN_LENGTH = 2
 REPLACEMENT_CHARACTER = "�"

@@ -17,8 +17,8 @@ from docquarry.functions.fixed import (
 
 # Blocks whose characters never combine and are never rewritten by NFC. A text
 # made only of them is already in NFC and need not leave the JVM.
-NFC_STABLE = (
-    "\\u0000-\\u02FF"  # Latin, Latin-1, Latin Extended-A/B, IPA
+NFC_STABLE_LATIN = "\\u0000-\\u02FF"  # Latin, Latin-1, Latin Extended-A/B, IPA
+NFC_STABLE_OTHER = (
     "\\u0400-\\u0482"  # Cyrillic
     "\\u1E00-\\u1EFF"  # Latin Extended Additional (Vietnamese)
     "\\u2010-\\u2027\\u2030-\\u205E"  # punctuation
@@ -27,6 +27,14 @@ NFC_STABLE = (
     "\\uAC00-\\uD7A3"  # Hangul syllables
     "\\uFFFD"
 )
+# One range at a time: a single class of many ranges tests them all per character.
+NFC_STABLE_RE = (
+    f"\\A[{NFC_STABLE_LATIN}]*+(?:[{NFC_STABLE_OTHER}]++[{NFC_STABLE_LATIN}]*+)*+\\z"
+)
+
+# TOKEN_RE for Java: nothing follows the repetitions, so possessive ones match the
+# same text, but loop instead of recursing on long tokens.
+_TOKEN_RE = TOKEN_RE.replace("]+", "]++").replace(")*", ")*+")
 
 
 def _nfc_udf():
@@ -41,9 +49,13 @@ def _nfc_udf():
 _nfc = _nfc_udf()
 
 
+def _is_ascii(text: Column) -> Column:
+    return F.length(text) == F.octet_length(text)
+
+
 def nfc(text: Column) -> Column:
     """Unicode NFC. Only texts that may change are sent to the Arrow UDF."""
-    may_change = text.rlike("[^" + NFC_STABLE + "]")
+    may_change = ~(_is_ascii(text) | text.rlike(NFC_STABLE_RE))
     return F.coalesce(_nfc(F.when(may_change, text)), text)
 
 
@@ -55,12 +67,17 @@ def clean_text(text: Column) -> Column:
 
 def word_tokens(cleaned: Column) -> Column:
     """All words of a cleaned text, in order."""
-    return F.regexp_extract_all(cleaned, F.lit(TOKEN_RE), F.lit(0))
+    return F.regexp_extract_all(cleaned, F.lit(_TOKEN_RE), F.lit(0))
 
 
 def is_kept(token: Column) -> Column:
-    """Long enough and wholly inside the character set."""
-    return (F.length(token) >= MIN_TOKEN_LENGTH) & token.rlike(CHARSET_RE)
+    """Long enough and wholly inside the character set.
+
+    For words of a cleaned text: those in ASCII are lower case letters, digits,
+    '_', '.' and '-', all of them in the set, and skip the pattern.
+    """
+    inside = _is_ascii(token) | token.rlike(CHARSET_RE)
+    return (F.length(token) >= MIN_TOKEN_LENGTH) & inside
 
 
 def kept_tokens(cleaned: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docquarry.functions.fixed import CHARSET_RE, WORD
+from docquarry.functions.fixed import CHARSET_RE, TOKEN_RE
 from docquarry.plans.workspace import LABEL_BLOCK
 from docquarry.registry.queries import (
     CUTOFF,
@@ -12,15 +12,12 @@ from docquarry.registry.queries import (
     STOPWORD_SHARE,
 )
 
-TOKEN = WORD + "(?:[.\\-]" + WORD + ")*"
-
-
 def _clean(text: str) -> str:
     return f"replace(lower(nfc_normalize(coalesce({text}, ''))), chr(65533), ' ')"
 
 
 def _words(text: str) -> str:
-    return f"regexp_extract_all({_clean(text)}, '{TOKEN}')"
+    return f"regexp_extract_all({_clean(text)}, '{TOKEN_RE}')"
 
 
 KEPT = f"length(token) >= 2 AND regexp_matches(token, '{CHARSET_RE}')"
