@@ -20,14 +20,23 @@ def one_row_per_id(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return docs.groupBy(key).agg(F.min("text").alias("text"))
 
 
-def tokenise(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> (doc_id, tokens): the kept tokens in text order."""
-    return docs.select("doc_id", kept_tokens(clean_text(F.col("text"))).alias("tokens"))
+def clean(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with cleaned texts.
+
+    The Arrow UDF inside hides how its input is partitioned. Repartition after
+    this step; the steps below it then keep the partitioning.
+    """
+    return docs.select("doc_id", clean_text(F.col("text")).alias("text"))
+
+
+def tokenise(cleaned: DataFrame) -> DataFrame:
+    """(doc_id, tokens): the kept tokens in text order."""
+    return cleaned.select("doc_id", kept_tokens(F.col("text")).alias("tokens"))
 
 
-def words(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> (doc_id, tokens): all words, before any token is dropped."""
-    return docs.select("doc_id", word_tokens(clean_text(F.col("text"))).alias("tokens"))
+def words(cleaned: DataFrame) -> DataFrame:
+    """(doc_id, tokens): all words, before any token is dropped."""
+    return cleaned.select("doc_id", word_tokens(F.col("text")).alias("tokens"))
 
 
 def positions(tokens: DataFrame, *carry: str) -> DataFrame:

@@ -92,7 +92,9 @@ def score(
     scored = hits.groupBy(*keys, "doc_id").agg(*wanted)
     results = {METHOD_BM25: F.col("bm25")}
     if METHOD_TFIDF in methods:
-        scored = scored.join(index.norms, "doc_id", "left")
+        # both sides are bucketed by document: hashing the bucket's norms spares
+        # sorting its scores
+        scored = scored.join(index.norms.hint("shuffle_hash"), "doc_id", "left")
         length = F.col("q_norm") * F.coalesce("l2", F.lit(1.0))
         results[METHOD_TFIDF] = F.col("dot") / length
     pairs = [F.struct(F.lit(m).alias("method"), results[m].alias("score")) for m in methods]
@@ -123,9 +125,8 @@ def ranked_lists(ranking: DataFrame, keys: list[str]) -> DataFrame:
     return ranking.groupBy(*keys).agg(entries.getField("doc_id").alias("retrieved"))
 
 
-def excerpt(text: Column) -> Column:
-    shown = F.coalesce(text, F.lit(MISSING_TEXT))
-    return F.concat(F.substring(shown, 1, EXCERPT_LENGTH), F.lit(EXCERPT_SUFFIX))
+def head(text: Column) -> Column:
+    return F.substring(text, 1, EXCERPT_LENGTH)
 
 
 def with_excerpts(ranking: DataFrame, documents: DataFrame) -> DataFrame:
@@ -135,11 +136,12 @@ def with_excerpts(ranking: DataFrame, documents: DataFrame) -> DataFrame:
     documents first, so that no other text is joined or shuffled.
     """
     ids = broadcast_if_small(ranking.select("doc_id").distinct())
-    texts = documents.join(ids, "doc_id", "left_semi").select(
-        "doc_id", token_string(F.col("tokens")).alias("text")
+    heads = documents.join(ids, "doc_id", "left_semi").select(
+        "doc_id", head(token_string(F.col("tokens"))).alias("head")
     )
+    shown = F.coalesce("head", head(F.lit(MISSING_TEXT)))
     return (
-        ranking.join(texts, "doc_id", "left")
-        .withColumn("excerpt", excerpt(F.col("text")))
-        .drop("text")
+        ranking.join(heads, "doc_id", "left")
+        .withColumn("excerpt", F.concat(shown, F.lit(EXCERPT_SUFFIX)))
+        .drop("head")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docquarry.operators import postings as ops
 from docquarry.operators.compounds import join_compounds
 from docquarry.operators.corpus import (
+    clean,
     drop_stopwords,
     has_duplicate_ids,
     keep_valid,
@@ -17,6 +18,7 @@ from docquarry.operators.corpus import (
 )
 from docquarry.sources.index_store import Index, save_bucketed, save_plain
 from docquarry.sources.shared import new_path
+from docquarry.sources.tables import spread
 
 BYTES_PER_BUCKET = 2 * 1024**3
 MAX_BUCKETS = 100_000
@@ -42,7 +44,7 @@ def prepare_documents(
     stopwords: DataFrame | None = None,
 ) -> DataFrame:
     """Token arrays, one row per document, partitioned by document."""
-    placed = docs.select("doc_id", "text").repartition(buckets, "doc_id")
+    placed = clean(spread(docs, "doc_id")).repartition(buckets, "doc_id")
     if lexicon is None:
         tokens = tokenise(placed)
     else:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.operators.corpus import has_duplicate_ids, one_row_per_id
-from docquarry.operators.joins import fits
+from docquarry.operators.joins import broadcast_if_small, fits
 from docquarry.operators.metrics import judged_questions
 from docquarry.plans.indexing import bucket_count, build_index
 from docquarry.plans.retrieval import rank
@@ -129,16 +129,15 @@ class Workspace:
             .groupBy(*KEYS, block.alias("block"))
             .agg(relevant.alias("relevant"))
         )
-        rows = self.questions().join(grouped, KEYS, "left")
-        return materialise(
-            rows.select(
-                *KEYS,
-                "question",
-                F.col("relevant.doc_id").alias("cid"),
-                F.col("relevant.text").alias("context_list"),
-            ),
-            "labels",
+        questions = self.questions()
+        judged = grouped.join(broadcast_if_small(questions), KEYS).select(
+            *KEYS,
+            "question",
+            F.col("relevant.doc_id").alias("cid"),
+            F.col("relevant.text").alias("context_list"),
         )
+        unjudged = questions.join(self.judged(), KEYS, "left_anti")
+        return materialise(judged.unionByName(unjudged, allowMissingColumns=True), "labels")
 
     @cached_property
     def index(self) -> Index:

@@ -117,7 +117,7 @@ def reduce_tables_roundtrip(ws: Workspace) -> DataFrame:
 
 @query
 def tokens_clean(ws: Workspace) -> DataFrame:
-    return token_rows(corpus.tokenise(ws.spread_corpus()))
+    return token_rows(corpus.tokenise(corpus.clean(ws.spread_corpus())))
 
 
 @query
@@ -128,7 +128,7 @@ def tokens_nfc(ws: Workspace) -> DataFrame:
 
 @query
 def docs_token_string(ws: Workspace) -> DataFrame:
-    documents = postings.with_length(corpus.tokenise(ws.spread_corpus()))
+    documents = postings.with_length(corpus.tokenise(corpus.clean(ws.spread_corpus())))
     return documents.select("doc_id", token_string(F.col("tokens")).alias("content"), "dl")
 
 
@@ -143,7 +143,7 @@ def tokens_no_stopwords(ws: Workspace) -> DataFrame:
 
 
 def lexicon(ws: Workspace) -> DataFrame:
-    return compounds.learn_lexicon(corpus.words(ws.spread_corpus()), LEXICON_COUNT)
+    return compounds.learn_lexicon(corpus.words(corpus.clean(ws.spread_corpus())), LEXICON_COUNT)
 
 
 @query
@@ -163,7 +163,7 @@ def stopwords_load(ws: Workspace) -> DataFrame:
 
 @query
 def tokens_compound(ws: Workspace) -> DataFrame:
-    placed = ws.corpus().repartition(ws.index.buckets, "doc_id")
+    placed = corpus.clean(ws.spread_corpus()).repartition(ws.index.buckets, "doc_id")
     known = tables_once(ws, "lexicon", lexicon)
     joined = compounds.join_compounds(corpus.words(placed), known)
     return token_rows(corpus.keep_valid(joined))
