@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,7 +42,9 @@ def _nfc_udf():
     # a local function travels to the executors by value, so that they need no
     # copy of this package
     def normalise(texts: pa.Array) -> pa.Array:
-        return pc.utf8_normalize(texts, form="NFC")
+        return pa.array(
+            [v and unicodedata.normalize("NFC", v) for v in texts.to_pylist()], pa.string()
+        )
 
     return F.arrow_udf(normalise, T.StringType())
 

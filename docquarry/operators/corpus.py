@@ -63,9 +63,15 @@ def keep_valid(tokens: DataFrame) -> DataFrame:
 
 
 def drop_stopwords(tokens: DataFrame, stopwords: DataFrame) -> DataFrame:
-    """Remove the tokens listed in ``stopwords(term)``; repeated tokens stay."""
-    listed = broadcast_if_small(stopwords.select(F.col("term").alias("token")))
-    return regroup(positions(tokens).join(listed, "token", "left_anti"))
+    """Remove the tokens listed in ``stopwords(term)``; repeated tokens stay.
+
+    Listed tokens become null, not missing rows: a document of stopwords only
+    remains as an empty one, because the document count must not change.
+    """
+    listed = stopwords.select(F.col("term").alias("token"), F.lit(True).alias("listed"))
+    marked = positions(tokens).join(broadcast_if_small(listed.distinct()), "token", "left")
+    kept = F.when(F.col("listed").isNull(), F.col("token"))
+    return regroup(marked.select("doc_id", "pos", kept.alias("token")))
 
 
 def frequent_terms(terms: DataFrame, n_docs, share: float) -> DataFrame:

@@ -29,7 +29,7 @@ def _row_bytes(df: DataFrame, extra: int) -> Column:
     """Upper estimate of a row in a broadcast hash table."""
     total = F.lit(32 + extra)
     for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             total = total + 16 + F.coalesce(F.octet_length(field.name), F.lit(0))
         else:
             total = total + 16

@@ -16,7 +16,7 @@ from docquarry.operators.corpus import (
     tokenise,
     words,
 )
-from docquarry.sources.index_store import Index, save_bucketed, save_plain
+from docquarry.sources.index_store import Index, new_names, save_bucketed, save_plain
 from docquarry.sources.shared import new_path
 from docquarry.sources.tables import spread
 
@@ -69,21 +69,23 @@ def build_index(
     spark = docs.sparkSession
     path = path or new_path(spark, "index")
     buckets = buckets or bucket_count(docs, 0)
+    names = new_names()
+
+    def store(df: DataFrame, table: str) -> DataFrame:
+        return save_bucketed(df, path, table, buckets, names[table])
+
     if has_duplicate_ids(docs):
         docs = one_row_per_id(docs)
-    documents = save_bucketed(
-        prepare_documents(docs, buckets, lexicon, stopwords), path, "documents", buckets
-    )
-    corpus = save_plain(
-        ops.corpus_stats(documents).withColumn("buckets", F.lit(buckets)), path, "corpus"
-    )
-    posting_rows = save_bucketed(ops.postings(documents), path, "postings", buckets)
+    documents = store(prepare_documents(docs, buckets, lexicon, stopwords), "documents")
+    stats = ops.corpus_stats(documents).withColumn("buckets", F.lit(buckets))
+    corpus = save_plain(stats, path, "corpus")
+    posting_rows = store(ops.postings(documents), "postings")
     counts = posting_rows.select("doc_id", "term", "tf")
     n_docs = corpus.select("n_docs").scalar()
     terms = save_plain(
         ops.term_stats(counts, n_docs).sortWithinPartitions("term"), path, "terms"
     )
-    norms = save_bucketed(
-        ops.document_norms(ops.tfidf(counts, terms)), path, "norms", buckets
+    norms = store(ops.document_norms(ops.tfidf(counts, terms)), "norms")
+    return Index(
+        documents, posting_rows, norms, terms, corpus, path, buckets, tuple(names.values())
     )
-    return Index(documents, posting_rows, norms, terms, corpus, path, buckets)

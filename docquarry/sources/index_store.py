@@ -36,6 +36,7 @@ class Index:
     corpus: DataFrame
     path: str
     buckets: int
+    names: tuple[str, ...] = ()
 
     @property
     def spark(self) -> SparkSession:
@@ -46,18 +47,21 @@ class Index:
         return self.corpus.select(name).scalar()
 
 
-def save_bucketed(df: DataFrame, path: str, table: str, buckets: int) -> DataFrame:
-    spark = df.sparkSession
-    schema, order = BUCKETED[table]
-    name = f"docquarry_{table}_{uuid.uuid4().hex}"
+def new_names() -> dict[str, str]:
+    """Catalog names for the bucketed tables of one index."""
+    suffix = uuid.uuid4().hex
+    return {table: f"docquarry_{table}_{suffix}" for table in BUCKETED}
+
+
+def save_bucketed(df: DataFrame, path: str, table: str, buckets: int, name: str) -> DataFrame:
     (
         df.write.format("parquet")
         .bucketBy(buckets, "doc_id")
-        .sortBy(order)
+        .sortBy(BUCKETED[table][1])
         .option("path", f"{path}/{table}")
         .saveAsTable(name)
     )
-    return spark.table(name)
+    return df.sparkSession.table(name)
 
 
 def save_plain(df: DataFrame, path: str, table: str) -> DataFrame:
@@ -67,23 +71,32 @@ def save_plain(df: DataFrame, path: str, table: str) -> DataFrame:
 
 def save_index(index: Index, path: str) -> Index:
     """Copy an index to another place, keeping its bucketing."""
+    names = new_names()
     kept = {
-        t: save_bucketed(getattr(index, t), path, t, index.buckets) for t in BUCKETED
+        table: save_bucketed(getattr(index, table), path, table, index.buckets, name)
+        for table, name in names.items()
     }
-    kept |= {t: save_plain(getattr(index, t), path, t) for t in PLAIN}
-    return Index(**kept, path=path, buckets=index.buckets)
+    kept |= {table: save_plain(getattr(index, table), path, table) for table in PLAIN}
+    return Index(**kept, path=path, buckets=index.buckets, names=tuple(names.values()))
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
-    """Open a stored index; its bucketed tables are registered for the session."""
+    """Open a stored index; its bucketed tables are registered in the catalog."""
     tables = {t: spark.read.schema(s).parquet(f"{path}/{t}") for t, s in PLAIN.items()}
     buckets = tables["corpus"].first().buckets
-    for table, (schema, order) in BUCKETED.items():
-        name = f"docquarry_{table}_{uuid.uuid4().hex}"
+    names = new_names()
+    for table, name in names.items():
+        schema, order = BUCKETED[table]
         spark.sql(
             f"CREATE TABLE {name} ({schema}) USING parquet"
             f" CLUSTERED BY (doc_id) SORTED BY ({order}) INTO {buckets} BUCKETS"
             f" LOCATION '{path}/{table}'"
         )
         tables[table] = spark.table(name)
-    return Index(**tables, path=path, buckets=buckets)
+    return Index(**tables, path=path, buckets=buckets, names=tuple(names.values()))
+
+
+def unregister(index: Index) -> None:
+    """Remove an index from the catalog; its files stay and can be opened again."""
+    for name in index.names:
+        index.spark.sql(f"DROP TABLE IF EXISTS {name}")
