@@ -64,8 +64,16 @@ def nfc(text: Column) -> Column:
 
 def clean_text(text: Column) -> Column:
     """null -> '', NFC, lower case, replacement characters -> space."""
-    whole = nfc(F.coalesce(text, F.lit("")))
-    return F.replace(F.lower(whole), F.lit(REPLACEMENT_CHARACTER), F.lit(" "))
+    return _fold(nfc(F.coalesce(text, F.lit(""))))
+
+
+def _fold(text: Column) -> Column:
+    return F.replace(F.lower(text), F.lit(REPLACEMENT_CHARACTER), F.lit(" "))
+
+
+def literal_tokens(text: str) -> Column:
+    """Kept tokens of one given text, as a constant expression."""
+    return kept_tokens(_fold(F.lit(unicodedata.normalize("NFC", text))))
 
 
 def word_tokens(cleaned: Column) -> Column:

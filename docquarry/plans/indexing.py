@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.operators import postings as ops
@@ -24,17 +24,19 @@ BYTES_PER_BUCKET = 2 * 1024**3
 MAX_BUCKETS = 100_000
 
 
-def bucket_count(docs: DataFrame, input_bytes: int) -> int:
+def bucket_count(spark: SparkSession, input_bytes: int) -> int:
     """Enough buckets to use all cores and to keep each one near 2 GiB of input."""
-    cores = docs.sparkSession.sparkContext.defaultParallelism
+    cores = spark.sparkContext.defaultParallelism
     return min(MAX_BUCKETS, max(cores, -(-input_bytes // BYTES_PER_BUCKET)))
 
 
 def input_size(docs: DataFrame) -> int:
-    """Bytes of the files behind a file-based table; reads no column."""
-    meta = "_metadata.file_path", "_metadata.file_size"
-    files = docs.select(*meta).distinct()
-    return files.agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0]
+    """Bytes of the files behind a table; 0 if it was not read from files."""
+    files = docs.inputFiles()
+    if not files:
+        return 0
+    listed = docs.sparkSession.read.format("binaryFile").load(files)
+    return listed.agg(F.sum("length")).first()[0]
 
 
 def prepare_documents(
@@ -60,21 +62,23 @@ def build_index(
     buckets: int | None = None,
     lexicon: DataFrame | None = None,
     stopwords: DataFrame | None = None,
+    unique_ids: bool = False,
 ) -> Index:
     """Build and store all index tables of ``docs(doc_id, text)``.
 
     Each table is written once and the next one is derived from what was
     written, so nothing is tokenised twice and a lost executor costs its tasks.
+    ``unique_ids`` vouches for one row per document and skips the check.
     """
     spark = docs.sparkSession
     path = path or new_path(spark, "index")
-    buckets = buckets or bucket_count(docs, 0)
+    buckets = buckets or bucket_count(spark, input_size(docs))
     names = new_names()
 
     def store(df: DataFrame, table: str) -> DataFrame:
         return save_bucketed(df, path, table, buckets, names[table])
 
-    if has_duplicate_ids(docs):
+    if not unique_ids and has_duplicate_ids(docs):
         docs = one_row_per_id(docs)
     documents = store(prepare_documents(docs, buckets, lexicon, stopwords), "documents")
     stats = ops.corpus_stats(documents).withColumn("buckets", F.lit(buckets))

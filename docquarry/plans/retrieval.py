@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.functions.fixed import BM25_B, BM25_K1, K_VALUES, METHOD_BM25, METHOD_TFIDF
+from docquarry.functions.text import literal_tokens
 from docquarry.operators import questions as q
 from docquarry.operators import ranking as r
 from docquarry.sources.index_store import Index
@@ -38,14 +40,16 @@ def rank(
 
 
 def _retrieve(index: Index, query: str, method: str, k: int, **bm25) -> DataFrame:
-    one = index.spark.range(1).select(F.col("id").alias("qid"), F.lit(query).alias("question"))
-    tokens = q.question_tokens(one, ["qid"])
-    # the words of one query: few enough to be named in the scan filter, which
-    # skips all row groups of the term-sorted postings without them
-    named = [row.term for row in tokens.select("term").collect()]
-    postings = index.postings.filter(F.col("term").isin(named))
-    vectors = q.question_vectors(tokens, index.terms, ["qid"], small=True)
-    narrowed = replace(index, postings=postings)
+    spark = index.spark
+    counts = Counter(spark.range(1).select(literal_tokens(query)).first()[0])
+    tokens = spark.createDataFrame(
+        [(0, term, qtf) for term, qtf in counts.items()], "qid long, term string, qtf long"
+    )
+    # the words of one query: few enough to be named in the scan filters, which
+    # skip all row groups of the term-sorted tables without them
+    wanted = F.col("term").isin(list(counts))
+    vectors = q.question_vectors(tokens, index.terms.filter(wanted), ["qid"], small=True)
+    narrowed = replace(index, postings=index.postings.filter(wanted))
     scores = r.score(narrowed, vectors, ["qid"], True, (method,), **bm25)
     return r.top_k_single(scores, k).select("rank", "doc_id", "score")
 

@@ -11,7 +11,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.operators.corpus import has_duplicate_ids, one_row_per_id
+from docquarry.operators.compounds import learn_lexicon
+from docquarry.operators.corpus import clean, has_duplicate_ids, one_row_per_id, words
 from docquarry.operators.joins import broadcast_if_small, fits
 from docquarry.operators.metrics import judged_questions
 from docquarry.plans.indexing import bucket_count, build_index
@@ -23,6 +24,7 @@ from docquarry.sources.tables import CORPUS_SCHEMA, read_table, spread
 KEYS = ["split", "qid"]
 QUESTION_WORDS = 3
 GRAM = 3
+LEXICON_COUNT = 100
 
 # Ids a label row holds at most. A question with more relevant documents has
 # several label rows, one per block of ids, so that no row grows with the corpus.
@@ -89,6 +91,10 @@ class Workspace:
         docs = read_table(self.spark, path, CORPUS_SCHEMA)
         return one_row_per_id(docs) if self._repeated_ids else docs
 
+    def words(self) -> DataFrame:
+        """(doc_id, tokens) before any token is dropped."""
+        return words(clean(self.spread_corpus()))
+
     def spread_corpus(self) -> DataFrame:
         return spread(self.corpus(), "doc_id")
 
@@ -141,8 +147,13 @@ class Workspace:
 
     @cached_property
     def index(self) -> Index:
-        docs = self.table("documents")
-        return build_index(docs, buckets=bucket_count(docs, self.input_bytes))
+        buckets = bucket_count(self.spark, self.input_bytes)
+        return build_index(self.corpus(), buckets=buckets, unique_ids=True)
+
+    @cached_property
+    def lexicon(self) -> DataFrame:
+        """(t1, t2, n) as a written table."""
+        return materialise(learn_lexicon(self.words(), LEXICON_COUNT), "lexicon")
 
     @cached_property
     def ranking(self) -> DataFrame:
@@ -154,20 +165,17 @@ _open: dict[tuple, Workspace] = {}
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
-    """One workspace per session and state of the input files."""
-    files = None
-    for name in ("documents", "benchmark"):
-        meta = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(
-            "_metadata.file_path",
-            "_metadata.file_size",
-            "_metadata.file_modification_time",
-        )
-        files = meta if files is None else files.unionAll(meta)
-    state = files.distinct().agg(
-        F.sum("file_size").alias("size"),
-        F.bit_xor(F.xxhash64("file_path", "file_size", "file_modification_time")).alias("h"),
+    """One workspace per session and state of the input files.
+
+    Files are compared by path, length and time; their contents are not read.
+    """
+    paths = [f"{sf_dir}/{name}.parquet" for name in ("documents", "benchmark")]
+    files = spark.read.format("binaryFile").load(paths)
+    state = files.agg(
+        F.sum("length").alias("size"),
+        F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("hash"),
     ).first()
-    key = (spark.sparkContext.applicationId, sf_dir, state.size, state.h)
+    key = (spark.sparkContext.applicationId, sf_dir, state.size, state.hash)
     if key not in _open:
         _open[key] = Workspace(spark, sf_dir, state.size)
     return _open[key]

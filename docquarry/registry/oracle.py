@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from docquarry.functions.fixed import CHARSET_RE, TOKEN_RE
-from docquarry.plans.workspace import LABEL_BLOCK
+from docquarry.plans.workspace import LABEL_BLOCK, LEXICON_COUNT
 from docquarry.registry.queries import (
     CUTOFF,
-    LEXICON_COUNT,
     LOOKUP_ID,
     SAMPLE_ROWS,
     STOPWORD_SHARE,

@@ -15,7 +15,7 @@ from docquarry.operators.ranking import candidates, ranked_lists, with_excerpts
 from docquarry.plans.evaluation import Evaluation, evaluate, evaluate_ranking, save_evaluation
 from docquarry.plans.reduction import reduce_tables
 from docquarry.plans.retrieval import rank, retrieve, retrieve_bm25, vectors_of
-from docquarry.plans.workspace import KEYS, Workspace, workspace
+from docquarry.plans.workspace import KEYS, LEXICON_COUNT, Workspace, workspace
 from docquarry.sources import tables
 from docquarry.sources.index_store import open_index, save_index
 from docquarry.sources.shared import new_path
@@ -27,7 +27,6 @@ SAMPLE_ROWS = 500
 CUTOFF = 500
 LOOKUP_ID = 42
 STOPWORD_SHARE = 0.4
-LEXICON_COUNT = 100
 
 _queries: dict[str, Query] = {}
 
@@ -142,20 +141,16 @@ def tokens_no_stopwords(ws: Workspace) -> DataFrame:
     return token_rows(corpus.drop_stopwords(tokens, stopword_list(ws)))
 
 
-def lexicon(ws: Workspace) -> DataFrame:
-    return compounds.learn_lexicon(corpus.words(corpus.clean(ws.spread_corpus())), LEXICON_COUNT)
-
-
 @query
 def lexicon_learn(ws: Workspace) -> DataFrame:
-    return lexicon(ws)
+    return compounds.learn_lexicon(ws.words(), LEXICON_COUNT)
 
 
 @query
 def stopwords_load(ws: Workspace) -> DataFrame:
     path = new_path(ws.spark, "stopwords")
     single = stopword_list(ws).select(F.concat(F.lit("  "), "term", F.lit(" ")))
-    phrases = lexicon(ws).select(F.concat_ws(" ", "t1", "t2"))
+    phrases = ws.lexicon.select(F.concat_ws(" ", "t1", "t2"))
     blank = single.select(F.lit(" "))
     single.unionAll(phrases).unionAll(blank).unionAll(single).write.text(path)
     return tables.read_stopwords(ws.spark, path)
@@ -164,18 +159,10 @@ def stopwords_load(ws: Workspace) -> DataFrame:
 @query
 def tokens_compound(ws: Workspace) -> DataFrame:
     placed = corpus.clean(ws.spread_corpus()).repartition(ws.index.buckets, "doc_id")
-    known = tables_once(ws, "lexicon", lexicon)
-    joined = compounds.join_compounds(corpus.words(placed), known)
+    joined = compounds.join_compounds(corpus.words(placed), ws.lexicon)
     return token_rows(corpus.keep_valid(joined))
 
 
-def tables_once(ws: Workspace, label: str, make: Callable[[Workspace], DataFrame]) -> DataFrame:
-    """A small derived table that is both measured and joined: write it first."""
-    path = new_path(ws.spark, label)
-    tables.write_table(make(ws), path)
-    return tables.read_table(ws.spark, path)
-
-
 # --- index ------------------------------------------------------------------
 
 
