@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.functions.text import clean_text, is_kept, kept_tokens, word_tokens
-from docquarry.operators.joins import broadcast_if_small
+from docquarry.operators.joins import broadcast_limit, measure
+
+
+# Stopword lists up to this length are written into the filter expression.
+STOPWORDS_IN_PLACE = 10_000
 
 
 def has_duplicate_ids(docs: DataFrame, key: str = "doc_id") -> bool:
@@ -65,11 +69,20 @@ def keep_valid(tokens: DataFrame) -> DataFrame:
 def drop_stopwords(tokens: DataFrame, stopwords: DataFrame) -> DataFrame:
     """Remove the tokens listed in ``stopwords(term)``; repeated tokens stay.
 
-    Listed tokens become null, not missing rows: a document of stopwords only
-    remains as an empty one, because the document count must not change.
+    A list of ordinary length is named in the expression and filters each token array in
+    place. A longer one is joined: listed tokens become null, not missing rows, so that
+    a document of stopwords only remains as an empty one.
     """
-    listed = stopwords.select(F.col("term").alias("token"), F.lit(True).alias("listed"))
-    marked = positions(tokens).join(broadcast_if_small(listed.distinct()), "token", "left")
+    words = stopwords.select(F.col("term").alias("token")).distinct()
+    rows, size = measure(words)
+    if rows <= STOPWORDS_IN_PLACE and size <= broadcast_limit(tokens.sparkSession):
+        named = [row.token for row in words.collect()]
+        kept = F.filter("tokens", lambda token: ~token.isin(named))
+        return tokens.select("doc_id", kept.alias("tokens"))
+    listed = words.withColumn("listed", F.lit(True))
+    if size <= broadcast_limit(tokens.sparkSession):
+        listed = F.broadcast(listed)
+    marked = positions(tokens).join(listed, "token", "left")
     kept = F.when(F.col("listed").isNull(), F.col("token"))
     return regroup(marked.select("doc_id", "pos", kept.alias("token")))
 

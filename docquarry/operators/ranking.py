@@ -17,8 +17,9 @@ from docquarry.functions.fixed import (
     SCORE_DIGITS,
 )
 from docquarry.functions.text import token_string
-from docquarry.operators.joins import broadcast_if_small, slice_rows
+from docquarry.operators.joins import broadcast_if_small, fits, slice_rows
 from docquarry.sources.index_store import Index
+from docquarry.sources.shared import materialise
 
 METHODS = (METHOD_TFIDF, METHOD_BM25)
 
@@ -33,22 +34,32 @@ def matches(posting_rows: DataFrame, vectors: DataFrame, small: bool) -> DataFra
     """
     if small:
         return posting_rows.join(F.broadcast(vectors), "term")
+    vectors = materialise(vectors, "vectors")
     size = slice_rows(posting_rows.sparkSession)
-    slices = F.ceil(F.col("df") / size).cast("int")
-    sliced = vectors.withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
-    # at most (number of postings) / size terms reach the slice size
-    frequent = (
-        vectors.filter(F.col("df") > size)
-        .select("term", slices.alias("slices"))
-        .distinct()
+    frequent = _frequent(vectors, size)
+    while not fits(frequent):  # larger slices until the list of sliced terms is small
+        size *= 2
+        frequent = _frequent(vectors, size)
+    sliced = vectors.withColumn(
+        "slice", F.explode(F.sequence(F.lit(0), _slices(size) - 1))
     )
-    placed = posting_rows.join(broadcast_if_small(frequent), "term", "left").withColumn(
+    placed = posting_rows.join(F.broadcast(frequent), "term", "left").withColumn(
         "slice",
         F.pmod(F.xxhash64("doc_id"), F.coalesce("slices", F.lit(1))).cast("int"),
     )
     return placed.drop("slices").join(sliced, ["term", "slice"]).drop("slice")
 
 
+def _slices(size: int) -> Column:
+    return F.ceil(F.col("df") / size).cast("int")
+
+
+def _frequent(vectors: DataFrame, size: int) -> DataFrame:
+    """Question terms with more than ``size`` postings, and their slices."""
+    above = vectors.filter(F.col("df") > size)
+    return above.select("term", _slices(size).alias("slices")).distinct()
+
+
 def candidates(
     posting_rows: DataFrame, vectors: DataFrame, keys: list[str], small: bool
 ) -> DataFrame:

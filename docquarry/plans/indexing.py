@@ -25,20 +25,11 @@ MAX_BUCKETS = 100_000
 
 
 def bucket_count(spark: SparkSession, input_bytes: int) -> int:
-    """Enough buckets to use all cores and to keep each one near 2 GiB of input."""
+    """Enough buckets to use all cores and to keep each near 2 GiB of input files."""
     cores = spark.sparkContext.defaultParallelism
     return min(MAX_BUCKETS, max(cores, -(-input_bytes // BYTES_PER_BUCKET)))
 
 
-def input_size(docs: DataFrame) -> int:
-    """Bytes of the files behind a table; 0 if it was not read from files."""
-    files = docs.inputFiles()
-    if not files:
-        return 0
-    listed = docs.sparkSession.read.format("binaryFile").load(files)
-    return listed.agg(F.sum("length")).first()[0]
-
-
 def prepare_documents(
     docs: DataFrame,
     buckets: int,
@@ -46,7 +37,7 @@ def prepare_documents(
     stopwords: DataFrame | None = None,
 ) -> DataFrame:
     """Token arrays, one row per document, partitioned by document."""
-    placed = clean(spread(docs, "doc_id")).repartition(buckets, "doc_id")
+    placed = clean(docs).repartition(buckets, "doc_id")
     if lexicon is None:
         tokens = tokenise(placed)
     else:
@@ -63,23 +54,28 @@ def build_index(
     lexicon: DataFrame | None = None,
     stopwords: DataFrame | None = None,
     unique_ids: bool = False,
+    input_bytes: int = 0,
 ) -> Index:
     """Build and store all index tables of ``docs(doc_id, text)``.
 
     Each table is written once and the next one is derived from what was
     written, so nothing is tokenised twice and a lost executor costs its tasks.
-    ``unique_ids`` vouches for one row per document and skips the check.
+    ``unique_ids`` vouches for one row per document and skips the check;
+    ``input_bytes``, the size of the files of ``docs``, sets the bucket count
+    unless ``buckets`` does.
     """
     spark = docs.sparkSession
     path = path or new_path(spark, "index")
-    buckets = buckets or bucket_count(spark, input_size(docs))
+    buckets = buckets or bucket_count(spark, input_bytes)
     names = new_names()
 
     def store(df: DataFrame, table: str) -> DataFrame:
         return save_bucketed(df, path, table, buckets, names[table])
 
     if not unique_ids and has_duplicate_ids(docs):
-        docs = one_row_per_id(docs)
+        docs = one_row_per_id(docs)  # also spreads them
+    else:
+        docs = spread(docs, "doc_id")
     documents = store(prepare_documents(docs, buckets, lexicon, stopwords), "documents")
     stats = ops.corpus_stats(documents).withColumn("buckets", F.lit(buckets))
     corpus = save_plain(stats, path, "corpus")

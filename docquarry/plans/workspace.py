@@ -15,7 +15,7 @@ from docquarry.operators.compounds import learn_lexicon
 from docquarry.operators.corpus import clean, has_duplicate_ids, one_row_per_id, words
 from docquarry.operators.joins import broadcast_if_small, fits
 from docquarry.operators.metrics import judged_questions
-from docquarry.plans.indexing import bucket_count, build_index
+from docquarry.plans.indexing import build_index
 from docquarry.plans.retrieval import rank
 from docquarry.sources.index_store import Index
 from docquarry.sources.shared import materialise
@@ -147,8 +147,7 @@ class Workspace:
 
     @cached_property
     def index(self) -> Index:
-        buckets = bucket_count(self.spark, self.input_bytes)
-        return build_index(self.corpus(), buckets=buckets, unique_ids=True)
+        return build_index(self.corpus(), unique_ids=True, input_bytes=self.input_bytes)
 
     @cached_property
     def lexicon(self) -> DataFrame:

@@ -43,13 +43,14 @@ def read_table(
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread over all cores by key if the input comes in fewer splits than that.
+    """Spread over all cores by key if the input comes in fewer files than that.
 
-    A table stored as one row group is one task otherwise; an input that is
-    split well enough already is left as it is.
+    A table stored as one row group is one task otherwise; a large one has more
+    files than there are cores and is left as it is. (Counting files, unlike
+    counting partitions, runs no part of the query.)
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores, *keys)
 

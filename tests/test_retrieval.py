@@ -87,7 +87,7 @@ DISTINCT = [
 REPEATED = DISTINCT[:3] + [(1, 1, 2, 2.684029), (1, 2, 1, 1.445425), (1, 3, 3, 0.640724)]
 
 
-@pytest.mark.parametrize("limit,rows", [(64 << 20, 1_000_000), (0, 1), (0, 1_000_000)])
+@pytest.mark.parametrize("limit,rows", [(64 << 20, 1_000_000), (400, 1), (0, 1_000_000)])
 def test_rankings(spark, toy, setting, limit, rows):
     questions = ask(spark, "kế_toán công_ty", "Kế_toán kế_toán thuế xyz", "xyz")
     with setting("docquarry.broadcastBytes", limit), setting("docquarry.sliceRows", rows):

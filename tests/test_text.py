@@ -88,15 +88,20 @@ def test_stopword_file(spark, tmp_path):
     assert tuples(read_stopwords(spark, str(path))) == [("a_b_c",), ("bởi_vì",), ("của",)]
 
 
-@pytest.mark.parametrize("limit", [64 << 20, 0])
-def test_stopwords_keep_repeats_and_empty_documents(spark, setting, limit):
+@pytest.mark.parametrize("limit,in_place", [(64 << 20, 10), (64 << 20, 0), (0, 10)])
+def test_stopwords_keep_repeats_and_empty_documents(
+    spark, setting, monkeypatch, limit, in_place
+):
+    monkeypatch.setattr(corpus, "STOPWORDS_IN_PLACE", in_place)
     tokens = spark.createDataFrame(
         [(1, ["tax", "of", "tax"]), (2, ["of"]), (3, [])], "doc_id long, tokens array<string>"
     )
     stop = spark.createDataFrame([("of",)], "term string")
     with setting("docquarry.broadcastBytes", limit):
         got = tuples(corpus.drop_stopwords(tokens, stop))
+        unlisted = tuples(corpus.drop_stopwords(tokens, stop.limit(0)))
     assert got == [(1, ["tax", "tax"]), (2, []), (3, [])]
+    assert unlisted == tuples(tokens)
 
 
 def greedy(words, lexicon):
