@@ -80,12 +80,7 @@ def document_norms(weighted: DataFrame) -> DataFrame:
 
 
 def normalise(weighted: DataFrame, norms: DataFrame) -> DataFrame:
-    """Adds ``w_norm``; a document without a norm divides by 1.
-
-    With both sides bucketed by document, hashing the norms of a bucket spares
-    sorting its postings.
-    """
-    lengths = norms.select("doc_id", "l2").hint("shuffle_hash")
-    return weighted.join(lengths, "doc_id", "left").withColumn(
+    """Adds ``w_norm``; a document without a norm divides by 1."""
+    return weighted.join(norms, "doc_id", "left").withColumn(
         "w_norm", F.col("w") / F.coalesce("l2", F.lit(1.0))
     )

@@ -103,9 +103,8 @@ def score(
     scored = hits.groupBy(*keys, "doc_id").agg(*wanted)
     results = {METHOD_BM25: F.col("bm25")}
     if METHOD_TFIDF in methods:
-        # both sides are bucketed by document: hashing the bucket's norms spares
-        # sorting its scores
-        scored = scored.join(index.norms.hint("shuffle_hash"), "doc_id", "left")
+        norms = index.bucket_norms if small else index.norms
+        scored = scored.join(norms, "doc_id", "left")
         length = F.col("q_norm") * F.coalesce("l2", F.lit(1.0))
         results[METHOD_TFIDF] = F.col("dot") / length
     pairs = [F.struct(F.lit(m).alias("method"), results[m].alias("score")) for m in methods]

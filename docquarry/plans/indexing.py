@@ -87,5 +87,13 @@ def build_index(
     )
     norms = store(ops.document_norms(ops.tfidf(counts, terms)), "norms")
     return Index(
-        documents, posting_rows, norms, terms, corpus, path, buckets, tuple(names.values())
+        documents,
+        posting_rows,
+        norms,
+        terms,
+        corpus,
+        path,
+        buckets,
+        corpus.first().n_docs,
+        tuple(names.values()),
     )

@@ -201,7 +201,7 @@ def doc_l2(ws: Workspace) -> DataFrame:
 @query
 def tfidf_normalized(ws: Workspace) -> DataFrame:
     weighted = postings.tfidf(ws.index.postings, ws.index.terms)
-    return postings.normalise(weighted, ws.index.norms).select("doc_id", "term", r6("w_norm"))
+    return postings.normalise(weighted, ws.index.bucket_norms).select("doc_id", "term", r6("w_norm"))
 
 
 @query

@@ -9,7 +9,7 @@ row groups by their statistics. ``terms`` and ``corpus`` are plain Parquet.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +27,10 @@ PLAIN = {
 }
 
 
+# Documents per bucket up to which a task may hold the bucket's norms in memory.
+HASHED_NORMS = 2_000_000
+
+
 @dataclass(frozen=True)
 class Index:
     documents: DataFrame
@@ -36,12 +40,24 @@ class Index:
     corpus: DataFrame
     path: str
     buckets: int
+    n_docs: int
     names: tuple[str, ...] = ()
 
     @property
     def spark(self) -> SparkSession:
         return self.corpus.sparkSession
 
+    @property
+    def bucket_norms(self) -> DataFrame:
+        """Norms for joins inside buckets.
+
+        While a bucket has few enough documents, its norms are hashed, which spares
+        sorting the other side; otherwise the join sorts and can spill.
+        """
+        if self.n_docs <= HASHED_NORMS * self.buckets:
+            return self.norms.hint("shuffle_hash")
+        return self.norms
+
     def scalar(self, name: str):
         """A corpus statistic as a scalar subquery."""
         return self.corpus.select(name).scalar()
@@ -77,23 +93,29 @@ def save_index(index: Index, path: str) -> Index:
         for table, name in names.items()
     }
     kept |= {table: save_plain(getattr(index, table), path, table) for table in PLAIN}
-    return Index(**kept, path=path, buckets=index.buckets, names=tuple(names.values()))
+    return replace(index, **kept, path=path, names=tuple(names.values()))
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
     """Open a stored index; its bucketed tables are registered in the catalog."""
     tables = {t: spark.read.schema(s).parquet(f"{path}/{t}") for t, s in PLAIN.items()}
-    buckets = tables["corpus"].first().buckets
+    stats = tables["corpus"].first()
     names = new_names()
     for table, name in names.items():
         schema, order = BUCKETED[table]
         spark.sql(
             f"CREATE TABLE {name} ({schema}) USING parquet"
-            f" CLUSTERED BY (doc_id) SORTED BY ({order}) INTO {buckets} BUCKETS"
+            f" CLUSTERED BY (doc_id) SORTED BY ({order}) INTO {stats.buckets} BUCKETS"
             f" LOCATION '{path}/{table}'"
         )
         tables[table] = spark.table(name)
-    return Index(**tables, path=path, buckets=buckets, names=tuple(names.values()))
+    return Index(
+        **tables,
+        path=path,
+        buckets=stats.buckets,
+        n_docs=stats.n_docs,
+        names=tuple(names.values()),
+    )
 
 
 def unregister(index: Index) -> None:

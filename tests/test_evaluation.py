@@ -71,7 +71,12 @@ def test_metrics_against_plain_formulas(spark):
 
 
 def test_questions_without_truth_or_result(spark):
-    labels = [(0, "null truth", None), (1, "empty truth", []), (2, "never ranked", [1]), (3, "hit", [4])]
+    labels = [
+        (0, "null truth", None),
+        (1, "empty truth", []),
+        (2, "never ranked", [1]),
+        (3, "hit", [4]),
+    ]
     result = measured(spark, ranking(spark, [4], [4], [], [4]), labels)
     rows = {r.qid: r for r in result.per_question.collect()}
     assert set(rows) == {1, 3}
@@ -124,7 +129,8 @@ def test_evaluate_and_store(spark, small_index):
     assert len(stored) == 6
     record = next(r for r in stored if (r.method, r.split, r.qid) == ("bm25", "train", 1))
     assert record.query == "apple pie" and list(record.retrieved) == [0, 1]
-    assert set(record.metrics) == {"mrr", "map"} | {f"{m}@{k}" for m in ("p", "r", "ndcg") for k in (1, 5, 10)}
+    names = {f"{m}@{k}" for m in ("p", "r", "ndcg") for k in (1, 5, 10)}
+    assert set(record.metrics) == {"mrr", "map"} | names
     files = list(Path(path, "records", "method=bm25").glob("*.json"))
     line = json.loads(files[0].read_text(encoding="utf-8").splitlines()[0])
     assert {"split", "qid", "query", "metrics", "retrieved"} == set(line)
@@ -154,7 +160,9 @@ def test_sampling(spark):
 def test_reduce_tables(spark, by, kept):
     base = new_path(spark, "reduce")
     docs = spark.createDataFrame([(i, "t") for i in (1, 2, 9)], "doc_id long, text string")
-    labels = spark.createDataFrame([(1, "q", [1, 9]), (2, "q", [9])], "qid long, question string, cid array<long>")
+    labels = spark.createDataFrame(
+        [(1, "q", [1, 9]), (2, "q", [9])], "qid long, question string, cid array<long>"
+    )
     tables.write_table(docs, f"{base}/docs")
     tables.write_table(labels, f"{base}/train")
     out = [f"{base}/docs-cut", f"{base}/train-cut"]

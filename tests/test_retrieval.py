@@ -11,6 +11,7 @@ from docquarry.operators.joins import lookup
 from docquarry.plans.indexing import build_index
 from docquarry.plans.retrieval import rank, retrieve, retrieve_bm25
 from docquarry.plans.workspace import KEYS, workspace
+from docquarry.sources import index_store
 from docquarry.sources.index_store import open_index, save_index, unregister
 from docquarry.sources.shared import new_path
 
@@ -159,9 +160,21 @@ def test_stored_index_is_the_same(spark, toy):
     assert tuples(open_index(spark, path).norms) == tuples(toy.norms)
 
 
+def test_large_buckets_are_not_hashed(spark, toy, monkeypatch):
+    question = ask(spark, "kế_toán công_ty")
+    want = tuples(rank(toy, question, ["qid"]))
+    assert "ShuffledHashJoin" in plan_of(rank(toy, question, ["qid"]))
+    monkeypatch.setattr(index_store, "HASHED_NORMS", 0)
+    assert "ShuffledHashJoin" not in plan_of(rank(toy, question, ["qid"]))
+    assert tuples(rank(toy, question, ["qid"])) == want
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def exchanges(df):
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    return [line for line in plan_of(df).splitlines() if "Exchange hashpartitioning" in line]
 
 
 def test_scoring_shuffles_no_postings(spark):
@@ -170,7 +183,7 @@ def test_scoring_shuffles_no_postings(spark):
     # question tokens, question norms, and the best k per task
     assert len(plan) == 3
     assert not any("doc_id" in line.split("plan_id")[0] for line in plan)
-    assert exchanges(postings.document_norms(postings.tfidf(ws.index.postings, ws.index.terms))) == []
+    assert not exchanges(postings.document_norms(postings.tfidf(ws.index.postings, ws.index.terms)))
 
 
 @pytest.mark.parametrize("limit", [64 << 20, 2_000, 0])
