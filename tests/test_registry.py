@@ -2,10 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import connect, difference
 from conftest import SMALL
 from docquarry.plans.workspace import workspace
+from docquarry.registry.oracle import oracle_sql
+from docquarry.registry.queries import queries
 
 SQL = oracle_sql()
 
