@@ -39,5 +39,19 @@ FROM d LEFT JOIN told USING (doc_id)
 """
 
 
+WARC = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit'
+    ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_secret_scan": _secrets()}
+    return {"op7_warc_archive": WARC, "op10_secret_scan": _secrets()}

@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm import oracle, secrets
+from docquarry.llm import ann_bits, oracle, secrets, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ann_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = ann_bits.clean_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    codes = ann_bits.encode(vectors)
+    asked = codes.filter(F.col("id") % 20 == 0).select("id", "vector")
+    return ann_bits.search(codes, asked).withColumnRenamed("id", "vec_id")
+
+
+def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest, folder = warc.archive(spark, _table(spark, sf_dir, "pages"))
+    records = warc.read_archives(warc.open_archives(spark, manifest, folder))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = _table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("path"), F.lit(1).alias("version"), F.col("text").alias("content")
@@ -21,10 +34,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = F.transform(
         "spans", lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])
     )
-    counts = [
-        F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{rule.name}")
-        for kind, rule in enumerate(secrets.RULES)
-    ]
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(kind).alias(f"n_{rule.name}") for kind, rule in enumerate(secrets.RULES)]
     joined = F.array_join(told, ",")
     return found.select(
         F.col("path").alias("doc_id"),
@@ -35,7 +49,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op10_secret_scan": op10_secret_scan}
+    return {
+        "op1_ann_bits": op1_ann_bits,
+        "op7_warc_archive": op7_warc_archive,
+        "op10_secret_scan": op10_secret_scan,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
