@@ -1,3 +1,4 @@
+import os
 import sys
 from contextlib import contextmanager
 from pathlib import Path
@@ -7,6 +8,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
+os.environ["PYTHONPATH"] = os.pathsep.join(sys.path[:2])
 
 SMALL = "/root/testdata/sf0.001"
 
