@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm import ann_bits, oracle, secrets, warc
+from docquarry.llm import ann_bits, language, oracle, secrets, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,13 @@ def op1_ann_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_bits.search(codes, asked).withColumnRenamed("id", "vec_id")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    tested = language.held_out("doc_id", 4, 2)
+    model = language.train(docs.filter(~tested).select("text", "lang"))
+    return language.predict(docs.select("doc_id", tested.alias("held_out"), "text"), model).drop("text")
+
+
 def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest, folder = warc.archive(spark, _table(spark, sf_dir, "pages"))
     records = warc.read_archives(warc.open_archives(spark, manifest, folder))
@@ -51,6 +58,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_ann_bits": op1_ann_bits,
+        "op4_language_id": op4_language_id,
         "op7_warc_archive": op7_warc_archive,
         "op10_secret_scan": op10_secret_scan,
     }
