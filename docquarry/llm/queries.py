@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm import ann_bits, language, oracle, secrets, warc
+from docquarry.llm import ann_bits, language, oracle, secrets, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,14 @@ def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    tested = language.held_out("doc_id", 5, 0)
+    index = toxicity.train(docs.filter(~tested), _table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", tested.alias("held_out"), "text"), index)
+    return scored.drop("text")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = _table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("path"), F.lit(1).alias("version"), F.col("text").alias("content")
@@ -60,6 +68,7 @@ def queries() -> dict:
         "op1_ann_bits": op1_ann_bits,
         "op4_language_id": op4_language_id,
         "op7_warc_archive": op7_warc_archive,
+        "op8_toxicity": op8_toxicity,
         "op10_secret_scan": op10_secret_scan,
     }
 
