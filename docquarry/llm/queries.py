@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm import ann_bits, language, oracle, secrets, toxicity, warc
+from docquarry.llm import ann_bits, language, oracle, pieces, secrets, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,25 @@ def op1_ann_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_bits.search(codes, asked).withColumnRenamed("id", "vec_id")
 
 
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECES) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    known = pieces.load(model)
+    coded = pieces.encode(docs.select("doc_id", "text", F.sha2(text, 256).alias("given")), known)
+    decoded = pieces.decode(coded.drop("text"), known)
+    told = F.sha2("decoded", 256)
+    return decoded.select(
+        "doc_id",
+        "n_pieces",
+        "ids",
+        told.alias("decoded_sha256"),
+        (told == F.col("given")).alias("round_trip"),
+    )
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     tested = language.held_out("doc_id", 4, 2)
@@ -66,6 +85,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_ann_bits": op1_ann_bits,
+        "op3_sentencepiece": op3_sentencepiece,
         "op4_language_id": op4_language_id,
         "op7_warc_archive": op7_warc_archive,
         "op8_toxicity": op8_toxicity,
