@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm import ann_bits, language, oracle, pieces, secrets, toxicity, warc
+from docquarry.llm import ann_bits, language, mixing, oracle, pieces, secrets, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,17 @@ def op1_ann_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_bits.search(codes, asked).withColumnRenamed("id", "vec_id")
 
 
+MIX = {"good": 0.80, "low": 0.15, "toxic": 0.05}
+
+
+def op2_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = mixing.train(mixing.label_domains(docs, _table(spark, sf_dir, "labels")))
+    rated = mixing.fit_rates(docs.select("doc_id", "text"), model, MIX)
+    chance = [F.get("posteriors", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(model.domains)]
+    return rated.select("doc_id", "tokens", *chance, "rate")
+
+
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -85,6 +96,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_ann_bits": op1_ann_bits,
+        "op2_soft_mixing": op2_soft_mixing,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_language_id": op4_language_id,
         "op7_warc_archive": op7_warc_archive,
