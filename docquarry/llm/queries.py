@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm import ann_bits, language, mixing, oracle, pieces, secrets, toxicity, warc
+from docquarry.llm import ann_bits, language, mixing, oracle, pieces, repeats, secrets, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", tested.alias("held_out"), "text"), model).drop("text")
 
 
+def op5_anchored_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    kept = F.sha2("kept_text", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", kept)
+
+
 def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest, folder = warc.archive(spark, _table(spark, sf_dir, "pages"))
     records = warc.read_archives(warc.open_archives(spark, manifest, folder))
@@ -99,6 +105,7 @@ def queries() -> dict:
         "op2_soft_mixing": op2_soft_mixing,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_language_id": op4_language_id,
+        "op5_anchored_repeats": op5_anchored_repeats,
         "op7_warc_archive": op7_warc_archive,
         "op8_toxicity": op8_toxicity,
         "op10_secret_scan": op10_secret_scan,
