@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm import ann_bits, language, mixing, oracle, pieces, repeats, secrets, toxicity, warc
+from docquarry.llm import ann_bits, language, minhash, mixing, oracle, pieces, repeats, secrets, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.drop("text")
 
 
+def op9_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = _table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("path"), F.lit(1).alias("version"), F.col("text").alias("content")
@@ -108,6 +112,7 @@ def queries() -> dict:
         "op5_anchored_repeats": op5_anchored_repeats,
         "op7_warc_archive": op7_warc_archive,
         "op8_toxicity": op8_toxicity,
+        "op9_minhash_join": op9_minhash_join,
         "op10_secret_scan": op10_secret_scan,
     }
 

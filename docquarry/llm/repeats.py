@@ -59,14 +59,10 @@ _BYTE = _numbers(256, 1)
 
 
 class Words:
-    """The words of a group's texts as arrays; texts ordered by (id, text)."""
+    """The words of a list of texts as arrays."""
 
-    def __init__(self, table: pa.Table):
-        ids, texts = table["doc_id"].to_pylist(), table["text"].to_pylist()
-        rows = [(i is not None, i or 0, (t or "").encode()) for i, t in zip(ids, texts)]
-        rows.sort()
-        self.ids = [i if known else None for known, i, _ in rows]
-        self.texts = [t for _, _, t in rows]
+    def __init__(self, texts: list[bytes]):
+        self.texts = texts
         data = np.frombuffer(b" ".join([*self.texts, b""]), np.uint8)
         solid = ~_BLANK[data]
         edges = np.diff(np.r_[False, solid, False].astype(np.int8))
@@ -107,6 +103,17 @@ class Words:
         return np.arange(number.sum()) + skip
 
 
+class Group(Words):
+    """The words of a group's rows, ordered by (id, text); ``ids`` has their ids."""
+
+    def __init__(self, table: pa.Table):
+        ids, texts = table["doc_id"].to_pylist(), table["text"].to_pylist()
+        rows = [(i is not None, i or 0, (t or "").encode()) for i, t in zip(ids, texts)]
+        rows.sort()
+        self.ids = [i if known else None for known, i, _ in rows]
+        super().__init__([t for _, _, t in rows])
+
+
 def _pack(values: np.ndarray, width: int) -> bytes:
     """The low ``width`` bytes of numbers, byte by byte: of sorted ones, the high bytes
     hardly change and are compressed in the shuffle."""
@@ -202,7 +209,7 @@ def _windows(plan: Plan, words: Words, at: np.ndarray):
     return one, two, lead, is_first
 
 
-def _post_windows(plan: Plan, group: int, words: Words, bitmaps: list[dict]) -> list[dict]:
+def _post_windows(plan: Plan, group: int, words: Group, bitmaps: list[dict]) -> list[dict]:
     keys, inverse, at = plan.keys(words)
     hit = np.zeros(len(keys), bool)
     cuts = _cuts(keys, KEY_BITS, plan.buckets)
@@ -260,7 +267,7 @@ def _find_losers(table: pa.Table) -> list[dict]:
     return out
 
 
-def _remove(plan: Plan, words: Words, lost: list[dict]) -> list[dict]:
+def _remove(plan: Plan, words: Group, lost: list[dict]) -> list[dict]:
     start = words.starts(plan.window, plan.window)
     one, _, _, is_first = _windows(plan, words, start)
     gone = ~is_first
@@ -324,7 +331,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     runs, hits, windows, lost = map(schema_of, (RUNS, HITS, WINDOWS, LOST))
 
     def post_runs(table: pa.Table) -> pa.Table:
-        words = Words(table)
+        words = Group(table)
         return pa.Table.from_pylist(_post_runs(plan, table["g"][0].as_py(), words), runs)
 
     def find_hits(table: pa.Table) -> pa.Table:
@@ -333,14 +340,14 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     def post_windows(table: pa.Table, bitmaps: pa.Table) -> pa.Table:
         if not bitmaps.num_rows:  # no hit, no repeat
             return windows.empty_table()
-        rows = _post_windows(plan, table["g"][0].as_py(), Words(table), bitmaps.to_pylist())
+        rows = _post_windows(plan, table["g"][0].as_py(), Group(table), bitmaps.to_pylist())
         return pa.Table.from_pylist(rows, windows)
 
     def find_losers(table: pa.Table) -> pa.Table:
         return pa.Table.from_pylist(_find_losers(table), lost)
 
     def remove(table: pa.Table, losers: pa.Table) -> pa.Table:
-        return pa.Table.from_pylist(_remove(plan, Words(table), losers.to_pylist()), result)
+        return pa.Table.from_pylist(_remove(plan, Group(table), losers.to_pylist()), result)
 
     by_group = dealt.groupBy("g")
     hit = by_group.applyInArrow(post_runs, RUNS).groupBy("bucket").applyInArrow(find_hits, HITS)
