@@ -1,3 +1,82 @@
-"""Stages over `documents`; filled in as the operators arrive."""
-STAGES = []
+"""A corpus pipeline: each stage reads what its predecessor kept and calls one operator.
+
+All but the last stage return the columns of `documents`, with the stage's decisions in
+effect: rejected languages and repeated documents are gone, secrets are replaced, and
+documents are repeated or left out as their mixing rates say. The last one returns the
+pieces of every document.
+
+Texts that are null or have no letter are rejected by the first stage; rows without an id
+go through all stages as documents of their own; rows that repeat an id stay or go
+together in the second stage. Empty tables give empty results.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docquarry.llm import language, minhash, mixing, secrets
+from docquarry.llm.queries import MIX, coded
+from docquarry.operators.joins import broadcast_if_small
+from docquarry.sources.shared import materialise
+
+LEAST_SCORE = 0.3  # of a language; clear texts of a few words score far higher
+GROWTH = 1.15  # expected tokens after mixing, relative to before
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps texts in a language that was learned from the labelled rows; fills in
+    languages that are missing."""
+    model = language.train(docs.select("text", "lang"))
+    told = language.predict(docs, model)
+    known = told.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near duplicates."""
+    found = minhash.near_duplicates(docs)
+    gone = materialise(found.filter("NOT kept").select("doc_id").distinct(), "repeated-ids")
+    return docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(*docs.columns)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces secrets by their kind."""
+    versions = docs.select(
+        F.col("doc_id").alias("path"), F.lit(1).alias("version"), F.col("text").alias("content")
+    )
+    return secrets.redacted(docs, secrets.scan(versions))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats and leaves out documents so that expected tokens meet the target shares."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = mixing.train(mixing.label_domains(docs, labels))
+    rated = mixing.fit_rates(docs, model, MIX, growth=GROWTH)
+    return mixing.resample(rated).select(*docs.columns)
+
+
+def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Encodes every text into pieces and checks that they decode to it."""
+    return coded(docs)
+
+
+STAGES = [
+    ("language", language_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("secrets", secret_stage),
+    ("mixing", mixing_stage),
+    ("pieces", piece_stage),
+]
+
+# The classifiers, the fitted rates and the pieces cannot be written in SQL; the stages
+# are tested against brute force in tests/llm.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each written as Parquet before the next reads it."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

@@ -108,15 +108,15 @@ def fit_rates(
     docs: DataFrame,
     model: Classifier,
     weights: dict[str, float],
-    total: float | None = None,
+    growth: float = 1.0,
     strength: float = 100.0,
     tolerance: float = 1e-4,
     rounds: int = 30,
 ) -> DataFrame:
     """``docs`` with tokens, posteriors and rate added.
 
-    ``weights`` are the target shares of the domains, ``total`` the target number of
-    expected tokens (by default as many as there are). Stops when every domain is within
+    ``weights`` are the target shares of the domains, ``growth`` the target number of
+    expected tokens relative to the present one. Stops when every domain is within
     ``tolerance`` of its target, relative to the total, or after ``rounds``.
     """
     docs = docs.drop("tokens", "posteriors", "rate")
@@ -143,7 +143,7 @@ def fit_rates(
     metric += np.eye(width) * 1e-9 * np.trace(metric)
     shares = np.array([max(0.0, weights.get(domain, 0.0)) for domain in model.domains])
     shares = shares / shares.sum() if shares.sum() else np.full(width, 1 / width)
-    target = shares * float(total or gram.n)
+    target = shares * float(gram.n) * growth
     rate = F.lit(1.0)
     for _ in range(rounds):
         sums = rated.agg(*[F.sum(rate * offer) for offer in offers]).first()

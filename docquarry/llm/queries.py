@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm import ann_bits, language, minhash, mixing, oracle, pieces, repeats, secrets, toxicity, warc
+from docquarry.llm import ann_bits, language, minhash, mixing, oracle, pieces, repeats, secrets, toxicity, vector_dups, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,22 +33,21 @@ def op2_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
-def op3_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECES) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    text = F.coalesce("text", F.lit(""))
+def coded(docs: DataFrame, model: str = PIECES) -> DataFrame:
+    """Pieces of every text, and whether decoding them gives the text back."""
     known = pieces.load(model)
-    coded = pieces.encode(docs.select("doc_id", "text", F.sha2(text, 256).alias("given")), known)
-    decoded = pieces.decode(coded.drop("text"), known)
+    given = F.sha2(F.coalesce("text", F.lit("")), 256).alias("given")
+    decoded = pieces.decode(pieces.encode(docs.select("doc_id", "text", given), known).drop("text"), known)
     told = F.sha2("decoded", 256)
     return decoded.select(
-        "doc_id",
-        "n_pieces",
-        "ids",
-        told.alias("decoded_sha256"),
-        (told == F.col("given")).alias("round_trip"),
+        "doc_id", "n_pieces", "ids", told.alias("decoded_sha256"), (told == F.col("given")).alias("round_trip")
     )
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded(_table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     tested = language.held_out("doc_id", 4, 2)
@@ -62,6 +61,11 @@ def op5_anchored_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", kept)
 
 
+def op6_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return vector_dups.near_duplicates(vectors, "vec_id", "embedding").withColumnRenamed("id", "vec_id")
+
+
 def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest, folder = warc.archive(spark, _table(spark, sf_dir, "pages"))
     records = warc.read_archives(warc.open_archives(spark, manifest, folder))
@@ -103,13 +107,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
     return {
+        "pipeline": pipeline,
         "op1_ann_bits": op1_ann_bits,
         "op2_soft_mixing": op2_soft_mixing,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_language_id": op4_language_id,
         "op5_anchored_repeats": op5_anchored_repeats,
+        "op6_subspace_join": op6_subspace_join,
         "op7_warc_archive": op7_warc_archive,
         "op8_toxicity": op8_toxicity,
         "op9_minhash_join": op9_minhash_join,

@@ -130,21 +130,41 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules=RULES) -> D
     )
 
 
-def findings(versions: DataFrame, ledger: DataFrame, rules=RULES) -> DataFrame:
-    """(path, version, blob, spans) of every version, from the ledger's rows of the
-    current rules; spans sorted by start, then by the rules' order."""
+def spans_by_blob(ledger: DataFrame, rules=RULES) -> DataFrame:
+    """(blob, spans) of the blobs with findings of the current rules; spans sorted by
+    start, then by the rules' order."""
     current = ledger.filter(F.col("rule").isin([rule.key for rule in rules]))
-    found = (
+    return (
         current.filter(F.size("spans") > 0)
         .groupBy("blob")
         .agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
     )
-    held = address(versions).drop("content").join(found, "blob", "left")
+
+
+def findings(versions: DataFrame, ledger: DataFrame, rules=RULES) -> DataFrame:
+    """(path, version, blob, spans) of every version, from the ledger's rows."""
+    held = address(versions).drop("content").join(spans_by_blob(ledger, rules), "blob", "left")
     return held.select(
         "path", "version", "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans")
     )
 
 
+def redacted(docs: DataFrame, ledger: DataFrame, rules=RULES) -> DataFrame:
+    """``docs`` with every finding in ``text`` replaced by its kind, and ``n_chars``
+    brought up to date where there is such a column."""
+    columns = docs.columns
+    found = spans_by_blob(ledger, rules).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    blob = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    joined = docs.withColumn("_blob", blob).join(found, "_blob", "left")
+    clean = joined.withColumn(
+        "text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redact(F.col("text"), F.col("_spans"), rules))
+    )
+    if "n_chars" in columns:
+        size = F.length("text").cast(docs.schema["n_chars"].dataType)
+        clean = clean.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(size))
+    return clean.select(*columns)
+
+
 def redact(text: Column, spans: Column, rules=RULES) -> Column:
     """The text with each found span replaced by ``[kind]``; of overlapping spans the
     first one is replaced and the others vanish with it."""
