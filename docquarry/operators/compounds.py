@@ -5,8 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docquarry.operators.corpus import regroup
-from docquarry.operators.joins import lookup
+from docquarry.operators.corpus import drop_stopwords, keep_valid, regroup, tokenise, words
+from docquarry.operators.joins import fits, lookup
+from docquarry.sources.shared import materialise
+
+
+def token_arrays(
+    cleaned: DataFrame, lexicon: DataFrame | None = None, stopwords: DataFrame | None = None
+) -> DataFrame:
+    """(doc_id, tokens) of cleaned texts (doc_id, text): the steps that an index and the
+    questions asked of it share."""
+    if lexicon is None:
+        tokens = tokenise(cleaned)
+    else:
+        tokens = keep_valid(join_compounds(words(cleaned), lexicon))
+    return tokens if stopwords is None else drop_stopwords(tokens, stopwords)
 
 
 def _pairs(words: DataFrame) -> DataFrame:
@@ -33,9 +46,12 @@ def join_compounds(words: DataFrame, lexicon: DataFrame) -> DataFrame:
 
     In a run of consecutive matches every second one starts a compound, which is
     what a greedy scan from the left would choose. ``words`` should be partitioned
-    by ``doc_id``; the windows then need no further shuffle.
+    by ``doc_id``; the windows then need no further shuffle. With a lexicon too large to
+    broadcast, the words are written first and every branch of the join reads them.
     """
     known = lexicon.withColumn("in_lexicon", F.lit(True))
+    if not fits(known):
+        words = materialise(words, "words")
     marked = lookup(_pairs(words), known, ["t1", "t2"], weight="n", how="left")
     in_doc = Window.partitionBy("doc_id").orderBy("pos")
     so_far = in_doc.rowsBetween(Window.unboundedPreceding, Window.currentRow)

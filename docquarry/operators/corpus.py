@@ -70,21 +70,23 @@ def drop_stopwords(tokens: DataFrame, stopwords: DataFrame) -> DataFrame:
     """Remove the tokens listed in ``stopwords(term)``; repeated tokens stay.
 
     A list of ordinary length is named in the expression and filters each token array in
-    place. A longer one is joined: listed tokens become null, not missing rows, so that
-    a document of stopwords only remains as an empty one.
+    place; a longer one is joined. Nulls in the list mean nothing, documents of stopwords
+    only remain as empty ones, whichever way it goes.
     """
-    words = stopwords.select(F.col("term").alias("token")).distinct()
+    words = stopwords.select(F.col("term").alias("token")).filter(F.col("token").isNotNull())
+    words = words.distinct()
     rows, size = measure(words)
     if rows <= STOPWORDS_IN_PLACE and size <= broadcast_limit(tokens.sparkSession):
         named = [row.token for row in words.collect()]
         kept = F.filter("tokens", lambda token: ~token.isin(named))
         return tokens.select("doc_id", kept.alias("tokens"))
-    listed = words.withColumn("listed", F.lit(True))
     if size <= broadcast_limit(tokens.sparkSession):
-        listed = F.broadcast(listed)
-    marked = positions(tokens).join(listed, "token", "left")
-    kept = F.when(F.col("listed").isNull(), F.col("token"))
-    return regroup(marked.select("doc_id", "pos", kept.alias("token")))
+        words = F.broadcast(words)
+    # tokens of empty documents are null and would meet in one task: they come back after
+    found = positions(tokens).filter(F.col("token").isNotNull())
+    kept = regroup(found.join(words, "token", "left_anti"))
+    empty = F.coalesce("tokens", F.array().cast("array<string>"))
+    return tokens.select("doc_id").join(kept, "doc_id", "left").select("doc_id", empty.alias("tokens"))
 
 
 def frequent_terms(terms: DataFrame, n_docs, share: float) -> DataFrame:

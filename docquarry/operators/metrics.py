@@ -30,19 +30,19 @@ def judged_questions(qrels: DataFrame, keys: list[str]) -> DataFrame:
     return qrels.groupBy(*keys).agg(F.count("*").alias("n_relevant"))
 
 
-def prefixed_judgments(labels: DataFrame) -> DataFrame:
-    """(query_id, corpus_id, rel) with ids written as q<qid> and c<cid>."""
-    pairs = labels.select("qid", F.explode("cid").alias("cid"))
-    return pairs.select(
+def prefixed_judgments(qrels: DataFrame) -> DataFrame:
+    """(query_id, corpus_id, rel) of (qid, doc_id), with ids written as q<qid> and c<id>."""
+    return qrels.select(
         F.concat(F.lit("q"), F.col("qid")).alias("query_id"),
-        F.concat(F.lit("c"), F.col("cid")).alias("corpus_id"),
+        F.concat(F.lit("c"), F.col("doc_id")).alias("corpus_id"),
         F.lit(1).alias("rel"),
     ).distinct()
 
 
-def query_lookup(labels: DataFrame) -> DataFrame:
-    """(query_id, question), one row per qid."""
-    one = labels.groupBy("qid").agg(F.min("question").alias("question"))
+def query_lookup(questions: DataFrame, qrels: DataFrame, keys: list[str]) -> DataFrame:
+    """(query_id, question), one row per qid of a question with a judgment."""
+    judged = questions.join(qrels.select(*keys).distinct(), keys, "left_semi")
+    one = judged.groupBy("qid").agg(F.min("question").alias("question"))
     return one.select(F.concat(F.lit("q"), F.col("qid")).alias("query_id"), "question")
 
 

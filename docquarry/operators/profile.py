@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from docquarry.operators.joins import broadcast_if_small
 
 
 def profile(docs: DataFrame) -> DataFrame:
-    """Rows, distinct ids and distinct texts.
+    """Rows, distinct ids and distinct texts; null counts as a value.
 
     Texts are compared by their SHA-256 digest, so 32 bytes are shuffled per
     distinct text and not the text.
@@ -15,49 +18,60 @@ def profile(docs: DataFrame) -> DataFrame:
     digest = F.unhex(F.sha2("text", 256))
     return docs.select("doc_id", digest.alias("digest")).agg(
         F.count("*").alias("n_rows"),
-        F.count_distinct("doc_id").alias("n_ids"),
-        F.count_distinct("digest").alias("n_texts"),
+        _distinct("doc_id").alias("n_ids"),
+        _distinct("digest").alias("n_texts"),
     )
 
 
+def _distinct(column: str) -> Column:
+    has_null = F.coalesce(F.max(F.col(column).isNull().cast("int")), F.lit(0))
+    return F.count_distinct(column) + has_null
+
+
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, count, mean, stddev, min, max) of numeric columns, in one pass."""
-    values = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
-                for c in columns
-            ]
-        )
-    )
-    return (
-        df.select(values.alias("x"))
-        .groupBy(F.col("x.column").alias("column"))
-        .agg(
-            F.count("x.v").alias("count"),
-            F.avg("x.v").alias("mean"),
-            F.stddev_samp("x.v").alias("stddev"),
-            F.min("x.v").alias("min"),
-            F.max("x.v").alias("max"),
+    """(column, count, mean, stddev, min, max) of columns, in one pass.
+
+    Minimum and maximum are written as text, in the column's own order; mean and
+    deviation of text columns are null.
+    """
+    sums = []
+    for c in columns:
+        text = isinstance(df.schema[c].dataType, T.StringType)
+        value = F.lit(None).cast("double") if text else F.col(c).cast("double")
+        sums.append(
+            F.struct(
+                F.lit(c).alias("column"),
+                F.count(c).alias("count"),
+                F.avg(value).alias("mean"),
+                F.stddev_samp(value).alias("stddev"),
+                F.min(c).cast("string").alias("min"),
+                F.max(c).cast("string").alias("max"),
+            )
         )
-    )
+    return df.agg(F.array(*sums).alias("all")).select(F.inline("all"))
 
 
 def lookup_document(docs: DataFrame, doc_id: int) -> DataFrame:
     return docs.filter(F.col("doc_id") == doc_id)
 
 
-def distinct_contexts(labels: DataFrame) -> DataFrame:
-    """(context): the distinct texts of the context lists."""
-    return labels.select(F.explode("context_list").alias("context")).distinct()
-
+def question_contexts(qrels: DataFrame, questions: DataFrame, contexts: DataFrame, keys: list[str]):
+    """(keys, question, context): one row per judgment (keys, doc_id); ``contexts`` is
+    (doc_id, context) of the judged documents."""
+    asked = qrels.join(broadcast_if_small(questions), keys)
+    return asked.join(contexts, "doc_id").select(*keys, "question", "context")
 
-def question_contexts(labels: DataFrame) -> DataFrame:
-    """(qid, question, context): one row per listed context."""
-    return labels.select("qid", "question", F.explode("context_list").alias("context"))
 
+def context_per_id_set(qrels: DataFrame, contexts: DataFrame, keys: list[str]) -> DataFrame:
+    """(n_ids, first_id, context): one row per distinct set of relevant ids, with its
+    smallest context.
 
-def context_per_label_list(labels: DataFrame) -> DataFrame:
-    """(cid, context): one row per distinct id list, with its smallest context."""
-    pairs = labels.select("cid", F.explode("context_list").alias("context"))
-    return pairs.groupBy("cid").agg(F.min("context").alias("context"))
+    Sets are compared by their size and two 64-bit hashes that add up in parts, so no
+    list of ids is ever put together.
+    """
+    digest = [F.bit_xor(F.xxhash64("doc_id", F.lit(seed))).alias(f"h{seed}") for seed in (1, 2)]
+    sets = qrels.groupBy(*keys).agg(
+        F.count("*").alias("n_ids"), F.min("doc_id").alias("first_id"), *digest
+    )
+    pairs = qrels.join(sets, keys).join(contexts, "doc_id")
+    return pairs.groupBy("n_ids", "first_id", "h1", "h2").agg(F.min("context").alias("context")).drop("h1", "h2")

@@ -6,14 +6,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquarry.functions import weights
-from docquarry.functions.text import clean_text, kept_tokens
-from docquarry.operators.joins import fits
+from docquarry.functions.text import clean_text
+from docquarry.operators.compounds import token_arrays
+from docquarry.operators.joins import fits, lookup
+from docquarry.sources.shared import materialise
 
 
-def question_tokens(questions: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, term, qtf): the text preparation of the corpus, on questions."""
-    tokens = kept_tokens(clean_text(F.col("question")))
-    rows = questions.select(*keys, F.explode_outer(tokens).alias("term"))
+def question_tokens(
+    questions: DataFrame,
+    keys: list[str],
+    lexicon: DataFrame | None = None,
+    stopwords: DataFrame | None = None,
+) -> DataFrame:
+    """(keys, term, qtf): the text preparation of the corpus, on questions.
+
+    ``keys`` tell the questions apart; ``lexicon`` and ``stopwords`` are those of the index.
+    """
+    cleaned = questions.select(F.struct(*keys).alias("doc_id"), clean_text(F.col("question")).alias("text"))
+    tokens = token_arrays(cleaned, lexicon, stopwords)
+    rows = tokens.select("doc_id.*", F.explode_outer("tokens").alias("term"))
     return (
         rows.filter(F.col("term").isNotNull())
         .groupBy(*keys, "term")
@@ -35,9 +46,16 @@ def vectors_fit(tokens: DataFrame) -> bool:
 
 
 def in_vocabulary(tokens: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
-    """Drops unknown terms, adds df and both idfs."""
-    side = F.broadcast(tokens) if small else tokens
-    return terms.join(side, "term")
+    """Drops unknown terms, adds df and both idfs.
+
+    In a large batch, a word of very many questions is looked up without a shuffle.
+    """
+    if small:
+        return terms.join(F.broadcast(tokens), "term")
+    tokens = materialise(tokens, "question-tokens")
+    asked = tokens.groupBy("term").agg(F.count("*").alias("n_asked"))
+    known = materialise(terms.join(asked, "term"), "asked-terms")
+    return lookup(tokens, known, ["term"], weight="n_asked").drop("n_asked")
 
 
 def question_vectors(

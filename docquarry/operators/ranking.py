@@ -24,40 +24,46 @@ from docquarry.sources.shared import materialise
 METHODS = (METHOD_TFIDF, METHOD_BM25)
 
 
-def matches(posting_rows: DataFrame, vectors: DataFrame, small: bool) -> DataFrame:
+def matches(posting_rows: DataFrame, vectors: DataFrame, keys: list[str], small: bool) -> DataFrame:
     """Postings of the question terms, one row per (question, term, document).
 
     Small question sets are broadcast: postings stay where they are, bucketed by
-    document. Otherwise both sides are shuffled by term, and the postings of a
-    frequent term are spread over slices of its documents, each of which meets a
-    copy of the few question rows with that term.
+    document. Otherwise both sides are shuffled by term, and a term with many postings
+    or many questions is a grid: its documents in slices, its questions in slices, and
+    every pair of slices is dealt out on its own.
     """
     if small:
         return posting_rows.join(F.broadcast(vectors), "term")
     vectors = materialise(vectors, "vectors")
     size = slice_rows(posting_rows.sparkSession)
-    frequent = _frequent(vectors, size)
-    while not fits(frequent):  # larger slices until the list of sliced terms is small
+    heavy = _heavy(vectors, size)
+    while not fits(heavy):  # larger slices until the list of sliced terms is small
         size *= 2
-        frequent = _frequent(vectors, size)
-    sliced = vectors.withColumn(
-        "slice", F.explode(F.sequence(F.lit(0), _slices(size) - 1))
-    )
-    placed = posting_rows.join(F.broadcast(frequent), "term", "left").withColumn(
-        "slice",
-        F.pmod(F.xxhash64("doc_id"), F.coalesce("slices", F.lit(1))).cast("int"),
-    )
-    return placed.drop("slices").join(sliced, ["term", "slice"]).drop("slice")
+        heavy = _heavy(vectors, size)
+    heavy = F.broadcast(heavy)
 
+    def dealt(rows: DataFrame, own: str, other: str, *ids: str) -> DataFrame:
+        """Rows in their own slice, once for every slice of the other side."""
+        n_own, n_other = (F.coalesce(f"n_{s}", F.lit(1)) for s in (own, other))
+        placed = rows.join(heavy, "term", "left").withColumns(
+            {
+                own: F.pmod(F.xxhash64(*ids), n_own).cast("int"),
+                other: F.explode(F.sequence(F.lit(0), n_other - 1)),
+            }
+        )
+        return placed.drop("n_docs", "n_questions")
 
-def _slices(size: int) -> Column:
-    return F.ceil(F.col("df") / size).cast("int")
+    left = dealt(posting_rows, "docs", "questions", "doc_id")
+    right = dealt(vectors, "questions", "docs", *keys)
+    return left.join(right, ["term", "docs", "questions"]).drop("docs", "questions")
 
 
-def _frequent(vectors: DataFrame, size: int) -> DataFrame:
-    """Question terms with more than ``size`` postings, and their slices."""
-    above = vectors.filter(F.col("df") > size)
-    return above.select("term", _slices(size).alias("slices")).distinct()
+def _heavy(vectors: DataFrame, size: int) -> DataFrame:
+    """Terms with more than ``size`` postings or questions, and their slices."""
+    asked = vectors.groupBy("term").agg(F.max("df").alias("df"), F.count("*").alias("n"))
+    above = asked.filter((F.col("df") > size) | (F.col("n") > size))
+    slices = lambda c: F.ceil(F.col(c) / size).cast("int")
+    return above.select("term", slices("df").alias("n_docs"), slices("n").alias("n_questions"))
 
 
 def candidates(
@@ -65,7 +71,7 @@ def candidates(
 ) -> DataFrame:
     """(keys, doc_id): documents with any term of the question."""
     side = posting_rows.select("doc_id", "term")
-    return matches(side, vectors, small).select(*keys, "doc_id").distinct()
+    return matches(side, vectors, keys, small).select(*keys, "doc_id").distinct()
 
 
 def score(
@@ -82,11 +88,13 @@ def score(
 
     Both models come from one pass over the postings. ``query_tf`` says whether
     BM25 adds a term once per occurrence in the question (``multiplicity``) or
-    once (``distinct``).
+    once (``distinct``). Postings that carry norms are not joined with them.
     """
     if query_tf not in ("multiplicity", "distinct"):
         raise ValueError(f"unknown query_tf {query_tf!r}")
-    hits = matches(index.postings.select("doc_id", "term", "tf", "dl"), vectors, small)
+    with_norms = "l2" in index.postings.columns
+    carried = ["doc_id", "term", "tf", "dl", *(["l2"] if with_norms else [])]
+    hits = matches(index.postings.select(*carried), vectors, keys, small)
     bm25 = weights.bm25_weight(
         F.col("tf"), F.col("dl"), index.scalar("avgdl"), F.col("bm25_idf"), k1, b
     )
@@ -99,12 +107,15 @@ def score(
             F.max("q_norm").alias("q_norm"),
         ],
     }
+    if with_norms:
+        sums[METHOD_TFIDF].append(F.max("l2").alias("l2"))
     wanted = [column for method in methods for column in sums[method]]
     scored = hits.groupBy(*keys, "doc_id").agg(*wanted)
     results = {METHOD_BM25: F.col("bm25")}
     if METHOD_TFIDF in methods:
-        norms = index.bucket_norms if small else index.norms
-        scored = scored.join(norms, "doc_id", "left")
+        if not with_norms:
+            norms = index.bucket_norms if small else index.norms
+            scored = scored.join(norms, "doc_id", "left")
         length = F.col("q_norm") * F.coalesce("l2", F.lit(1.0))
         results[METHOD_TFIDF] = F.col("dot") / length
     pairs = [F.struct(F.lit(m).alias("method"), results[m].alias("score")) for m in methods]

@@ -6,28 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.operators import postings as ops
-from docquarry.operators.compounds import join_compounds
-from docquarry.operators.corpus import (
-    clean,
-    drop_stopwords,
-    has_duplicate_ids,
-    keep_valid,
-    one_row_per_id,
-    tokenise,
-    words,
-)
-from docquarry.sources.index_store import Index, new_names, save_bucketed, save_plain
+from docquarry.operators.compounds import token_arrays
+from docquarry.operators.corpus import clean, one_row_per_id
+from docquarry.operators.joins import lookup
+from docquarry.sources.index_store import Index, cell_of, n_slices, save_bucketed, save_plain
 from docquarry.sources.shared import new_path
-from docquarry.sources.tables import spread
 
-BYTES_PER_BUCKET = 2 * 1024**3
-MAX_BUCKETS = 100_000
+BUCKET_SETTING = "docquarry.bucketBytes"
+DEFAULT_BUCKET_BYTES = 1024**3
 
 
-def bucket_count(spark: SparkSession, input_bytes: int) -> int:
-    """Enough buckets to use all cores and to keep each near 2 GiB of input files."""
+def bucket_count(spark: SparkSession, text_bytes: int) -> int:
+    """Enough buckets to use all cores and to keep each near a GiB of text."""
     cores = spark.sparkContext.defaultParallelism
-    return min(MAX_BUCKETS, max(cores, -(-input_bytes // BYTES_PER_BUCKET)))
+    most = int(spark.conf.get(BUCKET_SETTING, str(DEFAULT_BUCKET_BYTES)))
+    return max(cores, -(-text_bytes // most))
+
+
+def measure_texts(docs: DataFrame, unique_ids: bool) -> tuple[int, bool]:
+    """Bytes of text, and whether an id is repeated, in one pass."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    if unique_ids:
+        return docs.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first().b, False
+    by_id = docs.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(size).alias("b"))
+    row = by_id.agg(F.coalesce(F.sum("b"), F.lit(0)).alias("b"), F.max("n").alias("n")).first()
+    return row.b, (row.n or 0) > 1
 
 
 def prepare_documents(
@@ -38,13 +41,16 @@ def prepare_documents(
 ) -> DataFrame:
     """Token arrays, one row per document, partitioned by document."""
     placed = clean(docs).repartition(buckets, "doc_id")
-    if lexicon is None:
-        tokens = tokenise(placed)
-    else:
-        tokens = keep_valid(join_compounds(words(placed), lexicon))
-    if stopwords is not None:
-        tokens = drop_stopwords(tokens, stopwords)
-    return ops.with_length(tokens)
+    return ops.with_length(token_arrays(placed, lexicon, stopwords))
+
+
+def by_term(counts: DataFrame, terms: DataFrame, buckets: int) -> DataFrame:
+    """Postings (doc_id, term, tf, dl, l2) by cell; see the index at rest."""
+    sliced = terms.select("term", "df", n_slices(F.col("df")).alias("slices"))
+    placed = lookup(counts, sliced, ["term"], weight="df")
+    cell = cell_of(F.col("term"), F.pmod(F.xxhash64("doc_id"), F.col("slices")))
+    rows = placed.select(cell.alias("cell"), "term", "doc_id", "tf", "dl", "l2")
+    return rows.repartition(buckets, "cell")
 
 
 def build_index(
@@ -54,46 +60,61 @@ def build_index(
     lexicon: DataFrame | None = None,
     stopwords: DataFrame | None = None,
     unique_ids: bool = False,
-    input_bytes: int = 0,
 ) -> Index:
     """Build and store all index tables of ``docs(doc_id, text)``.
 
     Each table is written once and the next one is derived from what was
     written, so nothing is tokenised twice and a lost executor costs its tasks.
-    ``unique_ids`` vouches for one row per document and skips the check;
-    ``input_bytes``, the size of the files of ``docs``, sets the bucket count
-    unless ``buckets`` does.
+    ``unique_ids`` vouches for one row per document and skips the check. The bucket
+    count follows from the texts' size unless ``buckets`` sets it.
     """
     spark = docs.sparkSession
     path = path or new_path(spark, "index")
-    buckets = buckets or bucket_count(spark, input_bytes)
-    names = new_names()
+    size, repeated = measure_texts(docs, unique_ids)
+    buckets = buckets or bucket_count(spark, size)
+    if repeated:
+        docs = one_row_per_id(docs)
+    given = {
+        "lexicon": lexicon if lexicon is not None else spark.createDataFrame([], "t1 string, t2 string, n long"),
+        "stopwords": stopwords if stopwords is not None else spark.createDataFrame([], "term string"),
+    }
+    kept = {name: save_plain(df, path, name) for name, df in given.items()}
+    used = {
+        "lexicon": kept["lexicon"] if lexicon is not None else None,
+        "stopwords": kept["stopwords"] if stopwords is not None else None,
+    }
 
     def store(df: DataFrame, table: str) -> DataFrame:
-        return save_bucketed(df, path, table, buckets, names[table])
-
-    if not unique_ids and has_duplicate_ids(docs):
-        docs = one_row_per_id(docs)  # also spreads them
-    else:
-        docs = spread(docs, "doc_id")
-    documents = store(prepare_documents(docs, buckets, lexicon, stopwords), "documents")
-    stats = ops.corpus_stats(documents).withColumn("buckets", F.lit(buckets))
+        return save_bucketed(df, path, table, buckets)
+
+    documents = store(prepare_documents(docs, buckets, **used), "documents")
+    stats = ops.corpus_stats(documents).withColumns(
+        {
+            "buckets": F.lit(buckets),
+            "compounds": F.lit(lexicon is not None),
+            "stopped": F.lit(stopwords is not None),
+        }
+    )
     corpus = save_plain(stats, path, "corpus")
     posting_rows = store(ops.postings(documents), "postings")
-    counts = posting_rows.select("doc_id", "term", "tf")
+    counts = posting_rows.select("doc_id", "term", "tf", "dl")
     n_docs = corpus.select("n_docs").scalar()
     terms = save_plain(
         ops.term_stats(counts, n_docs).sortWithinPartitions("term"), path, "terms"
     )
     norms = store(ops.document_norms(ops.tfidf(counts, terms)), "norms")
+    cells = store(by_term(counts.join(norms, "doc_id"), terms, buckets), "by_term")
     return Index(
         documents,
         posting_rows,
         norms,
+        cells,
         terms,
         corpus,
-        path,
-        buckets,
-        corpus.first().n_docs,
-        tuple(names.values()),
+        **kept,
+        path=path,
+        buckets=buckets,
+        n_docs=corpus.first().n_docs,
+        compounds=lexicon is not None,
+        stopped=stopwords is not None,
     )

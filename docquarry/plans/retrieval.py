@@ -12,12 +12,12 @@ from docquarry.functions.fixed import BM25_B, BM25_K1, K_VALUES, METHOD_BM25, ME
 from docquarry.functions.text import literal_tokens
 from docquarry.operators import questions as q
 from docquarry.operators import ranking as r
-from docquarry.sources.index_store import Index
+from docquarry.sources.index_store import Index, cell_of, n_slices
 
 
 def vectors_of(index: Index, questions: DataFrame, keys: list[str]) -> tuple[DataFrame, bool]:
     """Question vectors and whether they are small enough to broadcast."""
-    tokens = q.question_tokens(questions, keys)
+    tokens = q.question_tokens(questions, keys, **index.preparation)
     small = q.vectors_fit(tokens)
     return q.question_vectors(tokens, index.terms, keys, small), small
 
@@ -39,17 +39,30 @@ def rank(
     return top.select("method", *keys, "rank", "doc_id", "score")
 
 
+def _query_terms(index: Index, query: str) -> dict[str, int]:
+    """The words of one query, prepared like the index's texts."""
+    spark = index.spark
+    if not (index.compounds or index.stopped):
+        return dict(Counter(spark.range(1).select(literal_tokens(query)).first()[0]))
+    one = spark.createDataFrame([(0, query)], "qid long, question string")
+    return {r.term: r.qtf for r in q.question_tokens(one, ["qid"], **index.preparation).collect()}
+
+
 def _retrieve(index: Index, query: str, method: str, k: int, **bm25) -> DataFrame:
     spark = index.spark
-    counts = Counter(spark.range(1).select(literal_tokens(query)).first()[0])
+    counts = _query_terms(index, query)
     tokens = spark.createDataFrame(
         [(0, term, qtf) for term, qtf in counts.items()], "qid long, term string, qtf long"
     )
-    # the words of one query: few enough to be named in the scan filters, which
-    # skip all row groups of the term-sorted tables without them
+    # the terms of one query are few: the scan of the vocabulary skips all row groups
+    # without them, and the postings are read from the buckets of their cells only
     wanted = F.col("term").isin(list(counts))
-    vectors = q.question_vectors(tokens, index.terms.filter(wanted), ["qid"], small=True)
-    narrowed = replace(index, postings=index.postings.filter(wanted))
+    known = index.terms.filter(wanted)
+    numbers = F.explode(F.sequence(F.lit(0).cast("long"), n_slices(F.col("df")) - 1))
+    cells = known.select("term", numbers.alias("i")).select(cell_of(F.col("term"), F.col("i")).alias("c"))
+    opened = F.col("cell").isin([row.c for row in cells.collect()])
+    vectors = q.question_vectors(tokens, known, ["qid"], small=True)
+    narrowed = replace(index, postings=index.by_term.filter(opened & wanted))
     scores = r.score(narrowed, vectors, ["qid"], True, (method,), **bm25)
     return r.top_k_single(scores, k).select("rank", "doc_id", "score")
 

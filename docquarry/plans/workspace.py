@@ -1,19 +1,25 @@
 """The roles of a retrieval task, filled from the given tables.
 
-corpus <- documents; questions <- the first three words of each benchmark
-passage; relevant documents <- those that contain the whole passage.
+corpus <- documents; questions <- the benchmark passages, whole; relevant documents <-
+those that contain the passage.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.operators.compounds import learn_lexicon
-from docquarry.operators.corpus import clean, has_duplicate_ids, one_row_per_id, words
-from docquarry.operators.joins import broadcast_if_small, fits
+from docquarry.operators.corpus import (
+    clean,
+    frequent_terms,
+    has_duplicate_ids,
+    one_row_per_id,
+    words,
+)
+from docquarry.operators.joins import broadcast_if_small
 from docquarry.operators.metrics import judged_questions
 from docquarry.plans.indexing import build_index
 from docquarry.plans.retrieval import rank
@@ -22,54 +28,99 @@ from docquarry.sources.shared import materialise
 from docquarry.sources.tables import CORPUS_SCHEMA, read_table, spread
 
 KEYS = ["split", "qid"]
-QUESTION_WORDS = 3
-GRAM = 3
 LEXICON_COUNT = 100
+STOPWORD_SHARE = 0.4
 
-# Ids a label row holds at most. A question with more relevant documents has
-# several label rows, one per block of ids, so that no row grows with the corpus.
+# Ids a label list holds at most. The relevant documents of a question come in parts, one
+# per block of ids; the part is a key of the list, so no list passes for a whole question.
 LABEL_BLOCK = 256
 
+WORD_GRAM = 3
+CHARACTER_GRAM = 5
 
-def _grams(text: Column) -> Column:
-    """All runs of three space-separated pieces of a text."""
-    pieces = F.split(text, " ")
-    shifted = [F.slice(pieces, i + 1, F.size(pieces)).alias(f"w{i}") for i in range(GRAM)]
-    return F.arrays_zip(*shifted)
 
+def _gram_keys(pieces: Column, kind: str, size: int) -> Column:
+    """Hashes of all runs of ``size`` pieces, each once."""
+    if size == 0:
+        return F.array(F.xxhash64(F.lit(kind), F.lit(0)))
+    shifted = [
+        F.slice(pieces, i + 1, F.greatest(F.size(pieces) - (size - 1), F.lit(0))).alias(f"w{i}")
+        for i in range(size)
+    ]
+    runs = F.arrays_zip(*shifted)
+    key = lambda run: F.xxhash64(F.lit(kind), F.lit(size), *[run[f"w{i}"] for i in range(size)])
+    return F.array_distinct(F.transform(runs, key))
 
-def _gram_key(prefix: str) -> Column:
-    return F.xxhash64(*[f"{prefix}.w{i}" for i in range(GRAM)])
+
+def _pieces(text: str, kind: str) -> Column:
+    if kind == "words":
+        return F.split(text, " ")
+    return F.filter(F.split(text, ""), lambda c: c != "")
+
+
+def _anchor_grams(passages: DataFrame, found: list) -> DataFrame:
+    """(keys, gram): runs that any text with the passage holds as well.
+
+    The inner words of a passage are whole words of the text. A passage without inner
+    words gives its first characters.
+    """
+    rows = []
+    for kind, size in found:
+        pieces = _pieces("question", kind)
+        if kind == "words":
+            pieces = F.slice(pieces, 2, F.size(pieces) - 2)
+        else:
+            pieces = F.slice(pieces, 1, size)
+        of_kind = passages.filter((F.col("kind") == kind) & (F.col("size") == size))
+        rows.append(of_kind.select(*KEYS, F.explode(_gram_keys(pieces, kind, size)).alias("gram")))
+    return reduce(DataFrame.unionByName, rows)
 
 
 def containing_documents(passages: DataFrame, docs: DataFrame) -> DataFrame:
     """(split, qid, doc_id): documents whose text contains the whole passage.
 
-    A document that contains a passage contains its inner pieces as whole pieces.
-    The second to fourth piece of each passage are therefore an equi-join key that
-    misses nothing; what it finds is then checked against the full texts.
+    ``passages`` is (split, qid, question). Every passage, however short, has runs of
+    words or characters that all texts containing it hold as well. The rarest of them is
+    an equi-join key that misses nothing; what it finds is checked against the full texts.
+    A null passage is in no text, an empty one in all texts but null ones.
     """
-    pieces = F.split("passage", " ")
-    inner = [F.get(pieces, i + 1) for i in range(GRAM)]
-    anchors = passages.select(
-        *KEYS, "passage", F.xxhash64(*inner).alias("gram"), F.size(pieces).alias("n")
+    inner = F.size(F.split("question", " ")) - 2
+    characters = F.size(_pieces("question", "characters"))
+    passages = passages.filter(F.col("question").isNotNull()).select(*KEYS, "question")
+    passages = passages.withColumns(
+        {
+            "kind": F.when(inner > 0, "words").otherwise("characters"),
+            "size": F.when(inner > 0, F.least(inner, F.lit(WORD_GRAM))).otherwise(
+                F.least(characters, F.lit(CHARACTER_GRAM))
+            ),
+        }
+    )
+    kinds = [(r.kind, r.size) for r in passages.select("kind", "size").distinct().collect()]
+    if not kinds:
+        return passages.select(*KEYS, F.lit(0).cast("long").alias("doc_id"))
+    grams = _anchor_grams(passages, sorted(kinds))
+    texts = docs.filter(F.col("text").isNotNull())
+    keys = F.concat(*[_gram_keys(_pieces("text", kind), kind, size) for kind, size in sorted(kinds)])
+    held = texts.select("doc_id", F.explode(keys).alias("gram"))
+    asked = broadcast_if_small(grams.select("gram").distinct())
+    counts = held.join(asked, "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).getField("gram")
+    anchors = (
+        grams.join(broadcast_if_small(materialise(counts, "gram-counts")), "gram", "left")
+        .groupBy(*KEYS)
+        .agg(rarest.alias("gram"))
     )
-    short = anchors.filter(F.col("n") < GRAM + 2).limit(1).count()
-    if short:
-        raise ValueError(f"passages need at least {GRAM + 2} words")
-    anchors = anchors.drop("n")
-    grams = docs.select("doc_id", "text", F.explode_outer(_grams(F.col("text"))).alias("g"))
-    grams = grams.withColumn("gram", _gram_key("g")).drop("g")
-    if fits(anchors):
-        found = grams.join(F.broadcast(anchors), "gram")
-    else:
-        # texts stay out of the shuffle by gram and join again for the check
-        pairs = grams.drop("text").join(anchors.drop("passage"), "gram")
-        pairs = pairs.select(*KEYS, "doc_id").distinct()
-        found = pairs.join(docs, "doc_id").join(passages, KEYS)
-    return found.filter(F.col("text").contains(F.col("passage"))).select(
-        *KEYS, "doc_id"
-    ).distinct()
+    # texts stay out of the join by gram; those it finds are looked up afterwards
+    pairs = materialise(held.join(broadcast_if_small(anchors), "gram").select(*KEYS, "doc_id"), "pairs")
+    candidates = documents_of(pairs, texts).join(pairs, "doc_id")
+    found = candidates.join(broadcast_if_small(passages.select(*KEYS, "question")), KEYS)
+    return found.filter(F.col("text").contains(F.col("question"))).select(*KEYS, "doc_id").distinct()
+
+
+def documents_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The documents (doc_id, text) that ``pairs`` names."""
+    ids = broadcast_if_small(pairs.select("doc_id").distinct())
+    return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
 
 
 class Workspace:
@@ -82,72 +133,76 @@ class Workspace:
         return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
-    def _repeated_ids(self) -> bool:
-        return has_duplicate_ids(self.table("documents"))
+    def _corpus(self) -> DataFrame:
+        docs = read_table(self.spark, f"{self.sf_dir}/documents.parquet", CORPUS_SCHEMA)
+        if has_duplicate_ids(docs):
+            return materialise(one_row_per_id(docs), "corpus")
+        return docs
 
     def corpus(self) -> DataFrame:
         """(doc_id, text), one row per id."""
-        path = f"{self.sf_dir}/documents.parquet"
-        docs = read_table(self.spark, path, CORPUS_SCHEMA)
-        return one_row_per_id(docs) if self._repeated_ids else docs
+        return self._corpus
 
     def words(self) -> DataFrame:
         """(doc_id, tokens) before any token is dropped."""
         return words(clean(self.spread_corpus()))
 
     def spread_corpus(self) -> DataFrame:
-        return spread(self.corpus(), "doc_id")
+        return spread(self.corpus(), self.input_bytes, "doc_id")
 
-    def passages(self) -> DataFrame:
-        """(split, qid, question, passage)."""
+    def questions(self) -> DataFrame:
+        """(split, qid, question): the whole passages."""
         even = F.col("item_id") % 2 == 0
-        first_words = F.slice(F.split("text", " "), 1, QUESTION_WORDS)
         return self.table("benchmark").select(
             F.when(even, "train").otherwise("test").alias("split"),
             F.col("item_id").alias("qid"),
-            F.array_join(first_words, " ").alias("question"),
-            F.col("text").alias("passage"),
+            F.col("text").alias("question"),
         )
 
-    def questions(self) -> DataFrame:
-        return self.passages().drop("passage")
-
     @cached_property
     def qrels(self) -> DataFrame:
         """(split, qid, doc_id) as a written table."""
-        return materialise(
-            containing_documents(self.passages(), self.spread_corpus()), "qrels"
-        )
+        return materialise(containing_documents(self.questions(), self.spread_corpus()), "qrels")
 
     def judged(self) -> DataFrame:
         return judged_questions(self.qrels, KEYS)
 
     @cached_property
-    def labels(self) -> DataFrame:
-        """(split, qid, question, cid, context_list) as a written table.
-
-        Both arrays are null for a question without relevant documents.
-        """
-        block = F.floor(F.col("doc_id") / LABEL_BLOCK)
-        relevant = F.sort_array(F.collect_list(F.struct("doc_id", "text")))
-        grouped = (
-            self.qrels.join(self.corpus(), "doc_id")
-            .groupBy(*KEYS, block.alias("block"))
-            .agg(relevant.alias("relevant"))
-        )
-        questions = self.questions()
-        judged = grouped.join(broadcast_if_small(questions), KEYS).select(
-            *KEYS,
-            "question",
-            F.col("relevant.doc_id").alias("cid"),
-            F.col("relevant.text").alias("context_list"),
+    def contexts(self) -> DataFrame:
+        """(doc_id, context) of all judged documents, as a written table."""
+        found = documents_of(self.qrels, self.corpus())
+        return materialise(found.withColumnRenamed("text", "context"), "contexts")
+
+    @cached_property
+    def label_lists(self) -> DataFrame:
+        """(split, qid, part, question, cid) as a written table: the relevant ids of a
+        question in parts of at most ``LABEL_BLOCK`` ids, for what works on arrays."""
+        part = F.floor(F.col("doc_id") / LABEL_BLOCK).alias("part")
+        lists = self.qrels.groupBy(*KEYS, part).agg(
+            F.sort_array(F.collect_list("doc_id")).alias("cid")
         )
-        unjudged = questions.join(self.judged(), KEYS, "left_anti")
-        return materialise(judged.unionByName(unjudged, allowMissingColumns=True), "labels")
+        joined = lists.join(broadcast_if_small(self.questions()), KEYS)
+        return materialise(joined.select(*KEYS, "part", "question", "cid"), "label-lists")
 
     @cached_property
     def index(self) -> Index:
-        return build_index(self.corpus(), unique_ids=True, input_bytes=self.input_bytes)
+        return build_index(self.corpus(), unique_ids=True)
+
+    @cached_property
+    def stopwords(self) -> DataFrame:
+        """(term) as a written table: terms of more than a share of the documents."""
+        listed = frequent_terms(self.index.terms, self.index.scalar("n_docs"), STOPWORD_SHARE)
+        return materialise(listed, "stopwords")
+
+    @cached_property
+    def compound_index(self) -> Index:
+        return build_index(self.corpus(), unique_ids=True, lexicon=self.lexicon)
+
+    @cached_property
+    def stopped_index(self) -> Index:
+        return build_index(
+            self.corpus(), unique_ids=True, lexicon=self.lexicon, stopwords=self.stopwords
+        )
 
     @cached_property
     def lexicon(self) -> DataFrame:

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from docquarry.functions.fixed import CHARSET_RE, TOKEN_RE
-from docquarry.plans.workspace import LABEL_BLOCK, LEXICON_COUNT
-from docquarry.registry.queries import (
-    CUTOFF,
-    LOOKUP_ID,
-    SAMPLE_ROWS,
-    STOPWORD_SHARE,
-)
+from docquarry.plans.workspace import LABEL_BLOCK, LEXICON_COUNT, STOPWORD_SHARE
+from docquarry.registry.queries import CUTOFF, LOOKUP_ID, SAMPLE_ROWS
+
 
 def _clean(text: str) -> str:
     return f"replace(lower(nfc_normalize(coalesce({text}, ''))), chr(65533), ' ')"
@@ -70,35 +68,56 @@ BLOCKS: dict[str, tuple[list[str], str]] = {
     "passages": (
         [],
         """SELECT CASE WHEN item_id % 2 = 0 THEN 'train' ELSE 'test' END AS split,
-            item_id AS qid, array_to_string(string_split(text, ' ')[1:3], ' ') AS question,
-            text AS passage FROM benchmark""",
+            item_id AS qid, text AS question FROM benchmark""",
     ),
     "rels": (
         ["passages", "corpus"],
         """SELECT split, qid, doc_id, corpus.text AS context
-            FROM passages JOIN corpus ON contains(corpus.text, passage)""",
+            FROM passages JOIN corpus ON contains(corpus.text, question)""",
     ),
     "judged": (
         ["rels"],
         "SELECT split, qid, count(*) AS n_relevant FROM rels GROUP BY split, qid",
     ),
+    # one row per question and block of ids, for what works on arrays
     "labels_": (
         ["passages", "rels"],
-        f"""SELECT p.split, p.qid, p.question, r.cid, r.contexts FROM passages p LEFT JOIN (
-            SELECT split, qid, doc_id // {LABEL_BLOCK} AS block,
-            list(doc_id ORDER BY doc_id) AS cid, list(context ORDER BY doc_id) AS contexts
-            FROM rels GROUP BY split, qid, block) r ON p.split = r.split AND p.qid = r.qid""",
+        f"""SELECT split, qid, doc_id // {LABEL_BLOCK} AS part, any_value(question) AS question,
+            list(doc_id ORDER BY doc_id) AS cid FROM rels JOIN passages USING (split, qid)
+            GROUP BY split, qid, part""",
     ),
 }
 
 
-def _asked(source: str) -> dict[str, tuple[list[str], str]]:
-    """Vectors and rankings for the questions in one column of ``passages``."""
+def _compound(keys: str, pairs: str) -> str:
+    """(keys, pos, token): greedy compounds of the pairs in the lexicon."""
+    p_keys = ", ".join(f"p.{key}" for key in keys.split(", "))
+    return f"""SELECT {keys}, pos,
+        CASE WHEN starts THEN t1 || '_' || t2
+             WHEN NOT coalesce(lag(starts) OVER (PARTITION BY {keys} ORDER BY pos), false)
+             THEN t1 END AS token
+      FROM (
+        SELECT {keys}, pos, t1, t2, matched AND (row_number() OVER (
+          PARTITION BY {keys}, matched, island ORDER BY pos) - 1) % 2 = 0 AS starts
+        FROM (
+          SELECT {p_keys}, p.pos, p.t1, p.t2, l.n IS NOT NULL AS matched,
+            p.pos - row_number() OVER (
+              PARTITION BY {p_keys}, l.n IS NOT NULL ORDER BY p.pos) AS island
+          FROM {pairs} p LEFT JOIN lexicon l ON p.t1 = l.t1 AND p.t2 = l.t2))"""
+
+
+def _question_words() -> str:
+    return f"""SELECT split, qid, unnest(l) AS token, generate_subscripts(l, 1) - 1 AS pos
+        FROM (SELECT split, qid, {_words('question')} AS l FROM passages)"""
+
+
+def _asked() -> dict[str, tuple[list[str], str]]:
+    """Vectors and rankings for the questions."""
     return {
+        "qwords": (["passages"], _question_words()),
         "qtok": (
-            ["passages"],
-            f"""SELECT split, qid, token AS term, count(*) AS qtf FROM (
-                SELECT split, qid, unnest({_words(source)}) AS token FROM passages)
+            ["qwords"],
+            f"""SELECT split, qid, token AS term, count(*) AS qtf FROM qwords
                 WHERE {KEPT} GROUP BY split, qid, token""",
         ),
         "qvec": (
@@ -185,8 +204,43 @@ def _metrics() -> str:
     )
 
 
-def _sql(select: str, needs: list[str], source: str = "question", times: str = "qtf") -> str:
-    blocks = BLOCKS | _asked(source)
+# What depends on the tokens; a variant of the text preparation has its own copies.
+DERIVED = "post terms lens avgs norms qtok qvec bm25 cosine scores ranking".split()
+
+
+def _variant(blocks: dict, stopped: bool) -> dict:
+    """Blocks named x_v instead of x: compounds joined, and stopwords dropped as well."""
+    renamed = re.compile(r"(?<!')\b(" + "|".join(DERIVED) + r")\b(?! *\()")
+    new = {
+        "comp": (["pairs", "lexicon"], _compound("doc_id", "pairs")),
+        "qpairs": (
+            ["qwords"],
+            """SELECT split, qid, pos, token AS t1,
+                lead(token) OVER (PARTITION BY split, qid ORDER BY pos) AS t2 FROM qwords""",
+        ),
+        "qcomp": (["qpairs", "lexicon"], _compound("split, qid", "qpairs")),
+    }
+    kept = f"token IS NOT NULL AND {KEPT}" + " AND token NOT IN (SELECT term FROM stop)" * stopped
+    stop = ["stop"] * stopped
+    for name in DERIVED:
+        needs, text = blocks[name]
+        needs = [f"{n}_v" if n in DERIVED else n for n in needs]
+        new[f"{name}_v"] = (needs, renamed.sub(r"\1_v", text))
+    new["post_v"] = (
+        ["comp", *stop],
+        f"SELECT doc_id, token AS term, count(*) AS tf FROM comp WHERE {kept} GROUP BY doc_id, token",
+    )
+    new["qtok_v"] = (
+        ["qcomp", *stop],
+        f"""SELECT split, qid, token AS term, count(*) AS qtf FROM qcomp WHERE {kept}
+            GROUP BY split, qid, token""",
+    )
+    return new
+
+
+def _sql(select: str, needs: list[str], times: str = "qtf", stopped: bool = False) -> str:
+    blocks = BLOCKS | _asked()
+    blocks |= _variant(blocks, stopped)
     order: list[str] = []
 
     def add(name: str) -> None:
@@ -209,7 +263,6 @@ def _rounded(names: list[str]) -> str:
     return ", ".join(f"round({c}, 6) AS {c}" for c in names)
 
 
-IDS = "array_to_string(cid, ',') AS cid"
 FIRST_QUESTION = "qid = (SELECT min(item_id) FROM benchmark)"
 
 
@@ -220,14 +273,29 @@ def oracle_sql() -> dict[str, str]:
         ["mrr", "map", "precision", "recall", "ndcg"]
     )
     return {
-        "corpus_profile": """SELECT count(*) AS n_rows, count(DISTINCT doc_id) AS n_ids,
-            count(DISTINCT text) AS n_texts FROM documents""",
+        "corpus_profile": """SELECT count(*) AS n_rows,
+            count(DISTINCT doc_id) + coalesce(max((doc_id IS NULL)::INT), 0) AS n_ids,
+            count(DISTINCT text) + coalesce(max((text IS NULL)::INT), 0) AS n_texts
+            FROM documents""",
         "corpus_describe": " UNION ALL ".join(
             f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean,
-            round(stddev_samp({c}), 6) AS stddev, CAST(min({c}) AS DOUBLE) AS min,
-            CAST(max({c}) AS DOUBLE) AS max FROM documents"""
+            round(stddev_samp({c}), 6) AS stddev, min({c})::VARCHAR AS min,
+            max({c})::VARCHAR AS max FROM documents"""
             for c in ("doc_id", "n_chars")
         ),
+        "labels_describe": _sql(
+            " UNION ALL ".join(
+                f"""SELECT '{c}' AS "column", count({c}) AS count, {mean} AS mean,
+                {deviation} AS stddev, min({c})::VARCHAR AS min, max({c})::VARCHAR AS max
+                FROM passages"""
+                for c, mean, deviation in (
+                    ("split", "NULL::DOUBLE", "NULL::DOUBLE"),
+                    ("qid", "round(avg(qid), 6)", "round(stddev_samp(qid), 6)"),
+                    ("question", "NULL::DOUBLE", "NULL::DOUBLE"),
+                )
+            ),
+            ["passages"],
+        ),
         "corpus_point_lookup": f"""SELECT doc_id AS cid, text FROM documents
             WHERE doc_id = {LOOKUP_ID}""",
         "corpus_sample_limit": _sql(
@@ -237,9 +305,9 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT doc_id, text FROM corpus WHERE doc_id <= {CUTOFF}", ["corpus"]
         ),
         "labels_array_cutoff": _sql(
-            f"""SELECT split, qid, question, string_agg(id, ',' ORDER BY id) AS cid FROM (
-            SELECT split, qid, question, cid[1] // {LABEL_BLOCK} AS block, unnest(cid) AS id
-            FROM labels_) WHERE id <= {CUTOFF} GROUP BY split, qid, question, block""",
+            f"""SELECT split, qid, part, question, array_to_string(cid, ',') AS cid FROM (
+            SELECT split, qid, part, question, list_filter(cid, lambda i: i <= {CUTOFF}) AS cid
+            FROM labels_) WHERE len(cid) > 0""",
             ["labels_"],
         ),
         "sample_consistent_qrels": _sql(
@@ -248,11 +316,11 @@ def oracle_sql() -> dict[str, str]:
             ["rels"],
         ),
         "reduce_tables_roundtrip": _sql(
-            f"""SELECT 'corpus' AS name, doc_id AS id, text AS content FROM documents
-            WHERE doc_id <= {CUTOFF} UNION ALL
-            SELECT 'labels', qid, string_agg(id, ',' ORDER BY id) FROM (
-            SELECT split, qid, cid[1] // {LABEL_BLOCK} AS block, unnest(cid) AS id
-            FROM labels_) WHERE id <= {CUTOFF} GROUP BY split, qid, block""",
+            f"""SELECT 'corpus' AS name, doc_id AS id, (-1)::BIGINT AS part, text AS content
+            FROM documents WHERE doc_id <= {CUTOFF} UNION ALL
+            SELECT 'labels', qid, part, array_to_string(cid, ',') FROM (
+            SELECT qid, part, list_filter(cid, lambda i: i <= {CUTOFF}) AS cid FROM labels_)
+            WHERE len(cid) > 0""",
             ["labels_"],
         ),
         "tokens_clean": _sql("SELECT doc_id, pos, token FROM tok", ["tok"]),
@@ -277,21 +345,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "tokens_compound": _sql(
             f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS pos,
-            token FROM (
-              SELECT doc_id, pos,
-                CASE WHEN starts THEN t1 || '_' || t2
-                     WHEN NOT coalesce(lag(starts) OVER (PARTITION BY doc_id ORDER BY pos), false)
-                     THEN t1 END AS token
-              FROM (
-                SELECT doc_id, pos, t1, t2, matched AND (row_number() OVER (
-                  PARTITION BY doc_id, matched, island ORDER BY pos) - 1) % 2 = 0 AS starts
-                FROM (
-                  SELECT p.doc_id, p.pos, p.t1, p.t2, l.n IS NOT NULL AS matched,
-                    p.pos - row_number() OVER (
-                      PARTITION BY p.doc_id, l.n IS NOT NULL ORDER BY p.pos) AS island
-                  FROM pairs p LEFT JOIN lexicon l ON p.t1 = l.t1 AND p.t2 = l.t2)))
-            WHERE token IS NOT NULL AND {KEPT}""",
-            ["pairs", "lexicon"],
+            token FROM comp WHERE token IS NOT NULL AND {KEPT}""",
+            ["comp"],
         ),
         "postings_positions": _sql(
             """SELECT doc_id, token AS term, string_agg(pos, ',' ORDER BY pos) AS positions
@@ -354,12 +409,21 @@ def oracle_sql() -> dict[str, str]:
         ),
         "rank_cosine_all": _sql(f"SELECT {ranked} WHERE method = 'tfidf'", ["ranking"]),
         "rank_bm25_distinct": _sql(
-            f"SELECT {ranked} WHERE method = 'bm25'", ["ranking"], source="passage", times="1"
+            f"SELECT {ranked} WHERE method = 'bm25'", ["ranking"], times="1"
         ),
         "rank_bm25_multiplicity": _sql(
-            f"SELECT {ranked} WHERE method = 'bm25'", ["ranking"], source="passage"
+            f"SELECT {ranked} WHERE method = 'bm25'", ["ranking"]
         ),
         "rank_both": _sql(f"SELECT method, {ranked}", ["ranking"]),
+        "rank_bm25_compound": _sql(
+            "SELECT split, qid, rank, doc_id, score FROM ranking_v WHERE method = 'bm25'",
+            ["ranking_v"],
+        ),
+        "rank_both_stopwords": _sql(
+            "SELECT method, split, qid, rank, doc_id, score FROM ranking_v",
+            ["ranking_v"],
+            stopped=True,
+        ),
         "rank_arrays": _sql(
             """SELECT method, split, qid, string_agg(doc_id, ',' ORDER BY rank) AS retrieved
             FROM ranking GROUP BY method, split, qid""",
@@ -378,18 +442,27 @@ def oracle_sql() -> dict[str, str]:
             ["rels"],
         ),
         "qrels_truth_sets": _sql("SELECT split, qid, n_relevant FROM judged", ["judged"]),
-        "query_lookup": _sql("SELECT 'q' || qid AS query_id, question FROM passages", ["passages"]),
+        "query_lookup": _sql(
+            """SELECT 'q' || qid AS query_id, question FROM passages
+            WHERE (split, qid) IN (SELECT (split, qid) FROM rels)""",
+            ["passages", "rels"],
+        ),
         "contexts_exploded": _sql(
             """SELECT qid, question, context FROM rels JOIN passages USING (split, qid)""",
             ["rels"],
         ),
         "contexts_distinct": _sql("SELECT DISTINCT context FROM rels", ["rels"]),
         "contexts_dedup": _sql(
-            """SELECT array_to_string(cid, ',') AS cid, min(context) AS context
-            FROM (SELECT cid, unnest(contexts) AS context FROM labels_) GROUP BY cid""",
-            ["labels_"],
+            """SELECT len(ids) AS n_ids, ids[1] AS first_id, min(context) AS context
+            FROM (SELECT split, qid, list(doc_id ORDER BY doc_id) AS ids FROM rels
+            GROUP BY split, qid) JOIN rels USING (split, qid) GROUP BY ids""",
+            ["rels"],
+        ),
+        "train_test_union": _sql(
+            """SELECT split, qid, question, coalesce(n_relevant, 0) AS n_relevant
+            FROM passages LEFT JOIN judged USING (split, qid)""",
+            ["passages", "judged"],
         ),
-        "train_test_union": _sql(f"SELECT split, qid, question, {IDS} FROM labels_", ["labels_"]),
         "metrics_per_query": _sql(
             f"SELECT method, split, qid, {metric_values} FROM metrics", ["metrics"]
         ),
@@ -407,8 +480,9 @@ def oracle_sql() -> dict[str, str]:
             ["metrics", "ranking", "passages"],
         ),
         "export_json_roundtrip": _sql(
-            """SELECT 'corpus' AS name, doc_id AS id, text AS content FROM corpus UNION ALL
-            SELECT 'questions', qid, concat_ws('|', question, array_to_string(cid, ','))
+            """SELECT 'corpus' AS name, doc_id AS id, (-1)::BIGINT AS part, text AS content
+            FROM corpus UNION ALL
+            SELECT 'questions', qid, part, concat_ws('|', question, array_to_string(cid, ','))
             FROM labels_ WHERE split = 'test'""",
             ["corpus", "labels_"],
         ),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docquarry.functions.text import nfc, token_string
 from docquarry.operators import compounds, corpus, metrics, postings, profile, sampling
 from docquarry.operators.questions import in_vocabulary, question_tokens, vectors_fit
-from docquarry.operators.joins import broadcast_if_small
+from docquarry.operators.joins import broadcast_if_small, lookup
 from docquarry.operators.ranking import candidates, ranked_lists, with_excerpts
 from docquarry.plans.evaluation import Evaluation, evaluate, evaluate_ranking, save_evaluation
 from docquarry.plans.reduction import reduce_tables
@@ -26,7 +26,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 SAMPLE_ROWS = 500
 CUTOFF = 500
 LOOKUP_ID = 42
-STOPWORD_SHARE = 0.4
 
 _queries: dict[str, Query] = {}
 
@@ -49,6 +48,15 @@ def ids(column: str) -> Column:
     return F.array_join(F.col(column).cast("array<string>"), ",").alias(column)
 
 
+def corpus_rows(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.lit("corpus").alias("name"),
+        F.col("doc_id").alias("id"),
+        F.lit(-1).cast("long").alias("part"),
+        F.col("text").alias("content"),
+    )
+
+
 def token_rows(tokens: DataFrame) -> DataFrame:
     rows = corpus.positions(tokens).filter(F.col("token").isNotNull())
     return rows.select("doc_id", F.col("pos").cast("long").alias("pos"), "token")
@@ -65,7 +73,13 @@ def corpus_profile(ws: Workspace) -> DataFrame:
 @query
 def corpus_describe(ws: Workspace) -> DataFrame:
     stats = profile.describe(ws.table("documents"), ["doc_id", "n_chars"])
-    return stats.select("column", "count", *[r6(c) for c in ("mean", "stddev", "min", "max")])
+    return stats.select("column", "count", r6("mean"), r6("stddev"), "min", "max")
+
+
+@query
+def labels_describe(ws: Workspace) -> DataFrame:
+    stats = profile.describe(ws.questions(), ["split", "qid", "question"])
+    return stats.select("column", "count", r6("mean"), r6("stddev"), "min", "max")
 
 
 @query
@@ -86,8 +100,8 @@ def corpus_sample_cutoff(ws: Workspace) -> DataFrame:
 
 @query
 def labels_array_cutoff(ws: Workspace) -> DataFrame:
-    cut = sampling.labels_up_to(ws.labels, CUTOFF)
-    return cut.select(*KEYS, "question", ids("cid"))
+    cut = sampling.labels_up_to(ws.label_lists, CUTOFF)
+    return cut.select(*KEYS, "part", "question", ids("cid"))
 
 
 @query
@@ -100,15 +114,13 @@ def sample_consistent_qrels(ws: Workspace) -> DataFrame:
 def reduce_tables_roundtrip(ws: Workspace) -> DataFrame:
     base = new_path(ws.spark, "reduced")
     labels = f"{base}/labels"
-    tables.write_table(ws.labels, labels)
+    tables.write_table(ws.label_lists, labels)
     out = [f"{base}/corpus-cut", f"{base}/labels-cut"]
     source = f"{ws.sf_dir}/documents.parquet"
     reduce_tables(ws.spark, source, [labels], out, CUTOFF)
     docs = tables.read_table(ws.spark, out[0])
     kept = tables.read_table(ws.spark, out[1])
-    return docs.select(
-        F.lit("corpus").alias("name"), F.col("doc_id").alias("id"), F.col("text").alias("content")
-    ).unionAll(kept.select(F.lit("labels"), "qid", ids("cid")))
+    return corpus_rows(docs).unionAll(kept.select(F.lit("labels"), "qid", "part", ids("cid")))
 
 
 # --- text -------------------------------------------------------------------
@@ -131,14 +143,10 @@ def docs_token_string(ws: Workspace) -> DataFrame:
     return documents.select("doc_id", token_string(F.col("tokens")).alias("content"), "dl")
 
 
-def stopword_list(ws: Workspace) -> DataFrame:
-    return corpus.frequent_terms(ws.index.terms, ws.index.scalar("n_docs"), STOPWORD_SHARE)
-
-
 @query
 def tokens_no_stopwords(ws: Workspace) -> DataFrame:
     tokens = ws.index.documents.select("doc_id", "tokens")
-    return token_rows(corpus.drop_stopwords(tokens, stopword_list(ws)))
+    return token_rows(corpus.drop_stopwords(tokens, ws.stopwords))
 
 
 @query
@@ -149,7 +157,7 @@ def lexicon_learn(ws: Workspace) -> DataFrame:
 @query
 def stopwords_load(ws: Workspace) -> DataFrame:
     path = new_path(ws.spark, "stopwords")
-    single = stopword_list(ws).select(F.concat(F.lit("  "), "term", F.lit(" ")))
+    single = ws.stopwords.select(F.concat(F.lit("  "), "term", F.lit(" ")))
     phrases = ws.lexicon.select(F.concat_ws(" ", "t1", "t2"))
     blank = single.select(F.lit(" "))
     single.unionAll(phrases).unionAll(blank).unionAll(single).write.text(path)
@@ -158,7 +166,7 @@ def stopwords_load(ws: Workspace) -> DataFrame:
 
 @query
 def tokens_compound(ws: Workspace) -> DataFrame:
-    placed = corpus.clean(ws.spread_corpus()).repartition(ws.index.buckets, "doc_id")
+    placed = corpus.clean(ws.corpus()).repartition(ws.index.buckets, "doc_id")
     joined = compounds.join_compounds(corpus.words(placed), ws.lexicon)
     return token_rows(corpus.keep_valid(joined))
 
@@ -223,10 +231,10 @@ def index_roundtrip(ws: Workspace) -> DataFrame:
     path = new_path(ws.spark, "copy")
     save_index(ws.index, path)
     again = open_index(ws.spark, path)
-    stats = again.terms.select("term", r6("idf"))
+    stats = again.terms.select("term", "df", r6("idf"))
     rows = again.postings.select("doc_id", "term", "tf", "dl")
     rows = rows.join(again.norms, "doc_id", "left")
-    joined = rows.join(broadcast_if_small(stats), "term")
+    joined = lookup(rows, stats, ["term"], weight="df")
     return joined.select("doc_id", "term", "tf", "dl", r6("l2"), "idf")
 
 
@@ -235,7 +243,7 @@ def index_roundtrip(ws: Workspace) -> DataFrame:
 
 @query
 def query_terms(ws: Workspace) -> DataFrame:
-    tokens = question_tokens(ws.questions(), KEYS)
+    tokens = question_tokens(ws.questions(), KEYS, **ws.index.preparation)
     known = in_vocabulary(tokens, ws.index.terms, vectors_fit(tokens))
     return known.select(*KEYS, "term", "qtf")
 
@@ -280,20 +288,15 @@ def rank_cosine_all(ws: Workspace) -> DataFrame:
     return rank(ws.index, ws.questions(), KEYS, methods=("tfidf",)).drop("method")
 
 
-def whole_passages(ws: Workspace) -> DataFrame:
-    """Passages as questions: long enough to repeat words."""
-    return ws.passages().select(*KEYS, F.col("passage").alias("question"))
-
-
 @query
 def rank_bm25_distinct(ws: Workspace) -> DataFrame:
-    asked = whole_passages(ws)
+    asked = ws.questions()
     return rank(ws.index, asked, KEYS, methods=("bm25",), query_tf="distinct").drop("method")
 
 
 @query
 def rank_bm25_multiplicity(ws: Workspace) -> DataFrame:
-    return rank(ws.index, whole_passages(ws), KEYS, methods=("bm25",)).drop("method")
+    return rank(ws.index, ws.questions(), KEYS, methods=("bm25",)).drop("method")
 
 
 @query
@@ -301,6 +304,16 @@ def rank_both(ws: Workspace) -> DataFrame:
     return rank(ws.index, ws.questions(), KEYS)
 
 
+@query
+def rank_bm25_compound(ws: Workspace) -> DataFrame:
+    return rank(ws.compound_index, ws.questions(), KEYS, methods=("bm25",)).drop("method")
+
+
+@query
+def rank_both_stopwords(ws: Workspace) -> DataFrame:
+    return rank(ws.stopped_index, ws.questions(), KEYS)
+
+
 @query
 def rank_arrays(ws: Workspace) -> DataFrame:
     keys = ["method", *KEYS]
@@ -318,38 +331,40 @@ def rank_excerpts(ws: Workspace) -> DataFrame:
 
 @query
 def qrels(ws: Workspace) -> DataFrame:
-    return metrics.prefixed_judgments(ws.labels)
+    return metrics.prefixed_judgments(ws.qrels)
 
 
 @query
 def qrels_truth_sets(ws: Workspace) -> DataFrame:
-    judged, _ = metrics.truth(ws.labels, KEYS)
+    judged, _ = metrics.truth(ws.label_lists, KEYS)
     return judged
 
 
 @query
 def query_lookup(ws: Workspace) -> DataFrame:
-    return metrics.query_lookup(ws.labels)
+    return metrics.query_lookup(ws.questions(), ws.qrels, KEYS)
 
 
 @query
 def contexts_exploded(ws: Workspace) -> DataFrame:
-    return profile.question_contexts(ws.labels)
+    found = profile.question_contexts(ws.qrels, ws.questions(), ws.contexts, KEYS)
+    return found.select("qid", "question", "context")
 
 
 @query
 def contexts_distinct(ws: Workspace) -> DataFrame:
-    return profile.distinct_contexts(ws.labels)
+    return ws.contexts.select("context").distinct()
 
 
 @query
 def contexts_dedup(ws: Workspace) -> DataFrame:
-    return profile.context_per_label_list(ws.labels).select(ids("cid"), "context")
+    return profile.context_per_id_set(ws.qrels, ws.contexts, KEYS)
 
 
 @query
 def train_test_union(ws: Workspace) -> DataFrame:
-    rows = ws.labels.select(*KEYS, "question", ids("cid"))
+    counted = ws.questions().join(ws.judged(), KEYS, "left")
+    rows = counted.select(*KEYS, "question", F.coalesce("n_relevant", F.lit(0)).alias("n_relevant"))
     train = rows.filter(F.col("split") == "train")
     return train.union(rows.filter(F.col("split") == "test"))
 
@@ -382,7 +397,7 @@ def _long(summary: DataFrame) -> DataFrame:
 
 @query
 def metrics_long(ws: Workspace) -> DataFrame:
-    return _long(evaluate(ws.index, ws.labels.drop("context_list"), KEYS).summary)
+    return _long(evaluate(ws.index, ws.label_lists, KEYS).summary)
 
 
 @query
@@ -412,12 +427,9 @@ def results_json_roundtrip(ws: Workspace) -> DataFrame:
 def export_json_roundtrip(ws: Workspace) -> DataFrame:
     base = new_path(ws.spark, "export")
     tables.export_corpus_json(ws.corpus(), f"{base}/corpus")
-    test = ws.labels.filter(F.col("split") == "test")
+    test = ws.label_lists.filter(F.col("split") == "test")
     tables.export_questions_json(test, f"{base}/questions")
     docs = ws.spark.read.schema(tables.CORPUS_SCHEMA).json(f"{base}/corpus")
     asked = ws.spark.read.schema(tables.LABELS_SCHEMA).json(f"{base}/questions")
-    return docs.select(
-        F.lit("corpus").alias("name"), F.col("doc_id").alias("id"), F.col("text").alias("content")
-    ).unionAll(
-        asked.select(F.lit("questions"), "qid", F.concat_ws("|", "question", ids("cid")))
-    )
+    content = F.concat_ws("|", "question", ids("cid"))
+    return corpus_rows(docs).unionAll(asked.select(F.lit("questions"), "qid", "part", content))

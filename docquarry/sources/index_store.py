@@ -3,7 +3,14 @@
 ``documents``, ``postings`` and ``norms`` share one bucketing by ``doc_id``, so
 scoring a (question, document) pair and joining document data needs no shuffle.
 Postings are sorted by term inside a bucket: a filter on a few terms skips most
-row groups by their statistics. ``terms`` and ``corpus`` are plain Parquet.
+row groups by their statistics. ``by_term`` holds the postings once more, bucketed by
+cell: a term, or a slice of the documents of a frequent term, with the documents' norms. A
+single query names its cells, so only their buckets are opened. The other tables are plain Parquet; ``lexicon``
+and ``stopwords`` are what the texts were prepared with, for the questions to come.
+
+A bucketed table is known to the catalog only while it is opened: the DataFrame keeps its
+bucketing, so nothing is left behind that someone would have to drop. The files stay until
+whoever chose the folder removes it.
 """
 
 from __future__ import annotations
@@ -11,7 +18,8 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BUCKETED = {
     "documents": ("doc_id BIGINT, tokens ARRAY<STRING>, dl BIGINT", "doc_id"),
@@ -20,10 +28,21 @@ BUCKETED = {
         "term",
     ),
     "norms": ("doc_id BIGINT, l2 DOUBLE", "doc_id"),
+    "by_term": (
+        "cell BIGINT, term STRING, doc_id BIGINT, tf BIGINT, dl BIGINT, l2 DOUBLE",
+        "cell",
+    ),
 }
+BUCKET_KEY = {"by_term": "cell"}
+SLICE_POSTINGS = 4_000_000  # of one term in one cell
 PLAIN = {
     "terms": "term STRING, df BIGINT, idf DOUBLE, bm25_idf DOUBLE",
-    "corpus": "n_docs BIGINT, n_nonempty BIGINT, avgdl DOUBLE, buckets INT",
+    "corpus": (
+        "n_docs BIGINT, n_nonempty BIGINT, avgdl DOUBLE, buckets INT,"
+        " compounds BOOLEAN, stopped BOOLEAN"
+    ),
+    "lexicon": "t1 STRING, t2 STRING, n BIGINT",
+    "stopwords": "term STRING",
 }
 
 
@@ -36,12 +55,16 @@ class Index:
     documents: DataFrame
     postings: DataFrame
     norms: DataFrame
+    by_term: DataFrame
     terms: DataFrame
     corpus: DataFrame
+    lexicon: DataFrame
+    stopwords: DataFrame
     path: str
     buckets: int
     n_docs: int
-    names: tuple[str, ...] = ()
+    compounds: bool
+    stopped: bool
 
     @property
     def spark(self) -> SparkSession:
@@ -58,26 +81,49 @@ class Index:
             return self.norms.hint("shuffle_hash")
         return self.norms
 
+    @property
+    def preparation(self) -> dict[str, DataFrame | None]:
+        """What its texts were prepared with."""
+        return {
+            "lexicon": self.lexicon if self.compounds else None,
+            "stopwords": self.stopwords if self.stopped else None,
+        }
+
     def scalar(self, name: str):
         """A corpus statistic as a scalar subquery."""
         return self.corpus.select(name).scalar()
 
 
-def new_names() -> dict[str, str]:
-    """Catalog names for the bucketed tables of one index."""
-    suffix = uuid.uuid4().hex
-    return {table: f"docquarry_{table}_{suffix}" for table in BUCKETED}
+def n_slices(df: Column) -> Column:
+    """Cells that the postings of a term with this document frequency are spread over."""
+    return F.ceil(df / SLICE_POSTINGS)
+
+
+def cell_of(term: Column, number: Column) -> Column:
+    return F.xxhash64(term, number.cast("long"))
 
 
-def save_bucketed(df: DataFrame, path: str, table: str, buckets: int, name: str) -> DataFrame:
+def _resolved(spark: SparkSession, name: str) -> DataFrame:
+    """The table as a DataFrame of its files, and the name given back."""
+    df = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return df
+
+
+def _new_name(table: str) -> str:
+    return f"docquarry_{table}_{uuid.uuid4().hex}"
+
+
+def save_bucketed(df: DataFrame, path: str, table: str, buckets: int) -> DataFrame:
+    name = _new_name(table)
     (
         df.write.format("parquet")
-        .bucketBy(buckets, "doc_id")
+        .bucketBy(buckets, BUCKET_KEY.get(table, "doc_id"))
         .sortBy(BUCKETED[table][1])
         .option("path", f"{path}/{table}")
         .saveAsTable(name)
     )
-    return df.sparkSession.table(name)
+    return _resolved(df.sparkSession, name)
 
 
 def save_plain(df: DataFrame, path: str, table: str) -> DataFrame:
@@ -87,38 +133,32 @@ def save_plain(df: DataFrame, path: str, table: str) -> DataFrame:
 
 def save_index(index: Index, path: str) -> Index:
     """Copy an index to another place, keeping its bucketing."""
-    names = new_names()
     kept = {
-        table: save_bucketed(getattr(index, table), path, table, index.buckets, name)
-        for table, name in names.items()
+        table: save_bucketed(getattr(index, table), path, table, index.buckets)
+        for table in BUCKETED
     }
     kept |= {table: save_plain(getattr(index, table), path, table) for table in PLAIN}
-    return replace(index, **kept, path=path, names=tuple(names.values()))
+    return replace(index, **kept, path=path)
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
-    """Open a stored index; its bucketed tables are registered in the catalog."""
+    """Open a stored index."""
     tables = {t: spark.read.schema(s).parquet(f"{path}/{t}") for t, s in PLAIN.items()}
     stats = tables["corpus"].first()
-    names = new_names()
-    for table, name in names.items():
-        schema, order = BUCKETED[table]
+    for table, (schema, order) in BUCKETED.items():
+        name, key = _new_name(table), BUCKET_KEY.get(table, "doc_id")
+        location = f"{path}/{table}".replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE {name} ({schema}) USING parquet"
-            f" CLUSTERED BY (doc_id) SORTED BY ({order}) INTO {stats.buckets} BUCKETS"
-            f" LOCATION '{path}/{table}'"
+            f" CLUSTERED BY ({key}) SORTED BY ({order}) INTO {stats.buckets} BUCKETS"
+            f" LOCATION '{location}'"
         )
-        tables[table] = spark.table(name)
+        tables[table] = _resolved(spark, name)
     return Index(
         **tables,
         path=path,
         buckets=stats.buckets,
         n_docs=stats.n_docs,
-        names=tuple(names.values()),
+        compounds=stats.compounds,
+        stopped=stats.stopped,
     )
-
-
-def unregister(index: Index) -> None:
-    """Remove an index from the catalog; its files stay and can be opened again."""
-    for name in index.names:
-        index.spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,9 +14,9 @@ CORPUS_SCHEMA = T.StructType(
 LABELS_SCHEMA = T.StructType(
     [
         T.StructField("qid", T.LongType()),
+        T.StructField("part", T.LongType()),
         T.StructField("question", T.StringType()),
         T.StructField("cid", T.ArrayType(T.LongType())),
-        T.StructField("context_list", T.ArrayType(T.StringType())),
     ]
 )
 RECORD_SCHEMA = T.StructType(
@@ -42,19 +44,26 @@ def read_table(
     return spark.read.schema(schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread over all cores by key if the input comes in fewer files than that.
+def spread(df: DataFrame, input_bytes: int, *keys: str) -> DataFrame:
+    """Spread over all cores by key if the scan would leave most of them idle.
 
-    A table stored as one row group is one task otherwise; a large one has more
-    files than there are cores and is left as it is. (Counting files, unlike
-    counting partitions, runs no part of the query.)
+    A small table stored as one row group is one task otherwise. One whose files, of
+    ``input_bytes`` together, make a full split for every core is left as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
+    session = df.sparkSession
+    cores = session.sparkContext.defaultParallelism
+    split = session.conf.get("spark.sql.files.maxPartitionBytes")
+    if input_bytes >= cores * _size(split):
         return df
     return df.repartition(cores, *keys)
 
 
+def _size(text: str) -> int:
+    """Bytes of a setting such as 128MB, 16m or 134217728b."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", text.strip().lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
 def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -93,4 +102,6 @@ def export_corpus_json(corpus: DataFrame, path: str) -> None:
 
 
 def export_questions_json(labels: DataFrame, path: str) -> None:
-    labels.select("qid", "question", "cid").write.mode("overwrite").json(path)
+    """Label lists; ``part``, where there is one, tells lists of one question apart."""
+    part = [c for c in ("part",) if c in labels.columns]
+    labels.select("qid", *part, "question", "cid").write.mode("overwrite").json(path)

@@ -5,7 +5,6 @@ import random
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import tuples
 from docquarry.operators import metrics, profile, sampling
@@ -174,18 +173,41 @@ def test_reduce_tables(spark, by, kept):
 
 
 def test_judgment_ids_and_lookup(spark):
-    labels = spark.createDataFrame(
-        [(1, "one", [4, 5]), (1, "one", [5]), (2, "two", None)], "qid long, question string, cid array<long>"
+    questions = spark.createDataFrame(
+        [("a", 1, "one"), ("b", 1, "uno"), ("a", 2, "two"), ("a", 3, "three")],
+        "split string, qid long, question string",
+    )
+    qrels = spark.createDataFrame(
+        [("a", 1, 4), ("b", 1, 4), ("a", 1, 5), ("a", 3, 5)], "split string, qid long, doc_id long"
     )
-    assert tuples(metrics.prefixed_judgments(labels)) == [("q1", "c4", 1), ("q1", "c5", 1)]
-    assert tuples(metrics.query_lookup(labels)) == [("q1", "one"), ("q2", "two")]
+    pairs = [("q1", "c4", 1), ("q1", "c5", 1), ("q3", "c5", 1)]
+    assert tuples(metrics.prefixed_judgments(qrels)) == pairs
+    # a question without a judgment is not listed
+    assert tuples(metrics.query_lookup(questions, qrels, KEYS)) == [("q1", "one"), ("q3", "three")]
 
 
 def test_profile_and_describe(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (3, None)], "doc_id long, text string")
-    assert tuples(profile.profile(docs)) == [(4, 3, 2)]
-    stats = profile.describe(docs, ["doc_id"])
-    assert tuples(stats) == [("doc_id", 4, 2.0, 0.816497, 1.0, 3.0)]
+    assert tuples(profile.profile(docs)) == [(4, 3, 3)]  # null is a value
+    assert tuples(profile.profile(docs.filter("doc_id = 2"))) == [(2, 1, 2)]
+    assert tuples(profile.profile(docs.limit(0))) == [(0, 0, 0)]
+    assert tuples(profile.describe(docs, ["doc_id", "text"])) == [
+        ("doc_id", 4, 2.0, 0.816497, "1", "3"),
+        ("text", 3, None, None, "a", "b"),
+    ]
+
+
+def test_contexts(spark):
+    qrels = spark.createDataFrame(
+        [("a", 1, 4), ("a", 1, 5), ("b", 1, 5), ("b", 1, 4), ("a", 2, 5)],
+        "split string, qid long, doc_id long",
+    )
+    contexts = spark.createDataFrame([(4, "x"), (5, "w")], "doc_id long, context string")
+    questions = spark.createDataFrame(
+        [("a", 1, "q"), ("b", 1, "r"), ("a", 2, "s")], "split string, qid long, question string"
+    )
+    assert tuples(profile.context_per_id_set(qrels, contexts, KEYS)) == [(1, 5, "w"), (2, 4, "w")]
+    assert profile.question_contexts(qrels, questions, contexts, KEYS).count() == 5
 
 
 def test_exports_and_summary_csv(spark, small_index):
@@ -208,24 +230,26 @@ def test_read_table_checks_columns(spark):
 @pytest.mark.parametrize("limit", [64 << 20, 0])
 def test_containment_against_brute_force(spark, setting, limit):
     rng = random.Random(11)
-    words = ["a", "b", "ab", "", "c.d"]
-    texts = [" ".join(rng.choices(words, k=rng.randint(0, 40))) for _ in range(80)]
-    passages = []
-    while len(passages) < 30:
-        text = rng.choice(texts)
+    words = ["a", "b", "ab", "", "c.d", "é😀", "longer"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 40))) for _ in range(80)] + [None]
+    passages = ["", " ", None, "never there at all", "zz"]
+    while len(passages) < 60:
+        text = rng.choice(texts[:-1])
         start = rng.randint(0, max(0, len(text) - 12))
-        part = text[start : start + rng.randint(8, 14)]
-        if len(part.split(" ")) >= 5:
-            passages.append(part)
+        passages.append(text[start : start + rng.randint(1, 14)])
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     asked = spark.createDataFrame(
-        [("test", i, p) for i, p in enumerate(passages)], "split string, qid long, passage string"
+        [("test", i, p) for i, p in enumerate(passages)], "split string, qid long, question string"
     )
-    want = [("test", i, d) for i, p in enumerate(passages) for d, text in enumerate(texts) if p in text]
+    want = [
+        ("test", i, d)
+        for i, p in enumerate(passages)
+        for d, text in enumerate(texts)
+        if p is not None and text is not None and p in text
+    ]
     with setting("docquarry.broadcastBytes", limit):
         assert tuples(containing_documents(asked, docs)) == sorted(want, key=repr)
-        with pytest.raises(ValueError):
-            containing_documents(asked.withColumn("passage", F.lit("too short")), docs)
+        assert containing_documents(asked.filter("question IS NULL"), docs).isEmpty()
 
 
 def test_shared_folder_comes_from_the_session(spark):

@@ -40,7 +40,7 @@ def test_workspace_is_reused_and_bound_to_the_files(spark, tmp_path):
         shutil.copy(f"{SMALL}/{name}.parquet", tmp_path / f"{name}.parquet")
     first = workspace(spark, str(tmp_path))
     (tmp_path / "benchmark.parquet").touch()
-    shutil.copy(f"/root/testdata/sf0.01/documents.parquet", tmp_path / "new.parquet")
+    shutil.copy("/root/testdata/sf0.01/documents.parquet", tmp_path / "new.parquet")
     (tmp_path / "documents.parquet").chmod(0o644)
     (tmp_path / "documents.parquet").write_bytes((tmp_path / "new.parquet").read_bytes())
     assert workspace(spark, str(tmp_path)) is not first

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL, tuples
 from docquarry.operators import postings, ranking
+from docquarry.operators.compounds import join_compounds
+from docquarry.operators.corpus import clean, drop_stopwords, words
 from docquarry.operators.joins import lookup
-from docquarry.plans.indexing import build_index
+from docquarry.plans.indexing import build_index, prepare_documents
 from docquarry.plans.retrieval import rank, retrieve, retrieve_bm25
 from docquarry.plans.workspace import KEYS, workspace
 from docquarry.sources import index_store
-from docquarry.sources.index_store import open_index, save_index, unregister
+from docquarry.sources.index_store import open_index, save_index
 from docquarry.sources.shared import new_path
 
 TOY = [
@@ -155,9 +157,76 @@ def test_stored_index_is_the_same(spark, toy):
         assert tuples(getattr(again, table)) == tuples(getattr(toy, table))
     query = ask(spark, "kế_toán công_ty")
     assert tuples(rank(again, query, ["qid"])) == tuples(rank(toy, query, ["qid"]))
-    unregister(again)
-    assert again.names and not any(spark.catalog.tableExists(n) for n in again.names)
-    assert tuples(open_index(spark, path).norms) == tuples(toy.norms)
+    assert tuples(retrieve(again, "công_ty")) == tuples(retrieve(toy, "công_ty"))
+
+
+def test_no_tables_are_left_in_the_catalog(spark, toy):
+    before = len(spark.catalog.listTables())
+    path = new_path(spark, "it's a copy")
+    save_index(toy, path)
+    assert open_index(spark, path).postings.count() == toy.postings.count()
+    assert len(spark.catalog.listTables()) == before
+
+
+def test_questions_are_prepared_like_the_index(spark):
+    texts = ["new york city hall", "old york town", "new shoes"]
+    docs = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
+    lexicon = spark.createDataFrame([("new", "york", 2)], "t1 string, t2 string, n long")
+    stop = spark.createDataFrame([("town",), (None,)], "term string")
+    index = build_index(docs, lexicon=lexicon, stopwords=stop)
+    for asked in (index, open_index(spark, index.path)):
+        assert tuples(retrieve_bm25(asked, "New York"), "doc_id") == [(1,)]
+        assert retrieve(asked, "town").isEmpty()
+        found = rank(asked, ask(spark, "new york town", "old york"), ["qid"], methods=("bm25",))
+        assert tuples(found, "qid", "doc_id") == [(0, 1), (1, 2)]
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_stopwords_with_nulls_whatever_the_size(spark, setting, limit):
+    docs = spark.createDataFrame([(1, ["new", "york"]), (2, ["new"]), (3, [])], "doc_id long, tokens array<string>")
+    listed = spark.createDataFrame([("new",), (None,), ("new",)], "term string")
+    with setting("docquarry.broadcastBytes", limit):
+        assert tuples(drop_stopwords(docs, listed)) == [(1, ["york"]), (2, []), (3, [])]
+        none = listed.filter("term IS NULL")
+        assert tuples(drop_stopwords(docs, none)) == [(1, ["new", "york"]), (2, ["new"]), (3, [])]
+
+
+def test_buckets_follow_the_texts(spark, setting):
+    docs = spark.createDataFrame([(i, "word " * 20) for i in range(50)], "doc_id long, text string")
+    assert build_index(docs).buckets == spark.sparkContext.defaultParallelism
+    with setting("docquarry.bucketBytes", 500):
+        assert build_index(docs).buckets == 10
+
+
+def test_build_shuffles_texts_once(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    plan = exchanges(prepare_documents(docs, 5))
+    assert len(plan) == 1 and "doc_id" in plan[0]
+
+
+def test_single_query_opens_its_buckets_only(spark, toy):
+    plan = plan_of(retrieve_bm25(toy, "thuế"))
+    assert f"SelectedBucketsCount: 1 out of {toy.buckets}" in plan
+
+
+def test_hot_words_on_both_sides(spark, setting):
+    docs = spark.createDataFrame([(i, f"hot w{i % 3}") for i in range(40)], "doc_id long, text string")
+    index = build_index(docs)
+    questions = ask(spark, *[f"hot w{i % 3}" for i in range(30)])
+    want = tuples(rank(index, questions, ["qid"]))
+    with setting("docquarry.broadcastBytes", 300), setting("docquarry.sliceRows", 7):
+        assert tuples(rank(index, questions, ["qid"])) == want
+
+
+def test_compounds_with_a_large_lexicon(spark, setting):
+    texts = ["a b a b c", "b a", "", None, "c a b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lexicon = spark.createDataFrame([("a", "b", 3), ("b", "c", 1)], "t1 string, t2 string, n long")
+    want = tuples(join_compounds(words(clean(docs)), lexicon))
+    with setting("docquarry.broadcastBytes", 0):
+        joined = join_compounds(words(clean(docs)), lexicon)
+        assert "ArrowEvalPython" not in plan_of(joined)
+        assert tuples(joined) == want
 
 
 def test_large_buckets_are_not_hashed(spark, toy, monkeypatch):
