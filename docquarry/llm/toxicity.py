@@ -1,7 +1,8 @@
 """Toxicity by the nearest labelled examples, with block-max inverted indexes.
 
-Texts become TF-IDF vectors over the terms whose presence is significantly associated
-with the label (chi-square over all labelled rows). The labelled examples stand in an
+Texts become TF-IDF vectors over the terms that are telling: their presence changes the
+share of toxic rows by a factor of ``least_lift`` or more, and significantly so (chi-square
+over all labelled rows; alone it would let in ever more common words as rows grow). The labelled examples stand in an
 inverted index whose postings are cut into blocks of examples with the largest weight
 of each term in each block. For a text, the blocks' upper bounds order them, and blocks
 that cannot hold one of the k nearest are never opened: the k nearest are exact. They
@@ -176,6 +177,7 @@ def train(
     terms: int = 8192,
     least_rows: int = 5,
     least_chi: float = 40.0,
+    least_lift: float = 2.0,
     examples: int = 5000,
 ) -> Index:
     """Learn from ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) marks."""
@@ -191,11 +193,14 @@ def train(
     by_term = _counted(labelled).groupBy("term").agg(
         F.sum("n").alias("df"), F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).alias("hits")
     )
-    expected = F.lit(float(n_toxic)) / F.lit(float(n or 1)) * F.col("df")
-    spread = expected * (1 - F.lit(float(n_toxic)) / F.lit(float(n or 1))) * (1 - F.col("df") / F.lit(float(n or 1)))
+    prior = n_toxic / n if n else 0.0
+    expected = prior * F.col("df")
+    spread = expected * (1 - prior) * (1 - F.col("df") / float(n or 1))
     chi = F.pow(F.col("hits") - expected, 2) / F.greatest(spread, F.lit(1e-9))
+    share = (F.col("hits") + prior) / (F.col("df") + 1)
     chosen = (
         by_term.filter(F.col("df") >= least_rows)
+        .filter((share >= least_lift * prior) | (share * least_lift <= prior))
         .withColumn("chi", chi)
         .filter(F.col("chi") >= least_chi)
         .orderBy(F.desc("chi"), "term")
@@ -222,9 +227,8 @@ def train(
     rows = sample.mapInArrow(vectors, "doc_id long, toxic int, counts map<string,int>").collect()
     stands_for = {toxic: 1 / share for toxic, share in fraction.items()}
     bare = [sum(stands_for[r.toxic] for r in rows if not r.counts and r.toxic == t) for t in (0, 1)]
-    prior = n_toxic / n if n else 0.0
-    share = (bare[1] + prior) / (sum(bare) + 1)
-    return build([r for r in rows if r.counts], chosen, n, n_toxic, stands_for, share)
+    bare_share = (bare[1] + prior) / (sum(bare) + 1)
+    return build([r for r in rows if r.counts], chosen, n, n_toxic, stands_for, bare_share)
 
 
 def score(docs: DataFrame, index: Index, k: int = 15) -> DataFrame:
