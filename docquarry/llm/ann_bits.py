@@ -145,7 +145,7 @@ def search_block(queries, vectors, codes, norms, agreement, ids, query_ids, turn
             continue
         known = vectors[first] @ query
         least = known.min() if len(first) == k else -np.inf
-        chosen = np.flatnonzero(upper >= least)
+        chosen = np.flatnonzero((upper >= least) & others)
         if len(first) == k:
             chosen = np.union1d(chosen, first)
         scores = np.einsum("ij,j->i", vectors[chosen], query)
