@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 def first_documents(docs: DataFrame, n: int) -> DataFrame:
     """The n documents with the smallest ids (ids are unique).
 
-    Only ids are ordered; the texts are then filtered by the n-th id in place.
+    Only ids are ordered, and the n smallest ids meet in one task, so n is meant to be a
+    sample's size; the texts are then filtered by the n-th id in place.
     """
     smallest = docs.select("doc_id").orderBy("doc_id").limit(n)
     last = smallest.agg(F.max("doc_id").alias("last")).scalar()

@@ -69,8 +69,8 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
-    """One phrase per line; blanks inside a phrase become '_'."""
-    phrase = F.btrim(F.col("value"), F.lit(" \t\r\n\f\v"))
+    """One phrase per line, without Unicode blanks around it; blanks inside become '_'."""
+    phrase = F.regexp_replace("value", r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$", "")
     return (
         spark.read.text(path)
         .select(F.lower(F.replace(phrase, F.lit(" "), F.lit("_"))).alias("term"))
