@@ -53,5 +53,86 @@ FROM p LEFT JOIN f USING (payload_digest)
 """
 
 
+WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+REPEATS = f"""
+WITH d AS (SELECT doc_id, {WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
+starts AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(w) - 18),
+    lambda i: struct_pack(i := i, run := array_to_string(w[i:i + 19], ' '))), recursive := true) FROM d
+),
+runs AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS place FROM starts
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS pos FROM runs WHERE place > 1),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text
+  FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) USING (doc_id)
+"""
+
+# {links} is (a, b) in both directions
+REACHED = """reached AS (
+  SELECT a AS id, a AS c FROM links UNION SELECT b, c FROM reached JOIN links ON id = a
+),
+classes AS (SELECT id, min(c) AS c FROM reached GROUP BY id)"""
+
+NEAR_TEXTS = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, {WORDS.format(text=f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')")} AS w
+  FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_ AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS m FROM s x JOIN s y USING (s)
+  WHERE x.doc_id <> y.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM both_ JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * m >= 80 * (na.n + nb.n - m)
+),
+{REACHED}
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, doc_id) AS component_id,
+  doc_id = coalesce(c, doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN classes ON doc_id = id
+"""
+
+NEAR_VECTORS = f"""
+WITH RECURSIVE e AS (
+  SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS l
+  FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_inner_product(v, v) > 0
+),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM e x JOIN e y
+  ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_inner_product(x.v, y.v) / (x.l * y.l) >= 0.9
+),
+{REACHED}
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(c, vec_id) AS component_id,
+  vec_id = coalesce(c, vec_id) AS kept
+FROM embeddings LEFT JOIN classes ON vec_id = id
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) ON vec_id = a
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_warc_archive": WARC, "op10_secret_scan": _secrets()}
+    return {
+        "op5_anchored_repeats": REPEATS,
+        "op6_subspace_join": NEAR_VECTORS,
+        "op7_warc_archive": WARC,
+        "op9_minhash_join": NEAR_TEXTS,
+        "op10_secret_scan": _secrets(),
+    }
