@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from docquarry.llm.components import components
 from docquarry.llm.repeats import Words, _mix, _numbers
+from docquarry.operators.joins import broadcast_if_small
 from docquarry.sources.shared import materialise
 
 SIGNED = "doc_id long, n_shingles long, digest binary, signature array<int>"
@@ -188,8 +189,10 @@ def link(docs: DataFrame, found: DataFrame, shingle: int, width: int, least: int
     tasks = tasks.unionByName(
         hubs.select("hub", "i", "j", F.lit(0).alias("side"), F.col("hub").alias("doc_id"))
     )
+    # while the list of tasks is small, texts stay where they are until they are dealt out
+    tasks = materialise(tasks, "tasks")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = tasks.join(texts, "doc_id")
+    rows = texts.join(broadcast_if_small(tasks), "doc_id")
 
     def run(table: pa.Table) -> pa.Table:
         ids, side = table["doc_id"].to_numpy(), table["side"].to_numpy()
