@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.llm.components import components
-from docquarry.llm.repeats import Words, _mix, _numbers
+from docquarry.llm.repeats import Words, mix, numbers
 from docquarry.operators.joins import broadcast_if_small
 from docquarry.sources.shared import materialise
 
@@ -65,7 +65,7 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
 
 def signatures(sets: list[np.ndarray], width: int) -> np.ndarray:
     """Minimum hashes, one row per (nonempty) set."""
-    factors, masks = _numbers(width, 7), _numbers(width, 8)
+    factors, masks = numbers(width, 7), numbers(width, 8)
     every = np.concatenate(sets)
     starts = np.cumsum([0, *(len(s) for s in sets[:-1])])
     out = np.empty((len(sets), width), np.uint32)
@@ -90,7 +90,7 @@ def sign(docs: DataFrame, shingle: int, width: int) -> DataFrame:
                 signed = iter(signatures(full, width).view(np.int32)) if full else iter(())
                 digests, rows = [], []
                 for s in sets:
-                    sums = (len(s), int(s.sum()), int(_mix(s).sum())) if len(s) else None
+                    sums = (len(s), int(s.sum()), int(mix(s).sum())) if len(s) else None
                     digests.append(sums and b"".join(v.to_bytes(8, "big") for v in sums))
                     rows.append(next(signed) if len(s) else None)
                 columns = [

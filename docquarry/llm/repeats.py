@@ -42,20 +42,20 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers (wrapping arithmetic)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-def _numbers(n: int, seed: int) -> np.ndarray:
+def numbers(n: int, seed: int) -> np.ndarray:
     """The first n of a fixed sequence of odd 64-bit numbers."""
     counter = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return _mix(counter + np.uint64(seed)) | np.uint64(1)
+    return mix(counter + np.uint64(seed)) | np.uint64(1)
 
 
-_BYTE = _numbers(256, 1)
+_BYTE = numbers(256, 1)
 
 
 class Words:
@@ -70,10 +70,10 @@ class Words:
         lengths = self.end - self.begin
         first = np.cumsum(lengths) - lengths
         place = np.arange(lengths.sum()) - np.repeat(first, lengths)
-        power = _numbers(int(lengths.max()) if len(lengths) else 0, 2)
+        power = numbers(int(lengths.max()) if len(lengths) else 0, 2)
         parts = _BYTE[data[solid]] * power[place]
         sums = np.add.reduceat(parts, first) if len(first) else np.empty(0, np.uint64)
-        self.hashes = _mix(sums + lengths.astype(np.uint64))
+        self.hashes = mix(sums + lengths.astype(np.uint64))
         starts = np.cumsum([0, *(len(t) + 1 for t in self.texts)])
         bounds = np.searchsorted(self.begin, starts)
         self.first, self.last = bounds[:-1], bounds[1:]  # words of each text
@@ -87,13 +87,13 @@ class Words:
         if at is None:
             n = max(0, len(h) - size + 1)
             total = np.zeros(n, np.uint64)
-            for k, factor in enumerate(_numbers(size, seed)):
+            for k, factor in enumerate(numbers(size, seed)):
                 total += h[k : k + n] * factor
         else:
             total = np.zeros(len(at), np.uint64)
-            for k, factor in enumerate(_numbers(size, seed)):
+            for k, factor in enumerate(numbers(size, seed)):
                 total += h[at + k] * factor
-        return _mix(total)
+        return mix(total)
 
     def starts(self, size: int, least: int) -> np.ndarray:
         """Words where a run of ``size`` starts within a text of ``least`` words."""

@@ -313,8 +313,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
 def archive(spark: SparkSession, pages: DataFrame, folder: str | None = None) -> tuple[DataFrame, str]:
     """Write all pages (page_id, url, html); returns the manifest and the folder."""
     folder = folder or new_path(spark, "warc")
-    if "://" not in folder:
-        folder = f"file://{folder}" if folder.startswith("/") else folder.replace("file:/", "file:///", 1)
+    if folder.startswith("/"):
+        folder = f"file://{folder}"
     records = plan_records(pages)
     dictionary = train_dictionary(records)
     return write_archives(records, folder, dictionary), folder
