@@ -103,10 +103,12 @@ def containing_documents(passages: DataFrame, docs: DataFrame) -> DataFrame:
     keys = F.concat(*[_gram_keys(_pieces("text", kind), kind, size) for kind, size in sorted(kinds)])
     held = texts.select("doc_id", F.explode(keys).alias("gram"))
     asked = broadcast_if_small(grams.select("gram").distinct())
-    counts = held.join(asked, "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    # one pass over the texts; which runs are rare shows afterwards
+    held = materialise(held.join(asked, "gram", "left_semi"), "gram-hits")
+    counts = held.groupBy("gram").agg(F.count("*").alias("n"))
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).getField("gram")
     anchors = (
-        grams.join(broadcast_if_small(materialise(counts, "gram-counts")), "gram", "left")
+        grams.join(broadcast_if_small(counts), "gram", "left")
         .groupBy(*KEYS)
         .agg(rarest.alias("gram"))
     )
