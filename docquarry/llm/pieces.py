@@ -246,11 +246,12 @@ class Model:
         for size, group in by_size.items():
             for start in range(0, len(group), GROUP):
                 part = group[start : start + GROUP]
-                for (word, raw), cuts in zip(part, self._walk([raw for _, raw in part], size)):
-                    out[word] = self._ids(raw, cuts).tobytes()
+                ids = self._walk([raw for _, raw in part], size)
+                out.update((word, i) for (word, _), i in zip(part, ids))
         return out
 
-    def _walk(self, raws: list[bytes], size: int) -> Iterator[list[tuple[int, int, int]]]:
+    def _walk(self, raws: list[bytes], size: int) -> list[bytes]:
+        """Ids, as bytes, of words of one length."""
         base, check, value = self.trie.base, self.trie.check, self.trie.value
         text = np.frombuffer(b"".join(raws), np.uint8).reshape(len(raws), size)
         width = np.select([text < 0xC0, text < 0xE0, text < 0xF0], [1, 2, 3], 4)
@@ -287,12 +288,19 @@ class Model:
                 update(rows[at], end + 1, here[at] + self.scores[found], start, found)
             bare = ~single
             update(rows[bare], start + wide[bare], here[bare] + self.unknown_score, start, -1)
-        for back_row, piece_row in zip(back.tolist(), with_piece.tolist()):
-            cuts, end = [], size
-            while end:
-                cuts.append((back_row[end], end, piece_row[end]))
-                end = back_row[end]
-            yield cuts[::-1]
+        # all paths back at once, last piece first
+        rows, at, steps = np.arange(len(raws)), np.full(len(raws), size), []
+        while at.any():
+            steps.append(np.where(at > 0, with_piece[rows, at], -2))
+            at = np.where(at > 0, back[rows, at], 0)
+        paths = np.stack(steps[::-1], axis=1)
+        taken = paths >= 0
+        ends = np.cumsum(taken.sum(axis=1)) * 4
+        ids = paths[taken].astype(np.int32).tobytes()
+        out = [ids[start:end] for start, end in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        for row in np.flatnonzero((paths == -1).any(axis=1)).tolist():  # with unknown characters
+            out[row] = self.segment(raws[row]).tobytes()
+        return out
 
     def encode(self, text: str | None) -> list[int]:
         words = self.words(self.normalise(text or ""))
@@ -301,10 +309,10 @@ class Model:
     # ------------------------------------------------------------ decoding
 
     def decode(self, ids) -> str:
-        surface = self.surface
-        if len(ids) and (min(ids) < 0 or max(ids) >= len(surface)):
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.surface)):
             raise ValueError("an id lies outside the vocabulary")
-        raw = b"".join(map(surface.__getitem__, ids))
+        raw = b"".join(map(self.surface.__getitem__, ids.tolist()))
         if len(ids) and self.dummy_prefix and self.pieces[ids[0]].startswith(MARK):
             raw = raw[1:]
         try:
@@ -368,7 +376,7 @@ def parse(data: bytes) -> Model:
 # ---------------------------------------------------------------- Spark
 
 
-def encode(docs: DataFrame, model: Model, block: int = 500) -> DataFrame:
+def encode(docs: DataFrame, model: Model, block: int = 2000) -> DataFrame:
     """``docs`` with ids array<int> and n_pieces added; only the text is looked at."""
     docs = docs.drop("ids", "n_pieces")
 
@@ -401,7 +409,12 @@ def decode(coded: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("ids"))
-            texts = [model.decode(i.as_py() or ()) for i in ids]
+            flat, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+            known = ids.is_valid().to_pylist()
+            texts = [
+                model.decode(flat[start:end] if valid else ())
+                for start, end, valid in zip(ends.tolist(), ends[1:].tolist(), known)
+            ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return coded.mapInArrow(run, T.StructType(coded.schema.fields + [T.StructField("decoded", T.StringType())]))
