@@ -193,21 +193,20 @@ def read_archive(content: bytes, name: str) -> Iterator[tuple]:
 # ---------------------------------------------------------------- Spark
 
 
-def train_dictionary(records: DataFrame, sample: int = 400, size: int = 32_768) -> bytes:
-    """A dictionary from a bounded sample: the ``sample`` payloads with the smallest
-    digests, 8 KiB of each. Empty where the sample is too small to train on."""
+def train_dictionary(pages: DataFrame, sample: int = 400, size: int = 32_768) -> bytes:
+    """A dictionary from a bounded sample: about ``sample`` distinct payloads of 100 bytes or
+    more, chosen by their hash, 8 KiB of each. Empty where that is too little to train on."""
     import zstandard
 
-    rows = (
-        records.filter("payload_bytes >= 100")
-        .select("digest", F.substring("payload", 1, 8192).alias("head"))
-        .dropDuplicates(["digest"])
-        .orderBy("digest")
-        .limit(sample)
-        .collect()
-    )
+    share = sample / max(1, pages.count())
+    draw = F.pmod(F.xxhash64("html", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
+    drawn = pages.filter((draw < share) & (F.octet_length("html") >= 100))
+    head = F.substring(F.encode("html", "UTF-8"), 1, 8192).alias("head")
+    # copies are drawn together and combine in their tasks
+    rows = drawn.select(F.sha2("html", 256).alias("digest"), head).dropDuplicates(["digest"]).collect()
     try:
-        return zstandard.train_dictionary(size, [bytes(row.head) for row in rows]).as_bytes()
+        heads = [bytes(row.head) for row in sorted(rows)]
+        return zstandard.train_dictionary(size, heads).as_bytes()
     except zstandard.ZstdError:
         return b""
 
@@ -316,7 +315,7 @@ def archive(spark: SparkSession, pages: DataFrame, folder: str | None = None) ->
     if folder.startswith("/"):
         folder = f"file://{folder}"
     records = plan_records(pages)
-    dictionary = train_dictionary(records)
+    dictionary = train_dictionary(pages)
     return write_archives(records, folder, dictionary), folder
 
 
