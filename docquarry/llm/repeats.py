@@ -3,7 +3,7 @@
 Fixed-block anchors: every text is cut into non-overlapping blocks of half a window, and
 these are the index. Any repeat of a window's length holds a whole block of the place
 that it repeats, so probing the index with every rolling run of a block's length misses
-none. Windows around a hit are candidates; they are compared by 160-bit hashes, the
+none. Windows around a hit are candidates; they are compared by 96-bit hashes, the
 earliest place of each wins, and the others, joined where they overlap, are the maximal
 repeats that go.
 
