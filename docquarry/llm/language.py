@@ -117,8 +117,8 @@ def fit_machine(x: np.ndarray, positive: np.ndarray, cost: float = 10.0, rounds:
     y = np.where(positive, 1.0, -1.0)
     share = {s: max(1, int((y[learn] == s).sum())) for s in (1.0, -1.0)}
     limit = np.array([cost * len(learn) / 2 / share[s] for s in y])
-    wide = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
-    norms = np.einsum("ij,ij->i", wide, wide)
+    wide = np.hstack([x, np.ones((len(x), 1), x.dtype)])  # single precision, to stay small
+    norms = np.einsum("ij,ij->i", wide, wide).astype(np.float64)
     alpha, weights = np.zeros(len(x)), np.zeros(wide.shape[1])
     for _ in range(rounds):
         for i in rng.permutation(learn):
@@ -218,8 +218,9 @@ def train(labelled: DataFrame, sample_rows: int = 4000) -> Model:
     learned = sample.mapInArrow(run, "lang string, x binary").toPandas().sort_values(["lang", "x"])
     if learned.empty:
         return Model()
-    x = np.frombuffer(b"".join(learned["x"]), np.float32).reshape(-1, WIDTH)
-    return fit(x, learned["lang"].to_numpy(object))
+    languages = learned["lang"].to_numpy(object)
+    x = np.frombuffer(b"".join(learned.pop("x")), np.float32).reshape(-1, WIDTH)
+    return fit(x, languages)
 
 
 def predict(docs: DataFrame, model: Model, block: int = 256) -> DataFrame:
