@@ -1,19 +1,22 @@
 """Toxicity by the nearest labelled examples, with block-max inverted indexes.
 
-Texts become TF-IDF vectors over the terms that are telling: their presence changes the
-share of toxic rows by a factor of ``least_lift`` or more, and significantly so (chi-square
-over all labelled rows; alone it would let in ever more common words as rows grow). The labelled examples stand in an
-inverted index whose postings are cut into blocks of examples with the largest weight
-of each term in each block. For a text, the blocks' upper bounds order them, and blocks
-that cannot hold one of the k nearest are never opened: the k nearest are exact. They
-vote with a weight that falls with distance; the votes, smoothed with the prior, are
-the score, and the neighbours are the evidence.
+Texts become TF-IDF vectors over the whole vocabulary of the labelled examples (only terms
+of a single labelled row are left out). No term is cut for saying little; how much it says
+is part of its weight: idf times ``floor`` plus the squared correlation (phi) of its
+presence with the label, over all labelled rows. That is between 0 and 1 whatever the
+number of rows and the share of toxic ones. (By idf alone, the nearest rows to a long text
+are those of its subject.) The examples stand in an inverted index whose postings are cut
+into blocks of examples with the largest weight of each term in each block. For a text, the
+blocks' upper bounds order them, and blocks that cannot hold one of the k nearest are never
+opened; where most could, all postings of the text's terms are added up in one go. The k
+nearest are exact either way. They vote with a weight that falls with distance; the votes,
+smoothed with the prior, are the score, and the neighbours are the evidence.
 
 Term statistics are counted over all labelled rows. The examples are a bounded sample
 of them (``examples`` per class at most, chosen by a hash of the text), and each votes
 for as many rows as it stands for.
 
-Defined results: a text without any of the terms (null and empty texts too) has no
+Defined results: a text without a term of the examples (null and empty texts too) has no
 neighbours and scores the smoothed share of toxic rows among labelled texts of that
 kind; without labelled rows every score is 0.5 before and 0 after rounding down by the
 prior, that is 0.0; equal similarities go to the smaller example id; a row labelled
@@ -26,10 +29,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
-from math import log, sqrt
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +42,7 @@ from docquarry.operators.joins import broadcast_if_small
 
 WORD = re.compile(r"[^\W\d_]+")
 BLOCK = 64
+OPENED = 4  # blocks opened before the others' bounds are looked at
 EVIDENCE = "array<struct<doc_id:bigint,similarity:double,toxic:int>>"
 
 
@@ -45,12 +50,24 @@ def words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def _spans(at: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The numbers from each ``at`` to before its ``end``, one after the other."""
+    sizes = end - at
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(at - before, sizes) + np.arange(sizes.sum())
+
+
+def _kth(sums: np.ndarray, k: int) -> float:
+    """The k-th largest."""
+    return np.partition(sums, -k)[-k] if len(sums) > k else 0.0
+
+
 @dataclass
 class Index:
     """Postings by term, examples ascending; ``blocks`` lists a term's blocks."""
 
     terms: dict[str, int]
-    idf: np.ndarray
+    gain: np.ndarray  # weight of each term: its idf, times what it says on the label
     starts: np.ndarray  # of each term's blocks
     blocks: np.ndarray  # block number of each (term, block)
     most: np.ndarray  # its largest weight
@@ -65,45 +82,54 @@ class Index:
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Terms and unit-length weights of a text."""
-        known = Counter(t for t in map(self.terms.get, words(text)) if t is not None)
+        known = Counter(map(self.terms.get, words(text)))
+        known.pop(None, None)
         if not known:
             return np.empty(0, np.int64), np.empty(0)
         terms = np.fromiter(known, np.int64, len(known))
         order = np.argsort(terms)
         terms = terms[order]
         tf = np.fromiter(known.values(), np.float64, len(known))[order]
-        weights = (1 + np.log(tf)) * self.idf[terms]
+        weights = (1 + np.log(tf)) * self.gain[terms]
         return terms, weights / np.sqrt(weights @ weights)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int):
         """Examples and cosines of the k nearest, exact."""
-        entries = [np.arange(self.starts[t], self.starts[t + 1]) for t in terms]
-        entry = np.concatenate(entries) if entries else np.empty(0, np.int64)
+        first, last = self.starts[terms], self.starts[terms + 1]
+        entry = _spans(first, last)
         if not len(entry):
             return np.empty(0, np.int64), np.empty(0)
-        share = np.repeat(weights, [len(e) for e in entries])
-        blocks, place = np.unique(self.blocks[entry], return_inverse=True)
-        bounds = np.bincount(place, share * self.most[entry])
-        by_block = np.argsort(place, kind="stable")
-        ends = np.cumsum(np.bincount(place))
-        rows, scores = np.empty(0, np.int64), np.empty(0)
-        least, step = -1.0, 4
-        order = np.argsort(-bounds, kind="stable")
-        at = 0
-        while at < len(order) and (len(rows) < k or bounds[order[at]] >= least - 1e-12):
-            opened = order[at : at + step]
-            at, step = at + len(opened), step * 2
-            own = np.concatenate([by_block[ends[b - 1] if b else 0 : ends[b]] for b in opened])
-            spans = [np.arange(self.cuts[entry[i]], self.cuts[entry[i] + 1]) for i in own]
-            postings = np.concatenate(spans)
-            parts = np.repeat(share[own], [len(s) for s in spans]) * self.weights[postings]
-            found, where = np.unique(self.rows[postings], return_inverse=True)
-            rows = np.concatenate([rows, found])
-            scores = np.concatenate([scores, np.bincount(where, parts)])
-            best = np.lexsort((rows, -np.round(scores, 12)))[:k]
-            rows, scores = rows[best], scores[best]
-            least = scores[-1]
-        return rows, np.minimum(scores, 1.0)
+        share, block, n = np.repeat(weights, last - first), self.blocks[entry], len(self.ids)
+        bounds = np.bincount(block, share * self.most[entry], minlength=n // BLOCK + 1)
+
+        def opened(which):
+            own = np.flatnonzero(which[block])
+            at, end = self.cuts[entry[own]], self.cuts[entry[own] + 1]
+            postings = _spans(at, end)
+            parts = np.repeat(share[own], end - at) * self.weights[postings]
+            return np.bincount(self.rows[postings], parts, minlength=n)
+
+        now = np.zeros(len(bounds), bool)
+        now[np.argsort(-bounds, kind="stable")[:OPENED]] = True
+        sums = opened(now)
+        more = (bounds > 0) & (bounds >= _kth(sums, k) - 1e-9) & ~now
+        if 4 * more.sum() > len(bounds):
+            sums = self._all(terms, weights)
+        elif more.any():
+            sums += opened(more)
+        rows = np.flatnonzero((sums > 0) & (sums >= _kth(sums, k) - 1e-9))
+        scores = sums[rows]
+        best = np.lexsort((rows, -np.round(scores, 12)))[:k]
+        return rows[best], np.minimum(scores[best], 1.0)
+
+    def _all(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The cosines with all examples. A term's postings lie side by side."""
+        at, end = self.cuts[self.starts[terms]], self.cuts[self.starts[terms + 1]]
+        slices = [slice(a, b) for a, b in zip(at.tolist(), end.tolist())]
+        rows = np.concatenate([self.rows[s] for s in slices])
+        parts = np.concatenate([self.weights[s] for s in slices])
+        parts *= np.repeat(weights, end - at)
+        return np.bincount(rows, parts, minlength=len(self.ids))
 
     def score(self, rows: np.ndarray, cosines: np.ndarray, smoothing: float = 1.0) -> float:
         """Votes of the neighbours, weighted by closeness; a close one counts most."""
@@ -116,33 +142,59 @@ class Index:
 
 
 def build(rows: list, terms: list, n_rows: int, n_toxic: int, stands_for: dict, bare: float) -> Index:
-    """An index of examples (doc_id, toxic, {term: count}) over terms (term, df)."""
+    """An index of examples (doc_id, toxic, {term: count}) over terms (term, df), by idf."""
     place = {row.term: i for i, row in enumerate(terms)}
-    idf = np.array([log((1 + n_rows) / (1 + row.df)) + 1 for row in terms])
-    rows = sorted(rows, key=lambda row: (sorted(row.counts), row.doc_id))  # alike ones share blocks
-    postings = []
-    for number, row in enumerate(rows):
-        found = {place[t]: (1 + log(n)) * idf[place[t]] for t, n in row.counts.items() if t in place}
-        length = sqrt(sum(w * w for w in found.values()))
-        postings += [(t, number, w / length) for t, w in found.items()]
-    postings.sort()
-    term, row, weight = (np.array(c) for c in zip(*postings)) if postings else (np.empty(0, np.int64),) * 3
-    pair = term.astype(np.int64) * (len(rows) // BLOCK + 1) + row.astype(np.int64) // BLOCK
+    found = [(e, place[t], n) for e, row in enumerate(rows) for t, n in row.counts.items() if t in place]
+    example, term, count = np.array(found, np.int64).reshape(-1, 3).T
+    return arrange(
+        place, idf(n_rows, np.array([row.df for row in terms], float)), example, term, count,
+        np.array([row.doc_id for row in rows], object), np.array([float(row.toxic) for row in rows]),
+        stands_for, n_toxic / n_rows if n_rows else 0.0, bare,
+    )
+
+
+def idf(n_rows: int, df: np.ndarray) -> np.ndarray:
+    return np.log((1 + n_rows) / (1 + df)) + 1
+
+
+def correlation(n_rows: int, n_toxic: int, df: np.ndarray, hits: np.ndarray) -> np.ndarray:
+    """The squared correlation (phi) of terms in ``df`` rows, ``hits`` of them toxic, with
+    the label; 0 where either does not vary."""
+    prior = n_toxic / n_rows if n_rows else 0.0
+    spread = df * prior * (1 - prior) * (n_rows - df)
+    return np.where(spread > 0, (hits - prior * df) ** 2 / np.where(spread > 0, spread, 1.0), 0.0)
+
+
+def arrange(terms, gain, example, term, count, ids, toxic, stands_for, prior, bare) -> Index:
+    """An index of postings (example, term, count) given as arrays."""
+    weight = (1 + np.log(count)) * gain[term]
+    weight = weight / np.sqrt(np.bincount(example, weight * weight, minlength=len(ids)))[example]
+    main = np.zeros(len(ids), np.int64)  # the heaviest term
+    order = np.argsort(weight, kind="stable")
+    main[example[order]] = term[order]
+    sizes = np.bincount(example, minlength=len(ids))
+    alike = np.lexsort((ids.astype(np.int64), sizes, main))  # alike ones share blocks
+    place = np.empty(len(ids), np.int64)
+    place[alike] = np.arange(len(ids))
+    example = place[example]
+    order = np.lexsort((example, term))
+    term, row, weight = term[order].astype(np.int64), example[order], weight[order]
+    pair = term * (len(ids) // BLOCK + 1) + row // BLOCK
     cuts = np.flatnonzero(np.r_[True, np.diff(pair) != 0]) if len(pair) else np.empty(0, np.int64)
-    toxic = np.array([float(r.toxic) for r in rows])
+    toxic = toxic[alike]
     return Index(
-        terms=place,
-        idf=idf,
+        terms=terms,
+        gain=gain,
         starts=np.searchsorted(term[cuts], np.arange(len(terms) + 1)),
-        blocks=row[cuts].astype(np.int64) // BLOCK,
+        blocks=row[cuts] // BLOCK,
         most=np.maximum.reduceat(weight, cuts) if len(cuts) else np.empty(0),
         cuts=np.r_[cuts, len(term)],
-        rows=row.astype(np.int64),
-        weights=weight.astype(np.float64),
-        ids=np.array([r.doc_id for r in rows], object),
+        rows=row.astype(np.int32),
+        weights=weight,
+        ids=ids[alike],
         toxic=toxic,
         stands_for=np.array([stands_for[int(t)] for t in toxic]),
-        prior=n_toxic / n_rows if n_rows else 0.0,
+        prior=prior,
         bare=bare,
     )
 
@@ -150,14 +202,14 @@ def build(rows: list, terms: list, n_rows: int, n_toxic: int, stands_for: dict,
 # ---------------------------------------------------------------- Spark
 
 
-def _counted(labelled: DataFrame) -> DataFrame:
-    """(term, toxic, n): rows that hold a term, summed up by every batch."""
+def _counted(labelled: DataFrame, known: frozenset) -> DataFrame:
+    """(term, toxic, n): rows that hold a known term, summed up by every batch."""
 
     def run(batches):
         for batch in batches:
             counts: Counter = Counter()
             for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-                counts.update((w, toxic) for w in set(words(text.as_py())))
+                counts.update((w, toxic) for w in known.intersection(words(text.as_py())))
             keys = list(counts)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -168,16 +220,14 @@ def _counted(labelled: DataFrame) -> DataFrame:
                 names=["term", "toxic", "n"],
             )
 
-    return labelled.mapInArrow(run, "term string, toxic int, n long")
+    return labelled.select("text", "toxic").mapInArrow(run, "term string, toxic int, n long")
 
 
 def train(
     docs: DataFrame,
     labels: DataFrame,
-    terms: int = 8192,
-    least_rows: int = 5,
-    least_chi: float = 40.0,
-    least_lift: float = 2.0,
+    least_rows: int = 2,
+    floor: float = 1e-3,
     examples: int = 5000,
 ) -> Index:
     """Learn from ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) marks."""
@@ -190,59 +240,63 @@ def train(
     labelled = labelled.withColumn("toxic", (F.col("toxic") > 0).cast("int"))
     totals = {row.toxic: row["count"] for row in labelled.groupBy("toxic").count().collect()}
     n, n_toxic = sum(totals.values()), totals.get(1, 0)
-    by_term = _counted(labelled).groupBy("term").agg(
-        F.sum("n").alias("df"), F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).alias("hits")
-    )
     prior = n_toxic / n if n else 0.0
-    expected = prior * F.col("df")
-    spread = expected * (1 - prior) * (1 - F.col("df") / float(n or 1))
-    chi = F.pow(F.col("hits") - expected, 2) / F.greatest(spread, F.lit(1e-9))
-    share = (F.col("hits") + prior) / (F.col("df") + 1)
-    chosen = (
-        by_term.filter(F.col("df") >= least_rows)
-        .filter((share >= least_lift * prior) | (share * least_lift <= prior))
-        .withColumn("chi", chi)
-        .filter(F.col("chi") >= least_chi)
-        .orderBy(F.desc("chi"), "term")
-        .limit(terms)
-        .collect()
-    )
-    known = frozenset(row.term for row in chosen)
     fraction = {toxic: min(1.0, examples / count) for toxic, count in totals.items()}
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)
     limit = F.when(F.col("toxic") == 1, fraction.get(1, 1.0)).otherwise(fraction.get(0, 1.0))
 
     def vectors(batches):
         for batch in batches:
-            found = [
-                {t: c for t, c in Counter(words(text.as_py())).items() if t in known}
-                for text in batch.column("text")
+            found = [Counter(words(text.as_py())) for text in batch.column("text")]
+            arrays = [
+                batch.column("doc_id"),
+                batch.column("toxic"),
+                pa.array([list(f) for f in found], pa.list_(pa.string())),
+                pa.array([list(f.values()) for f in found], pa.list_(pa.int32())),
             ]
-            counts = pa.array([list(f.items()) for f in found], pa.map_(pa.string(), pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), counts], names=["doc_id", "toxic", "counts"]
-            )
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "toxic", "terms", "counts"])
 
     sample = labelled.filter(draw < limit).select("doc_id", "toxic", "text")
-    rows = sample.mapInArrow(vectors, "doc_id long, toxic int, counts map<string,int>").collect()
+    rows = sample.mapInArrow(vectors, "doc_id long, toxic int, terms array<string>, counts array<int>").toArrow()
+    rows = rows.combine_chunks()
+    coded = pc.list_flatten(rows["terms"]).combine_chunks().dictionary_encode()
+    if isinstance(coded, pa.ChunkedArray):
+        coded = coded.combine_chunks()
+    names = coded.dictionary.to_pylist()
+    by_term = _counted(labelled, frozenset(names)).groupBy("term").agg(
+        F.sum("n").alias("df"), F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).alias("hits")
+    )
+    chosen = by_term.filter(F.col("df") >= least_rows).toArrow().sort_by("term")
+    df, hits = (chosen[c].to_numpy().astype(float) for c in ("df", "hits"))
+    place = {term: i for i, term in enumerate(chosen["term"].to_pylist())}
+    gain = idf(n, df) * (floor + correlation(n, n_toxic, df, hits))
+
+    term = np.array([place.get(name, -1) for name in names], np.int64)[coded.indices.to_numpy()]
+    example = pc.list_parent_indices(rows["terms"]).to_numpy().astype(np.int64)
+    count = pc.list_flatten(rows["counts"]).to_numpy().astype(np.int64)
+    known = term >= 0
+    term, example, count = term[known], example[known], count[known]
+    ids, toxic = rows["doc_id"].to_numpy(), rows["toxic"].to_numpy().astype(float)
+    there = np.bincount(example, minlength=len(ids)) > 0
     stands_for = {toxic: 1 / share for toxic, share in fraction.items()}
-    bare = [sum(stands_for[r.toxic] for r in rows if not r.counts and r.toxic == t) for t in (0, 1)]
+    bare = [stands_for.get(t, 1.0) * float(np.sum(~there & (toxic == t))) for t in (0, 1)]
     bare_share = (bare[1] + prior) / (sum(bare) + 1)
-    return build([r for r in rows if r.counts], chosen, n, n_toxic, stands_for, bare_share)
+    example = (np.cumsum(there) - 1)[example]
+    return arrange(place, gain, example, term, count, ids[there], toxic[there], stands_for, prior, bare_share)
 
 
 def score(docs: DataFrame, index: Index, k: int = 15) -> DataFrame:
     """``docs`` with score, predicted and evidence added; only the text is looked at."""
     docs = docs.drop("score", "predicted", "evidence")
-    keep = 100_000
+    keep = 2000
 
     def run(batches):
-        known: dict[bytes, tuple] = {}  # texts with the same few terms need one search
+        known: dict[bytes, tuple] = {}  # copies need one search
         for batch in batches:
             scores, evidence = [], []
             for text in batch.column(batch.schema.get_field_index("text")):
                 terms, weights = index.vector(text.as_py())
-                key = terms.tobytes() + weights.tobytes()
+                key = blake2b(terms.tobytes() + weights.tobytes(), digest_size=16).digest()
                 if key not in known:
                     if len(known) >= keep:
                         known.clear()

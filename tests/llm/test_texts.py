@@ -218,6 +218,19 @@ def test_block_max_search_is_exact():
         assert np.allclose(cosines[: positive.sum()], whole[want][positive])
 
 
+def test_toxicity_indexes_every_example_over_its_whole_vocabulary(spark):
+    rng = random.Random(6)
+    names = [f"t{chr(97 + i)}{chr(97 + j)}" for i in range(8) for j in range(10)]
+    texts = [" ".join(rng.choices(names, k=12)) for _ in range(120)]
+    texts[:6] = [t + " idiot" for t in texts[:6]]
+    labels = spark.createDataFrame([(i, int(i < 6)) for i in range(120)], "doc_id long, toxic int")
+    index = toxicity.train(frame(spark, list(enumerate(texts))), labels)
+    assert sorted(index.ids) == list(range(120)) and set(index.terms) == {*names, "idiot"}
+    for row in toxicity.score(frame(spark, list(enumerate(texts))), index).collect():
+        assert len(row.evidence) == 15 and row.evidence[0].similarity == pytest.approx(1.0)
+        assert row.evidence[0].doc_id == row.doc_id and row.predicted == (row.doc_id < 6)
+
+
 def test_toxicity_without_labels(spark):
     labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
     index = toxicity.train(frame(spark, [(1, "a")]), labels)
