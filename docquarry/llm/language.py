@@ -6,7 +6,8 @@ machines separate each family from all others; within a family, one machine per
 of languages separates the closely related ones and the pairs vote. Every machine's
 margin is turned into a probability by a logistic curve fitted on a part of the sample
 the machine did not learn from; the score is the family's probability times the
-language's within it.
+language's within it, which couples the pairs: 1 / (sum of 1 / p_ij - (m - 2)) for m
+languages, made to add up to 1. It is 1 for a unanimous winner, 1/m without any preference.
 
 The machines learn from a bounded sample of the labelled rows (``sample_rows``, dealt
 evenly over the languages and chosen by a hash of the text); whole texts are read.
@@ -160,13 +161,17 @@ class Model:
         for place, name in enumerate(names):
             rows = np.flatnonzero(chosen == place)
             members = self.families[name]
-            votes = np.full((len(members), len(rows)), 1e-12)
-            for i, j in combinations(range(len(members)), 2):
-                p = self.pair_machines[members[i], members[j]].probability(x[rows])
+            m = len(members)
+            votes, odds = np.zeros((m, len(rows))), np.full((m, len(rows)), 2.0 - m)
+            for i, j in combinations(range(m), 2):
+                p = np.clip(self.pair_machines[members[i], members[j]].probability(x[rows]), 1e-12, 1 - 1e-12)
                 votes[i] += p
                 votes[j] += 1 - p
-            within = votes / votes.sum(axis=0)
-            best = within.argmax(axis=0)
+                odds[i] += 1 / p
+                odds[j] += 1 / (1 - p)
+            within = 1 / np.maximum(odds, 1.0)  # pairwise coupling
+            within /= within.sum(axis=0)
+            best = votes.argmax(axis=0)
             out[rows] = np.array(members, object)[best]
             score[rows] *= within[best, np.arange(len(rows))]
         return out, np.clip(score, 0.0, 1.0)

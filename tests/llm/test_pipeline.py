@@ -1,10 +1,13 @@
 """The registered queries and the pipeline on a small table."""
 
+import random
+
 import pytest
 
 import corpus_pipeline
 from compare import connect, difference
 from conftest import SMALL
+from docquarry.llm import language
 from docquarry.llm.queries import oracle_sql, queries
 
 SQL = oracle_sql()
@@ -46,6 +49,21 @@ def test_stages_take_effect(spark):
     assert len(ids["language"]) >= 0.99 * docs.count()
 
 
+def test_languages_of_a_large_family_stay(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rng, many = random.Random(3), []
+    for number, lang in enumerate(["en", "de", "nl", "sv", "da", "no", "is", "fy"]):
+        letters = [chr(97 + (5 * number + i) % 26) for i in range(12)]
+        words = ["".join(rng.choices(letters, k=rng.randrange(2, 7))) for _ in range(200)]
+        many += [(100 * number + i, " ".join(rng.choices(words, k=60)), lang, "s", 300) for i in range(40)]
+    table = spark.createDataFrame(many, docs.schema)
+    kept = corpus_pipeline.language_stage(spark, table, SMALL)
+    assert kept.count() >= 0.98 * len(many)
+    told = language.predict(table, language.train(table)).collect()
+    right = [r.score for r in told if r.lang == r.lang_pred]
+    assert len(right) >= 0.98 * len(many) and sorted(right)[len(right) // 2] > 0.8
+
+
 def test_empty_corpus(spark):
     now = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
