@@ -231,6 +231,20 @@ def test_toxicity_indexes_every_example_over_its_whole_vocabulary(spark):
         assert row.evidence[0].doc_id == row.doc_id and row.predicted == (row.doc_id < 6)
 
 
+@pytest.mark.parametrize("n_toxic", [60, 100])
+def test_toxicity_where_half_or_more_is_toxic(spark, n_toxic):
+    rng = random.Random(7)
+    names = [f"t{chr(97 + i)}{chr(97 + j)}" for i in range(8) for j in range(10)]
+    texts = [" ".join(rng.choices(names, k=12)) for _ in range(120)]
+    texts[:n_toxic] = [t + " idiot" for t in texts[:n_toxic]]
+    labels = spark.createDataFrame([(i, int(i < n_toxic)) for i in range(120)], "doc_id long, toxic int")
+    index = toxicity.train(frame(spark, list(enumerate(texts))), labels)
+    assert index.gain[index.terms["idiot"]] == max(index.gain)
+    odd = [(1, " ".join(rng.choices(names, k=12)) + " idiot"), (2, " ".join(rng.choices(names, k=12)))]
+    rows = {r.doc_id: r for r in toxicity.score(frame(spark, odd), index).collect()}
+    assert rows[1].evidence and rows[1].predicted == 1 and rows[2].score < rows[1].score
+
+
 def test_toxicity_without_labels(spark):
     labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
     index = toxicity.train(frame(spark, [(1, "a")]), labels)
