@@ -21,7 +21,7 @@ from docquarry.operators.joins import broadcast_if_small
 from docquarry.sources.shared import materialise
 
 LEAST_SCORE = 0.3  # of a language; clear texts of a few words score far higher
-GROWTH = 1.15  # expected tokens after mixing, relative to before
+WHOLE = ("good", "low")  # domains that mixing repeats if need be, but does not thin out
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Repeats and leaves out documents so that expected tokens meet the target shares."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = mixing.train(mixing.label_domains(docs, labels))
-    rated = mixing.fit_rates(docs, model, MIX, growth=GROWTH)
+    rated = mixing.fit_rates(docs, model, MIX, growth=None, whole=WHOLE)
     return mixing.resample(rated).select(*docs.columns)
 
 

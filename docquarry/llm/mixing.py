@@ -108,7 +108,8 @@ def fit_rates(
     docs: DataFrame,
     model: Classifier,
     weights: dict[str, float],
-    growth: float = 1.0,
+    growth: float | None = 1.0,
+    whole: tuple[str, ...] = (),
     strength: float = 100.0,
     tolerance: float = 1e-4,
     rounds: int = 30,
@@ -116,7 +117,9 @@ def fit_rates(
     """``docs`` with tokens, posteriors and rate added.
 
     ``weights`` are the target shares of the domains, ``growth`` the target number of
-    expected tokens relative to the present one. Stops when every domain is within
+    expected tokens relative to the present one. Without it, that is the smallest one for
+    which no text that is surely of a domain of ``whole`` has a rate under 1, or 1 if none
+    of them has tokens and a target. Stops when every domain is within
     ``tolerance`` of its target, relative to the total, or after ``rounds``.
     """
     docs = docs.drop("tokens", "posteriors", "rate")
@@ -143,6 +146,11 @@ def fit_rates(
     metric += np.eye(width) * 1e-9 * np.trace(metric)
     shares = np.array([max(0.0, weights.get(domain, 0.0)) for domain in model.domains])
     shares = shares / shares.sum() if shares.sum() else np.full(width, 1 / width)
+    if growth is None:  # rates are growth * (posteriors @ unit) unless cut off at zero
+        unit = np.linalg.solve(metric, shares * float(gram.n))
+        sums = metric.sum(axis=1)  # posteriors add up to 1
+        asked = [d for d, domain in enumerate(model.domains) if domain in whole and shares[d] and sums[d] >= 1]
+        growth = max([1 / unit[d] if unit[d] > 0 else sums[d] / (shares[d] * gram.n) for d in asked], default=1.0)
     target = shares * float(gram.n) * growth
     rate = F.lit(1.0)
     for _ in range(rounds):

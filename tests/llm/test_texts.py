@@ -272,6 +272,21 @@ def test_mixing_meets_the_targets(spark):
     assert mixing.fit_rates(docs.limit(0), model, weights).isEmpty()
 
 
+@pytest.mark.parametrize("good, low", [(95, 3), (60, 30), (77, 12)])
+def test_mixing_thins_out_no_whole_domain(spark, good, low):
+    names = ["good"] * good + ["low"] * low + ["toxic"] * (100 - good - low)
+    text = {"good": "aa ab ac ", "low": "ba bb bc ", "toxic": "ca cb cc "}
+    labelled = spark.createDataFrame([(text[n] * 40, n) for n in names], "text string, domain string")
+    rows = [(i, text[n] * 40) for i, n in enumerate(names)]
+    rates = {"good": 0.80, "low": 0.15, "toxic": 0.05}
+    rated = mixing.fit_rates(frame(spark, rows), mixing.train(labelled), rates, growth=None, whole=("good", "low"))
+    by_name = {names[r.doc_id]: r.rate for r in rated.collect()}
+    assert min(by_name["good"], by_name["low"]) == pytest.approx(1.0, abs=1e-3)
+    for name in rates:
+        at = rates[name] * by_name["good"] / rates["good"] * good / names.count(name)
+        assert by_name[name] == pytest.approx(at, rel=0.01)
+
+
 def test_mixing_odd_texts(spark):
     labelled = spark.createDataFrame([("aa bb", "x"), ("cc", "y"), (None, "y"), ("zz", None)], "text string, domain string")
     model = mixing.train(labelled)
