@@ -14,7 +14,7 @@ metric of the domains' Gram matrix, also one small aggregate, so that few rounds
 and of the rounds' vectors: nothing is joined or shuffled.
 
 Defined results: a null or empty text has no tokens, posteriors equal to the priors and
-rate 1; null labels are ignored; a domain that nothing is labelled with has posterior 0
+rate 1; null labels are ignored, each for itself; a domain that nothing is labelled with has posterior 0
 and its target is left out; without any labelled document there are no domains,
 posteriors are empty and every rate is 1; repeated rows are rated each; further columns
 are carried along, those named like a result column are replaced.
@@ -93,11 +93,12 @@ def train(labelled: DataFrame) -> Classifier:
 
 
 def label_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, domain) of the labelled documents: ``low`` quality, ``toxic``, or ``good``."""
+    """(text, domain) of the labelled documents: ``low`` quality, ``toxic``, or ``good``,
+    where a label that is null says nothing and one of the two is enough."""
     low, toxic = F.min("quality") == 0, F.max("toxic") == 1
     domain = F.when(low, "low").when(toxic, "toxic").otherwise("good")
     marks = (
-        labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+        labels.filter(F.col("doc_id").isNotNull() & F.coalesce("quality", "toxic").isNotNull())
         .groupBy("doc_id")
         .agg(domain.alias("domain"))
     )

@@ -287,6 +287,14 @@ def test_mixing_thins_out_no_whole_domain(spark, good, low):
         assert by_name[name] == pytest.approx(at, rel=0.01)
 
 
+def test_one_label_is_enough(spark):
+    given = [(1, None, 1), (2, None, 0), (3, 0, None), (4, 1, None), (5, None, None), (6, 1, 0), (6, None, 1), (None, 1, 1)]
+    labels = spark.createDataFrame(given, "doc_id long, quality int, toxic int")
+    docs = frame(spark, [(i, f"t{i}") for i in range(1, 7)])
+    got = {r.text: r.domain for r in mixing.label_domains(docs, labels).collect()}
+    assert got == {"t1": "toxic", "t2": "good", "t3": "low", "t4": "good", "t6": "toxic"}
+
+
 def test_mixing_odd_texts(spark):
     labelled = spark.createDataFrame([("aa bb", "x"), ("cc", "y"), (None, "y"), ("zz", None)], "text string, domain string")
     model = mixing.train(labelled)
