@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm import ann_bits, language, minhash, mixing, oracle, pieces, repeats, secrets, toxicity, vector_dups, warc
+from docquarry.llm import ann_bits, collocations, language, licenses, minhash, mixing, oracle, pieces
+from docquarry.llm import repeats, secrets, spelling, toxicity, vector_dups, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,6 +108,37 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.text_words(_table(spark, sf_dir, "documents"), noise=97)
+    return spelling.variants(words)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents")).drop("words")
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find(_table(spark, sf_dir, "documents"))
+    names = F.array(*[F.lit(template.label) for template in licenses.TEMPLATES])
+    base = F.filter("places", lambda p: p["template"] < len(licenses.PHRASES))
+    starts = F.transform(base, lambda p: p["start"])
+
+    def labels(places):
+        told = F.transform(places, lambda p: F.get(names, p["template"]))
+        return F.array_join(F.array_sort(F.array_distinct(told)), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("places")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("places", lambda p: p["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -126,6 +158,9 @@ def queries() -> dict:
         "op8_toxicity": op8_toxicity,
         "op9_minhash_join": op9_minhash_join,
         "op10_secret_scan": op10_secret_scan,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_collocations": op12_collocations,
+        "op13_license_scan": op13_license_scan,
     }
 
 

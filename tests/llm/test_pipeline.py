@@ -15,7 +15,7 @@ SQL = oracle_sql()
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in queries()
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
