@@ -14,8 +14,9 @@ share. What is left is tested for the key phrases. Two passes over the texts: do
 counts of the templates' words (added up by Spark), then the search; nothing but counters
 of template words is shuffled or collected, and the index is as large as the templates.
 
-Of places of one template closer than its length, the best supported stays, then the
-first; of a template without slack (a phrase) all places stay.
+Of places of one template closer than its length, the best supported stays, of equal ones
+that with the most weight right where the offset puts it, then the first; of a template
+without slack (a phrase) all places stay.
 
 Defined results: A-Z in lower case; words are runs of digits, letters a-z and anything
 beyond ASCII; a null text is empty; a text without words has no place; rows that repeat an
@@ -204,13 +205,13 @@ class Positions:
             self.anchors.append((p, word))
             rest -= w
 
-    def supported(self, ids: np.ndarray, pad: int, hits: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """(offset, support) of the places in a text; ``ids`` has ``pad`` fillers on both
-        sides, ``hits`` where the rare words stand."""
+    def supported(self, ids: np.ndarray, pad: int, hits: dict[int, np.ndarray]) -> list[np.ndarray]:
+        """Offset, support and support without slack of the places in a text; ``ids`` has
+        ``pad`` fillers on both sides, ``hits`` where the rare words stand."""
         near = np.arange(-self.slack, self.slack + 1)
         starts = [hits[word] - p for p, word in self.anchors if word in hits]
         if not starts:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+            return [np.empty(0, np.int64)] * 3
         at = np.unique((np.unique(np.concatenate(starts))[:, None] + near).ravel())
         support, rest = np.zeros(len(at), np.int64), self.total
         for p, word, w in self.places:
@@ -231,7 +232,10 @@ class Positions:
             last = at + (pad + self.size - len(key) + self.slack)
             there = before[np.minimum(last + 1, n)] > before[first]
             at, support = at[there], support[there]
-        return at, support
+        exact = np.zeros(len(at), np.int64)
+        for p, word, w in self.places:
+            exact[ids[at + (p + pad)] == word] += w
+        return [at, support, exact]
 
 
 class PositionIndex:
@@ -258,24 +262,21 @@ class PositionIndex:
         out = []
         for number in sorted({t for word in held for t in self.postings[word]}):
             template = self.templates[number]
-            at, support = template.supported(padded, self.pad, hits)
-            for start, n in best_apart(at.tolist(), support.tolist(), template.size if template.slack else 1):
-                out.append((number, max(start, 0), n / template.total))
+            places = list(zip(*(column.tolist() for column in template.supported(padded, self.pad, hits))))
+            if template.slack:
+                places = best_apart(places, template.size)
+            out += [(number, max(start, 0), n / template.total) for start, n, _ in places]
         return out
 
 
-def best_apart(at: list[int], support: list[int], apart: int) -> list[tuple[int, int]]:
-    """The best supported offsets, ``apart`` from each other; ties to the first."""
-    if apart == 1:
-        return list(zip(at, support))
-    kept: list[int] = []
-    chosen = {}
-    for n, start in sorted((-n, start) for start, n in zip(at, support)):
-        i = bisect_left(kept, start)
-        if all(abs(other - start) >= apart for other in kept[max(0, i - 1) : i + 1]):
-            kept.insert(i, start)
-            chosen[start] = -n
-    return [(start, chosen[start]) for start in kept]
+def best_apart(places: list[tuple[int, int, int]], apart: int) -> list[tuple[int, int, int]]:
+    """The best supported of (offset, support, exact support), ``apart`` from each other."""
+    kept: list[tuple[int, int, int]] = []
+    for place in sorted(places, key=lambda p: (-p[1], -p[2], p[0])):
+        i = bisect_left(kept, place)
+        if all(abs(other[0] - place[0]) >= apart for other in kept[max(0, i - 1) : i + 1]):
+            kept.insert(i, place)
+    return kept
 
 
 def find(docs: DataFrame, templates=TEMPLATES) -> DataFrame:

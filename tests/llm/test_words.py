@@ -260,10 +260,11 @@ def all_places(texts, templates):
                     )
                     for key in t.key_words
                 )
+                exact = sum(w for p, w in enumerate(weights) if 0 <= start + p < len(words) and words[start + p] == own[p])
                 if 100 * support >= t.percent * sum(weights) and keyed:
-                    good.append((-support, start))
+                    good.append((-support, -exact, start))
             kept = []
-            for support, start in sorted(good):
+            for support, _, start in sorted(good):
                 if not t.slack or all(abs(start - s) >= len(own) for s, _ in kept):
                     kept.append((start, -support / sum(weights)))
             found += [(number, max(s, 0), round(score, 9)) for s, score in sorted(kept)]
