@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquarry.functions import weights
@@ -65,6 +65,29 @@ def token_counts(posting_rows: DataFrame) -> DataFrame:
     return posting_rows.groupBy("doc_id").agg(F.sum("tf").alias("dl"))
 
 
+LENGTH_RATIO = 1.25  # of the longest to the shortest document of a class
+LONGEST_CLASS = 62  # classes fit the bits of a long; the last one is open
+FEW_POSTINGS = 64  # of a term that needs no bounds
+
+
+def length_class(dl: Column) -> Column:
+    number = F.floor(F.log(F.greatest(dl, F.lit(1))) / F.log(F.lit(LENGTH_RATIO)))
+    return F.least(number, F.lit(LONGEST_CLASS)).cast("int")
+
+
+def bounds(cells: DataFrame) -> DataFrame:
+    """(term, class, max_tf, min_dl, max_share): the largest share a frequent term has in
+    documents of a length class, from the postings by cell. Cells group without a shuffle."""
+    share = F.max(F.col("tf") / F.coalesce("l2", F.lit(1.0))).alias("max_share")
+    most = [F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"), share]
+    by_class = cells.groupBy("cell", "term", length_class(F.col("dl")).alias("class"))
+    found = by_class.agg(F.count("*").alias("n"), *most)
+    held = F.sum("n").over(Window.partitionBy("cell", "term"))
+    found = found.withColumn("held", held).filter(F.col("held") > FEW_POSTINGS)
+    again = [F.max("max_tf").alias("max_tf"), F.min("min_dl").alias("min_dl"), F.max("max_share").alias("max_share")]
+    return found.groupBy("term", "class").agg(*again)
+
+
 def tfidf(posting_rows: DataFrame, terms: DataFrame) -> DataFrame:
     """Adds ``w``, the raw term count times idf (0 for a term without idf)."""
     stats = terms.select("term", "df", "idf")

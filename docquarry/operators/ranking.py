@@ -90,36 +90,57 @@ def score(
     BM25 adds a term once per occurrence in the question (``multiplicity``) or
     once (``distinct``). Postings that carry norms are not joined with them.
     """
-    if query_tf not in ("multiplicity", "distinct"):
-        raise ValueError(f"unknown query_tf {query_tf!r}")
     with_norms = "l2" in index.postings.columns
     carried = ["doc_id", "term", "tf", "dl", *(["l2"] if with_norms else [])]
     hits = matches(index.postings.select(*carried), vectors, keys, small)
+    return scores_of(sums(index, hits, keys, small, methods, query_tf, k1, b), keys, methods)
+
+
+def sums(
+    index: Index,
+    hits: DataFrame,
+    keys: list[str],
+    small: bool,
+    methods: tuple[str, ...],
+    query_tf: str,
+    k1: float,
+    b: float,
+    *extra: Column,
+) -> DataFrame:
+    """(keys, doc_id, one column per method) of rows of question terms in documents;
+    ``extra`` are further aggregates. A tfidf of zero stands for none."""
+    if query_tf not in ("multiplicity", "distinct"):
+        raise ValueError(f"unknown query_tf {query_tf!r}")
+    with_norms = "l2" in hits.columns
     bm25 = weights.bm25_weight(
         F.col("tf"), F.col("dl"), index.scalar("avgdl"), F.col("bm25_idf"), k1, b
     )
     if query_tf == "multiplicity":
         bm25 = bm25 * F.col("qtf")
-    sums = {
-        METHOD_BM25: [F.sum(bm25).alias("bm25")],
+    wanted = {
+        METHOD_BM25: [F.sum(bm25).alias(METHOD_BM25)],
         METHOD_TFIDF: [
             F.sum(F.col("qw") * F.col("tf") * F.col("idf")).alias("dot"),
             F.max("q_norm").alias("q_norm"),
         ],
     }
     if with_norms:
-        sums[METHOD_TFIDF].append(F.max("l2").alias("l2"))
-    wanted = [column for method in methods for column in sums[method]]
-    scored = hits.groupBy(*keys, "doc_id").agg(*wanted)
-    results = {METHOD_BM25: F.col("bm25")}
+        wanted[METHOD_TFIDF].append(F.max("l2").alias("l2"))
+    columns = [column for method in methods for column in wanted[method]]
+    summed = hits.groupBy(*keys, "doc_id").agg(*columns, *extra)
     if METHOD_TFIDF in methods:
         if not with_norms:
             norms = index.bucket_norms if small else index.norms
-            scored = scored.join(norms, "doc_id", "left")
+            summed = summed.join(norms, "doc_id", "left")
         length = F.col("q_norm") * F.coalesce("l2", F.lit(1.0))
-        results[METHOD_TFIDF] = F.col("dot") / length
-    pairs = [F.struct(F.lit(m).alias("method"), results[m].alias("score")) for m in methods]
-    rows = scored.select(*keys, "doc_id", F.explode(F.array(*pairs)).alias("r"))
+        summed = summed.withColumn(METHOD_TFIDF, F.col("dot") / length).drop("dot", "q_norm", "l2")
+    return summed
+
+
+def scores_of(summed: DataFrame, keys: list[str], methods: tuple[str, ...]) -> DataFrame:
+    """(method, keys, doc_id, score) of sums, one row per method."""
+    pairs = [F.struct(F.lit(m).alias("method"), F.col(m).alias("score")) for m in methods]
+    rows = summed.select(*keys, "doc_id", F.explode(F.array(*pairs)).alias("r"))
     positive = (F.col("r.score") > 0) | (F.col("r.method") != METHOD_TFIDF)
     return rows.filter(positive).select(
         "r.method", *keys, "doc_id", F.round("r.score", SCORE_DIGITS).alias("score")

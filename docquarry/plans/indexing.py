@@ -104,12 +104,14 @@ def build_index(
     )
     norms = store(ops.document_norms(ops.tfidf(counts, terms)), "norms")
     cells = store(by_term(counts.join(norms, "doc_id"), terms, buckets), "by_term")
+    limits = ops.bounds(cells).sortWithinPartitions("term")
     return Index(
         documents,
         posting_rows,
         norms,
         cells,
         terms,
+        save_plain(limits, path, "bounds"),
         corpus,
         **kept,
         path=path,

@@ -12,8 +12,13 @@ from docquarry.functions.fixed import BM25_B, BM25_K1, K_VALUES, METHOD_BM25, ME
 from docquarry.functions.text import literal_tokens
 from docquarry.operators import questions as q
 from docquarry.operators import ranking as r
+from docquarry.operators.joins import broadcast_limit, measure
+from docquarry.operators.topk import best
 from docquarry.sources.index_store import Index, cell_of, n_slices
 
+SCORE_ALL_SETTING = "docquarry.scoreAll"
+DEFAULT_SCORE_ALL = 1_000_000_000
+
 
 def vectors_of(index: Index, questions: DataFrame, keys: list[str]) -> tuple[DataFrame, bool]:
     """Question vectors and whether they are small enough to broadcast."""
@@ -31,9 +36,22 @@ def rank(
     query_tf: str = "multiplicity",
     k1: float = BM25_K1,
     b: float = BM25_B,
+    score_all: int | None = None,
 ) -> DataFrame:
-    """(method, keys, rank, doc_id, score) of the best k documents per question."""
-    vectors, small = vectors_of(index, questions, keys)
+    """(method, keys, rank, doc_id, score) of the best k documents per question.
+
+    A batch with at most ``score_all`` question terms times documents (given by
+    ``docquarry.scoreAll``, if not here) has all its matches scored in one job; a larger
+    one only those that can be among the best k. The rows are the same.
+    """
+    tokens = q.question_tokens(questions, keys, **index.preparation)
+    rows, size = measure(tokens, q.VECTOR_EXTRA)
+    small = size <= broadcast_limit(index.spark)
+    vectors = q.question_vectors(tokens, index.terms, keys, small)
+    if score_all is None:
+        score_all = int(index.spark.conf.get(SCORE_ALL_SETTING, str(DEFAULT_SCORE_ALL)))
+    if rows * index.n_docs > score_all:
+        return best(index, vectors, keys, small, k, methods, query_tf, k1, b)
     scores = r.score(index, vectors, keys, small, methods, query_tf, k1, b)
     top = r.top_k(scores, ["method", *keys], k)
     return top.select("method", *keys, "rank", "doc_id", "score")

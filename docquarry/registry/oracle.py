@@ -415,6 +415,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {ranked} WHERE method = 'bm25'", ["ranking"]
         ),
         "rank_both": _sql(f"SELECT method, {ranked}", ["ranking"]),
+        "rank_bounded": _sql(f"SELECT method, {ranked}", ["ranking"]),
         "rank_bm25_compound": _sql(
             "SELECT split, qid, rank, doc_id, score FROM ranking_v WHERE method = 'bm25'",
             ["ranking_v"],

@@ -304,6 +304,12 @@ def rank_both(ws: Workspace) -> DataFrame:
     return rank(ws.index, ws.questions(), KEYS)
 
 
+@query
+def rank_bounded(ws: Workspace) -> DataFrame:
+    """The same ranking, with only those documents scored that can be in it."""
+    return rank(ws.index, ws.questions(), KEYS, score_all=0)
+
+
 @query
 def rank_bm25_compound(ws: Workspace) -> DataFrame:
     return rank(ws.compound_index, ws.questions(), KEYS, methods=("bm25",)).drop("method")

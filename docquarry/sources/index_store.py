@@ -5,8 +5,9 @@ scoring a (question, document) pair and joining document data needs no shuffle.
 Postings are sorted by term inside a bucket: a filter on a few terms skips most
 row groups by their statistics. ``by_term`` holds the postings once more, bucketed by
 cell: a term, or a slice of the documents of a frequent term, with the documents' norms. A
-single query names its cells, so only their buckets are opened. The other tables are plain Parquet; ``lexicon``
-and ``stopwords`` are what the texts were prepared with, for the questions to come.
+single query names its cells, so only their buckets are opened. The other tables are plain
+Parquet; ``bounds`` has the largest share of each frequent term by length of the documents,
+``lexicon`` and ``stopwords`` are what the texts were prepared with, for the questions to come.
 
 A bucketed table is known to the catalog only while it is opened: the DataFrame keeps its
 bucketing, so nothing is left behind that someone would have to drop. The files stay until
@@ -37,6 +38,7 @@ BUCKET_KEY = {"by_term": "cell"}
 SLICE_POSTINGS = 4_000_000  # of one term in one cell
 PLAIN = {
     "terms": "term STRING, df BIGINT, idf DOUBLE, bm25_idf DOUBLE",
+    "bounds": "term STRING, class INT, max_tf BIGINT, min_dl BIGINT, max_share DOUBLE",
     "corpus": (
         "n_docs BIGINT, n_nonempty BIGINT, avgdl DOUBLE, buckets INT,"
         " compounds BOOLEAN, stopped BOOLEAN"
@@ -57,6 +59,7 @@ class Index:
     norms: DataFrame
     by_term: DataFrame
     terms: DataFrame
+    bounds: DataFrame
     corpus: DataFrame
     lexicon: DataFrame
     stopwords: DataFrame
