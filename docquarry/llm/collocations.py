@@ -39,8 +39,8 @@ from docquarry.operators.joins import broadcast_if_small, broadcast_limit
 from docquarry.sources.shared import materialise
 
 PART_BYTES = 8 << 20  # of text for each hash partition
-CHUNK_BYTES = 3 << 20  # of text worked on as arrays
-HELD = 3_000_000  # counters that a task holds before it sends them
+CHUNK_BYTES = 1 << 20  # of text worked on as arrays
+HELD = 1_000_000  # counters that a task holds before it sends them
 UNKNOWN = "und"
 
 SUMMARIES = "part int, mass long, keys binary, counts binary"
