@@ -33,6 +33,7 @@ from docquarry.sources.shared import materialise
 
 BLOCK = 4096  # words of a block, by expectation
 MOST_BLOCKS = 65_536  # larger vocabularies get larger blocks
+TASK_BLOCKS = 8  # blocks of a task, by expectation
 SAMPLED = 8  # sampled words per block bound
 
 LETTERS = "A-Za-zÀ-ÿ"
@@ -233,6 +234,9 @@ def near_words(vocabulary: DataFrame, block: int = BLOCK) -> DataFrame:
         return pa.table({name: pa.array(c, kind) for (name, kind), c in zip(kinds.items(), columns)})
 
     dealt = vocabulary.select("word", "n").mapInArrow(deal, DEALT)
+    # a task for every few blocks: they are small, but take long
+    tasks = -(-2 * (len(forward.bounds) + 1) // TASK_BLOCKS)
+    dealt = dealt.repartition(tasks, "backward", "block")
     found = dealt.groupBy("backward", "block").applyInArrow(scan, NEAR)
     best = F.min(F.struct((-F.col("best_n")).alias("low"), "best")).alias("b")
     both = found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best)
