@@ -9,7 +9,8 @@ of a batch is segmented once, all words of one length together, and remembered i
 bounded table. Scores add up in double precision; of equal paths the one whose last
 piece is longer wins.
 
-Defined results: null and empty texts have no pieces and decode to the empty text;
+Defined results: null and empty texts have no pieces and decode to the empty text; a text
+that holds the marker U+2581 itself decodes to one with spaces in its place;
 bytes that are no valid UTF-8 decode to U+FFFD each; control pieces decode to nothing
 and ids outside the vocabulary raise an error; further columns are carried along, those
 named like a result column are replaced; the other normalisers than identity and NFKC
@@ -27,6 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -38,7 +40,8 @@ UNKNOWN_SURFACE = " ⁇ "
 
 LONG = 64  # bytes; longer words are segmented one by one
 GROUP = 20_000
-REMEMBERED = 300_000
+BLOCK_BYTES = 1 << 20  # of text that is split into words at a time
+REMEMBERED_BYTES = 24 << 20  # of words, their ids and what the table itself takes
 
 
 # ---------------------------------------------------------------- model file
@@ -376,29 +379,85 @@ def parse(data: bytes) -> Model:
 # ---------------------------------------------------------------- Spark
 
 
-def encode(docs: DataFrame, model: Model, block: int = 2000) -> DataFrame:
-    """``docs`` with ids array<int> and n_pieces added; only the text is looked at."""
-    docs = docs.drop("ids", "n_pieces")
+class Coder:
+    """Encodes texts; the ids of words are remembered, up to a number of bytes."""
+
+    def __init__(self, model: Model):
+        self.model, self.known, self.held = model, {}, 0
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where those of each start; one more at the end."""
+        split = [self.model.words(self.model.normalise(text or "")) for text in texts]
+        if self.held > REMEMBERED_BYTES:
+            self.known, self.held = {}, 0
+        new = {word for words in split for word in words if word not in self.known}
+        found = self.model.segment_many(list(new))
+        self.held += sum(200 + len(word) + len(ids) for word, ids in found.items())
+        self.known |= found
+        coded = [b"".join(map(self.known.__getitem__, words)) for words in split]
+        ends = np.cumsum([0, *(len(c) // 4 for c in coded)]).astype(np.int32)
+        return np.frombuffer(b"".join(coded), np.int32), ends
+
+
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Rows of a batch with their texts, about BLOCK_BYTES at a time."""
+    column = batch.column(batch.schema.get_field_index("text"))
+    sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < batch.num_rows:
+        before = int(sizes[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(sizes, before + BLOCK_BYTES, side="right")))
+        part = batch.slice(first, last - first)
+        yield part, column.slice(first, last - first).to_pylist()
+        first = last
+
+
+def _coded(docs: DataFrame, kept: list[str], added: T.StructType, code) -> DataFrame:
+    """The columns ``kept`` of ``docs``, and those that ``code`` makes of each block's texts."""
+    fields = [docs.schema[name] for name in kept]
+    names = [*kept, *added.fieldNames()]
 
     def run(batches):
-        known: dict[str, bytes] = {}
+        work = code()
         for whole in batches:
-            for start in range(0, whole.num_rows, block):
-                batch = whole.slice(start, block)
-                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-                split = [model.words(model.normalise(text or "")) for text in texts]
-                if len(known) > REMEMBERED:
-                    known.clear()
-                new = {word for words in split for word in words if word not in known}
-                known |= model.segment_many(list(new))
-                coded = [b"".join(map(known.__getitem__, words)) for words in split]
-                ends = np.cumsum([0, *(len(c) // 4 for c in coded)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), np.int32)))
-                names = [*batch.schema.names, "ids", "n_pieces"]
-                yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(np.diff(ends).astype(np.int64))], names=names)
+            for batch, texts in _blocks(whole):
+                held = [batch.column(batch.schema.get_field_index(name)) for name in kept]
+                yield pa.RecordBatch.from_arrays([*held, *work(texts)], names=names)
+
+    return docs.mapInArrow(run, T.StructType(fields + added.fields))
+
+
+def _ids(model: Model, back: bool):
+    """Makes ids and their number of texts, and the texts decoded from them."""
+    coder = Coder(model)
+
+    def work(texts):
+        flat, ends = coder.encode(texts)
+        ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+        columns = [ids, pa.array(np.diff(ends).astype(np.int64))]
+        if back:
+            bounds = ends.tolist()
+            decoded = [model.decode(flat[start:end]) for start, end in zip(bounds, bounds[1:])]
+            columns.append(pa.array(decoded, pa.string()))
+        return columns
 
+    return work
+
+
+def encode(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with ids array<int> and n_pieces added; only the text is looked at."""
     added = T.StructType.fromDDL("ids array<int>, n_pieces long")
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields + added.fields))
+    docs = docs.drop(*added.fieldNames())
+    return _coded(docs, docs.columns, added, lambda: _ids(model, back=False))
+
+
+def recode(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with ids, n_pieces and decoded, the text that the ids give back, in place
+    of the text: encoding and decoding in one pass."""
+    added = T.StructType.fromDDL("ids array<int>, n_pieces long, decoded string")
+    docs = docs.drop(*added.fieldNames())
+    kept = [name for name in docs.columns if name != "text"]
+    return _coded(docs, kept, added, lambda: _ids(model, back=True))
 
 
 def decode(coded: DataFrame, model: Model) -> DataFrame:

@@ -38,7 +38,7 @@ def coded(docs: DataFrame, model: str = PIECES) -> DataFrame:
     """Pieces of every text, and whether decoding them gives the text back."""
     known = pieces.load(model)
     given = F.sha2(F.coalesce("text", F.lit("")), 256).alias("given")
-    decoded = pieces.decode(pieces.encode(docs.select("doc_id", "text", given), known).drop("text"), known)
+    decoded = pieces.recode(docs.select("doc_id", "text", given), known)
     told = F.sha2("decoded", 256)
     return decoded.select(
         "doc_id", "n_pieces", "ids", told.alias("decoded_sha256"), (told == F.col("given")).alias("round_trip")

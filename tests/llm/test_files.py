@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 
+import pyarrow as pa
 import pytest
 
 from conftest import SMALL, tuples
@@ -155,6 +156,25 @@ def test_coding_in_spark(spark):
     assert tuples(got.filter("NOT round_trip"), "doc_id") == [(None,)]  # a marker in the text decodes to a blank
     assert {r.doc_id: r.n_pieces for r in got.collect() if r.doc_id in (1, 2)} == {1: 0, 2: 0}
     assert coded(table.limit(0)).isEmpty()
+    known = pieces.load(PIECES)
+    apart = pieces.decode(pieces.encode(table, known), known)
+    assert tuples(apart, "doc_id", "ids", "decoded") == tuples(pieces.recode(table, known), "doc_id", "ids", "decoded")
     model = pieces.load(PIECES)
     nulls = spark.createDataFrame([(None,), ([],)], "ids array<int>")
     assert tuples(pieces.decode(nulls, model), "decoded") == [("",), ("",)]
+
+
+def test_coding_in_small_blocks(monkeypatch):
+    model = pieces.load(PIECES)
+    texts = [None, "", "the words of a text", "x" * 300, "é▁ the", "the words"] * 5
+    whole = pieces.Coder(model).encode(texts)
+    monkeypatch.setattr(pieces, "BLOCK_BYTES", 20)
+    monkeypatch.setattr(pieces, "REMEMBERED_BYTES", 500)
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    coder, flat, seen = pieces.Coder(model), [], []
+    for part, own in pieces._blocks(batch):
+        assert part.num_rows == len(own) and (len(own) == 1 or sum(len((t or "").encode()) for t in own) <= 20)
+        seen += own
+        flat += coder.encode(own)[0].tolist()
+        assert coder.held < 500 + 20 * 300
+    assert seen == texts and flat == whole[0].tolist()
