@@ -95,9 +95,10 @@ def classes(rows, size, percent):
     return [(i, len(sets[i]), find(i)) for i in ids]
 
 
-@pytest.mark.parametrize("chunk", [512, 6])
-def test_near_duplicates_against_brute_force(spark, chunk, monkeypatch):
+@pytest.mark.parametrize("chunk,shingles", [(512, 400_000), (6, 400_000), (512, 300)])
+def test_near_duplicates_against_brute_force(spark, chunk, shingles, monkeypatch):
     monkeypatch.setattr(minhash, "CHUNK", chunk)
+    monkeypatch.setattr(minhash, "CHUNK_SHINGLES", shingles)
     rng = random.Random(5)
     rows = [(0, None), (1, ""), (2, " "), (3, "one two"), (4, "ONE two"), (5, "one two three"), (6, "É a b c"), (7, "é a b c")]
     for base in range(6):
