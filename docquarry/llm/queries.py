@@ -26,9 +26,9 @@ MIX = {"good": 0.80, "low": 0.15, "toxic": 0.05}
 def op2_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = mixing.train(mixing.label_domains(docs, _table(spark, sf_dir, "labels")))
-    rated = mixing.fit_rates(docs.select("doc_id", "text"), model, MIX)
+    found = mixing.fit(docs.select("doc_id", "text"), model, MIX)
     chance = [F.get("posteriors", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(model.domains)]
-    return rated.select("doc_id", "tokens", *chance, "rate")
+    return found.rated.select("doc_id", "tokens", *chance, "rate", F.lit(found.missed).alias("missed"))
 
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"

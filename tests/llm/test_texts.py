@@ -1,6 +1,7 @@
 """Repeats, near duplicates, languages, toxicity, mixing and secrets."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -288,6 +289,66 @@ def test_mixing_thins_out_no_whole_domain(spark, good, low):
         assert by_name[name] == pytest.approx(at, rel=0.01)
 
 
+def least_squares_kkt(rows, target, rates):
+    """Whether rates are a nonnegative least-squares solution: no change of a rate that
+    is allowed lowers the residual. Largest violation relative to the tokens asked for."""
+    offers = np.array([r.tokens * np.array(r.posteriors) for r in rows])
+    residual = rates @ offers - target
+    slope = offers @ residual / np.maximum(np.linalg.norm(offers, axis=1), 1e-300)
+    wrong = np.where(rates > 1e-9, np.abs(slope), np.maximum(-slope, 0.0))
+    return wrong.max() / target.sum(), np.abs(residual).max() / target.sum()
+
+
+@pytest.mark.parametrize(
+    "shares",
+    [(0.8, 0.15, 0.05), (0.02, 0.08, 0.90), (0.0, 0.0, 1.0), (0.0, 1.0, 0.0), (0.3, 0.3, 0.4), (0.98, 0.01, 0.01), (0.1, 0.6, 0.3)],
+)
+def test_mixing_is_a_least_squares_solution(spark, shares):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    model = mixing.train(mixing.label_domains(docs, labels))
+    found = mixing.fit(docs, model, dict(zip(model.domains, shares)))
+    rows = [r for r in found.rated.collect() if r.tokens]
+    rates = np.array([r.rate for r in rows])
+    target = np.array(shares) * sum(r.tokens for r in rows)
+    violation, residual = least_squares_kkt(rows, target, rates)
+    assert (rates >= 0).all() and violation < 1e-4
+    assert found.missed == pytest.approx(residual, abs=1e-6) and (found.met or violation < 1e-4)
+    if shares[0] not in (0.0, 0.98):
+        assert found.met and residual < 1e-4  # all of these can be reached
+
+
+def test_unreachable_targets_are_told(spark):
+    labelled = spark.createDataFrame([("aa", "x"), ("bb", "y")], "text string, domain string")
+    rows = frame(spark, [(i, "aa " * 20) for i in range(5)])  # nothing of y but a trace
+    model = mixing.train(labelled)
+    found = mixing.fit(rows, model, {"x": 0.0, "y": 1.0}, strength=1.0)
+    totals = [sum(r.rate * r.tokens * r.posteriors[d] for r in found.rated.collect()) for d in (0, 1)]
+    assert totals == pytest.approx(found.totals.tolist(), rel=1e-6)
+    assert not found.met and found.missed > 0.1
+    with pytest.warns(UserWarning):
+        mixing.fit_rates(rows, model, {"x": 0.0, "y": 1.0}, strength=1.0)
+
+
+def test_posteriors_equal_naive_bayes_by_hand(spark):
+    given = [("aa bb bb", "x"), ("aa cc", "x"), ("cc cc dd", "y"), ("", "z"), (None, "z")]
+    model = mixing.train(spark.createDataFrame(given, "text string, domain string"))
+    texts = ["aa", "bb cc dd", "cc " * 300, "unseen", ""]
+    got = {r.doc_id: r.posteriors for r in mixing.fit(frame(spark, list(enumerate(texts))), model, {"x": 1}).rated.collect()}
+    counts = {d: [w for t, own in given if own == d for w in (t or "").split()] for d in "xyz"}
+    prior = {d: sum(own == d for _, own in given) / len(given) for d in "xyz"}
+    for number, text in enumerate(texts):
+        words = text.split()
+        weight = min(len(words), 100) / max(1, len(words))
+        logs = {
+            d: math.log(prior[d])
+            + weight * sum(math.log((counts[d].count(w) + 1) / (len(counts[d]) + mixing.BUCKETS)) for w in words)
+            for d in "xyz"
+        }
+        total = sum(math.exp(v - max(logs.values())) for v in logs.values())
+        want = [math.exp(logs[d] - max(logs.values())) / total for d in "xyz"]
+        assert list(got[number]) == pytest.approx(want, rel=1e-2, abs=1e-4)
+
+
 def test_one_label_is_enough(spark):
     given = [(1, None, 1), (2, None, 0), (3, 0, None), (4, 1, None), (5, None, None), (6, 1, 0), (6, None, 1), (None, 1, 1)]
     labels = spark.createDataFrame(given, "doc_id long, quality int, toxic int")
