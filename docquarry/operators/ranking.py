@@ -17,61 +17,80 @@ from docquarry.functions.fixed import (
     SCORE_DIGITS,
 )
 from docquarry.functions.text import token_string
-from docquarry.operators.joins import broadcast_if_small, fits, slice_rows
-from docquarry.sources.index_store import Index
+from docquarry.operators.joins import broadcast_if_small, broadcast_limit, measure, slice_rows
+from docquarry.sources.index_store import Index, cell_of, n_slices
 from docquarry.sources.shared import materialise
 
 METHODS = (METHOD_TFIDF, METHOD_BM25)
 
 
-def matches(posting_rows: DataFrame, vectors: DataFrame, keys: list[str], small: bool) -> DataFrame:
-    """Postings of the question terms, one row per (question, term, document).
+def matches(index: Index, vectors: DataFrame, keys: list[str], small: bool, columns: tuple[str, ...]) -> DataFrame:
+    """Postings of the question terms, one row per (question, term, document), with
+    ``columns`` of the postings.
 
     Small question sets are broadcast: postings stay where they are, bucketed by
-    document. Otherwise both sides are shuffled by term, and a term with many postings
-    or many questions is a grid: its documents in slices, its questions in slices, and
-    every pair of slices is dealt out on its own.
+    document. Otherwise the questions' terms are dealt out to the cells of ``by_term``, and
+    postings are joined in the buckets where they lie; they bring their norms along.
     """
     if small:
-        return posting_rows.join(F.broadcast(vectors), "term")
+        return index.postings.select(*columns).join(F.broadcast(vectors), "term")
     vectors = materialise(vectors, "vectors")
-    size = slice_rows(posting_rows.sparkSession)
+    size = slice_rows(index.spark)
     heavy = _heavy(vectors, size)
-    while not fits(heavy):  # larger slices until the list of sliced terms is small
+    rows, used = measure(heavy)
+    while used > broadcast_limit(index.spark):  # larger slices until the list of sliced terms is small
         size *= 2
         heavy = _heavy(vectors, size)
-    heavy = F.broadcast(heavy)
+        rows, used = measure(heavy)
+    columns = (*columns, "l2")
+    light = vectors.join(F.broadcast(heavy.select("term")), "term", "left_anti") if rows else vectors
+    found = _by_cell(index.by_term.select("cell", *columns), light)
+    if rows:
+        found = found.unionByName(_by_slices(index.by_term.select(*columns), vectors, F.broadcast(heavy), keys))
+    return found
+
+
+def _by_cell(postings: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Postings by cell joined with vectors. The cell alone is the key, as that is what the
+    postings are bucketed by; terms are compared besides, should two share a cell."""
+    numbers = F.explode(F.sequence(F.lit(0).cast("long"), n_slices(F.col("df")) - 1))
+    asked = vectors.withColumn("i", numbers).withColumn("cell", cell_of(F.col("term"), F.col("i"))).drop("i")
+    asked = asked.withColumnRenamed("term", "asked")
+    same = F.startswith("term", "asked") & F.startswith("asked", "term")
+    joined = postings.join(asked, (postings["cell"] == asked["cell"]) & same)
+    return joined.drop("cell", "asked")
+
+
+def _by_slices(postings: DataFrame, vectors: DataFrame, heavy: DataFrame, keys: list[str]) -> DataFrame:
+    """Postings of terms of very many questions: a grid of documents in slices and
+    questions in slices, and every pair of slices is dealt out on its own."""
 
     def dealt(rows: DataFrame, own: str, other: str, *ids: str) -> DataFrame:
         """Rows in their own slice, once for every slice of the other side."""
-        n_own, n_other = (F.coalesce(f"n_{s}", F.lit(1)) for s in (own, other))
-        placed = rows.join(heavy, "term", "left").withColumns(
+        placed = rows.join(heavy, "term").withColumns(
             {
-                own: F.pmod(F.xxhash64(*ids), n_own).cast("int"),
-                other: F.explode(F.sequence(F.lit(0), n_other - 1)),
+                own: F.pmod(F.xxhash64(*ids), f"n_{own}").cast("int"),
+                other: F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1)),
             }
         )
         return placed.drop("n_docs", "n_questions")
 
-    left = dealt(posting_rows, "docs", "questions", "doc_id")
+    left = dealt(postings, "docs", "questions", "doc_id")
     right = dealt(vectors, "questions", "docs", *keys)
     return left.join(right, ["term", "docs", "questions"]).drop("docs", "questions")
 
 
 def _heavy(vectors: DataFrame, size: int) -> DataFrame:
-    """Terms with more than ``size`` postings or questions, and their slices."""
+    """Terms of more than ``size`` questions, and the slices of both sides."""
     asked = vectors.groupBy("term").agg(F.max("df").alias("df"), F.count("*").alias("n"))
-    above = asked.filter((F.col("df") > size) | (F.col("n") > size))
+    above = asked.filter(F.col("n") > size)
     slices = lambda c: F.ceil(F.col(c) / size).cast("int")
     return above.select("term", slices("df").alias("n_docs"), slices("n").alias("n_questions"))
 
 
-def candidates(
-    posting_rows: DataFrame, vectors: DataFrame, keys: list[str], small: bool
-) -> DataFrame:
+def candidates(index: Index, vectors: DataFrame, keys: list[str], small: bool) -> DataFrame:
     """(keys, doc_id): documents with any term of the question."""
-    side = posting_rows.select("doc_id", "term")
-    return matches(side, vectors, keys, small).select(*keys, "doc_id").distinct()
+    return matches(index, vectors, keys, small, ("doc_id", "term")).select(*keys, "doc_id").distinct()
 
 
 def score(
@@ -90,9 +109,8 @@ def score(
     BM25 adds a term once per occurrence in the question (``multiplicity``) or
     once (``distinct``). Postings that carry norms are not joined with them.
     """
-    with_norms = "l2" in index.postings.columns
-    carried = ["doc_id", "term", "tf", "dl", *(["l2"] if with_norms else [])]
-    hits = matches(index.postings.select(*carried), vectors, keys, small)
+    carried = ("doc_id", "term", "tf", "dl", *(["l2"] if "l2" in index.postings.columns else []))
+    hits = matches(index, vectors, keys, small, carried)
     return scores_of(sums(index, hits, keys, small, methods, query_tf, k1, b), keys, methods)
 
 

@@ -32,6 +32,7 @@ from docquarry.operators.ranking import matches, scores_of, sums, top_k
 from docquarry.sources.index_store import Index
 from docquarry.sources.shared import materialise
 
+CARRIED = ("doc_id", "term", "tf", "dl")
 MARGIN = 2e-6  # of two scores rounded to six digits
 RESTING_SHARE = 0.4  # of the score to reach that resting terms may add up to
 SEEDS = 4  # documents with rare words, per result
@@ -61,7 +62,7 @@ class Bounded:
 
     def scored(self, pairs: DataFrame) -> DataFrame:
         """(method, question, doc_id, score) of the pairs (question, doc_id, methods)."""
-        hits = self.index.postings.select("doc_id", "term", "tf", "dl").join(pairs, "doc_id")
+        hits = self.index.postings.select(*CARRIED).join(pairs, "doc_id")
         hits = hits.join(self.per_question(self.vectors), ["question", "term"])
         wide = self.summed(hits, F.first("methods").alias("methods"))
         rows = scores_of(wide, ["question", "methods"], self.methods)
@@ -85,8 +86,7 @@ class Bounded:
         rarest = Window.partitionBy("question").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
         before = F.coalesce(F.sum("df").over(rarest), F.lit(0))
         few = self.vectors.withColumn("before", before).filter(F.col("before") < SEEDS * self.k).drop("before")
-        postings = self.index.postings.select("doc_id", "term", "tf", "dl")
-        return self.best_by(self.summed(matches(postings, few, ["question"], self.small)))
+        return self.best_by(self.summed(matches(self.index, few, ["question"], self.small, CARRIED)))
 
     def limits(self) -> DataFrame:
         """(question, term, class, one column per method): the most that a term can add."""
@@ -132,8 +132,7 @@ def best(
     masks = resting.groupBy("question", "term").agg(bits.alias("resting"))
     awake = asked.join(batch.per_question(masks), ["question", "term"], "left")
     awake = awake.withColumn("resting", F.coalesce("resting", F.lit(0).cast("long")))
-    postings = index.postings.select("doc_id", "term", "tf", "dl", length_class(F.col("dl")).alias("class"))
-    hits = matches(postings, awake, ["question"], small)
+    hits = matches(index, awake, ["question"], small, CARRIED).withColumn("class", length_class(F.col("dl")))
     hits = hits.filter(F.call_function("shiftright", "resting", "class").bitwiseAND(F.lit(1)) == 0)
     room = resting.groupBy("question", "class").agg(
         *[F.sum(f"most_{m}").alias(f"more_{m}") for m in methods]

@@ -99,9 +99,7 @@ def build_index(
     posting_rows = store(ops.postings(documents), "postings")
     counts = posting_rows.select("doc_id", "term", "tf", "dl")
     n_docs = corpus.select("n_docs").scalar()
-    terms = save_plain(
-        ops.term_stats(counts, n_docs).sortWithinPartitions("term"), path, "terms"
-    )
+    terms = store(ops.term_stats(counts, n_docs).repartition(buckets, "term"), "terms")
     norms = store(ops.document_norms(ops.tfidf(counts, terms)), "norms")
     cells = store(by_term(counts.join(norms, "doc_id"), terms, buckets), "by_term")
     limits = ops.bounds(cells).sortWithinPartitions("term")

@@ -72,8 +72,8 @@ def _retrieve(index: Index, query: str, method: str, k: int, **bm25) -> DataFram
     tokens = spark.createDataFrame(
         [(0, term, qtf) for term, qtf in counts.items()], "qid long, term string, qtf long"
     )
-    # the terms of one query are few: the scan of the vocabulary skips all row groups
-    # without them, and the postings are read from the buckets of their cells only
+    # the terms of one query are few: they are looked up in their buckets of the
+    # vocabulary, and the postings are read from the buckets of their cells
     wanted = F.col("term").isin(list(counts))
     known = index.terms.filter(wanted)
     numbers = F.explode(F.sequence(F.lit(0).cast("long"), n_slices(F.col("df")) - 1))

@@ -6,12 +6,13 @@ those that contain the passage.
 
 from __future__ import annotations
 
-from functools import cached_property, reduce
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.operators.compounds import learn_lexicon
+from docquarry.operators.containment import containing, documents_of
 from docquarry.operators.corpus import (
     clean,
     frequent_terms,
@@ -35,95 +36,6 @@ STOPWORD_SHARE = 0.4
 # per block of ids; the part is a key of the list, so no list passes for a whole question.
 LABEL_BLOCK = 256
 
-WORD_GRAM = 3
-CHARACTER_GRAM = 5
-
-
-def _gram_keys(pieces: Column, kind: str, size: int) -> Column:
-    """Hashes of all runs of ``size`` pieces, each once."""
-    if size == 0:
-        return F.array(F.xxhash64(F.lit(kind), F.lit(0)))
-    shifted = [
-        F.slice(pieces, i + 1, F.greatest(F.size(pieces) - (size - 1), F.lit(0))).alias(f"w{i}")
-        for i in range(size)
-    ]
-    runs = F.arrays_zip(*shifted)
-    key = lambda run: F.xxhash64(F.lit(kind), F.lit(size), *[run[f"w{i}"] for i in range(size)])
-    return F.array_distinct(F.transform(runs, key))
-
-
-def _pieces(text: str, kind: str) -> Column:
-    if kind == "words":
-        return F.split(text, " ")
-    return F.filter(F.split(text, ""), lambda c: c != "")
-
-
-def _anchor_grams(passages: DataFrame, found: list) -> DataFrame:
-    """(keys, gram): runs that any text with the passage holds as well.
-
-    The inner words of a passage are whole words of the text. A passage without inner
-    words gives its first characters.
-    """
-    rows = []
-    for kind, size in found:
-        pieces = _pieces("question", kind)
-        if kind == "words":
-            pieces = F.slice(pieces, 2, F.size(pieces) - 2)
-        else:
-            pieces = F.slice(pieces, 1, size)
-        of_kind = passages.filter((F.col("kind") == kind) & (F.col("size") == size))
-        rows.append(of_kind.select(*KEYS, F.explode(_gram_keys(pieces, kind, size)).alias("gram")))
-    return reduce(DataFrame.unionByName, rows)
-
-
-def containing_documents(passages: DataFrame, docs: DataFrame) -> DataFrame:
-    """(split, qid, doc_id): documents whose text contains the whole passage.
-
-    ``passages`` is (split, qid, question). Every passage, however short, has runs of
-    words or characters that all texts containing it hold as well. The rarest of them is
-    an equi-join key that misses nothing; what it finds is checked against the full texts.
-    A null passage is in no text, an empty one in all texts but null ones.
-    """
-    inner = F.size(F.split("question", " ")) - 2
-    characters = F.size(_pieces("question", "characters"))
-    passages = passages.filter(F.col("question").isNotNull()).select(*KEYS, "question")
-    passages = passages.withColumns(
-        {
-            "kind": F.when(inner > 0, "words").otherwise("characters"),
-            "size": F.when(inner > 0, F.least(inner, F.lit(WORD_GRAM))).otherwise(
-                F.least(characters, F.lit(CHARACTER_GRAM))
-            ),
-        }
-    )
-    kinds = [(r.kind, r.size) for r in passages.select("kind", "size").distinct().collect()]
-    if not kinds:
-        return passages.select(*KEYS, F.lit(0).cast("long").alias("doc_id"))
-    grams = _anchor_grams(passages, sorted(kinds))
-    texts = docs.filter(F.col("text").isNotNull())
-    keys = F.concat(*[_gram_keys(_pieces("text", kind), kind, size) for kind, size in sorted(kinds)])
-    held = texts.select("doc_id", F.explode(keys).alias("gram"))
-    asked = broadcast_if_small(grams.select("gram").distinct())
-    # one pass over the texts; which runs are rare shows afterwards
-    held = materialise(held.join(asked, "gram", "left_semi"), "gram-hits")
-    counts = held.groupBy("gram").agg(F.count("*").alias("n"))
-    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).getField("gram")
-    anchors = (
-        grams.join(broadcast_if_small(counts), "gram", "left")
-        .groupBy(*KEYS)
-        .agg(rarest.alias("gram"))
-    )
-    # texts stay out of the join by gram; those it finds are looked up afterwards
-    pairs = materialise(held.join(broadcast_if_small(anchors), "gram").select(*KEYS, "doc_id"), "pairs")
-    candidates = documents_of(pairs, texts).join(pairs, "doc_id")
-    found = candidates.join(broadcast_if_small(passages.select(*KEYS, "question")), KEYS)
-    return found.filter(F.col("text").contains(F.col("question"))).select(*KEYS, "doc_id").distinct()
-
-
-def documents_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The documents (doc_id, text) that ``pairs`` names."""
-    ids = broadcast_if_small(pairs.select("doc_id").distinct())
-    return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-
 
 class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str, input_bytes: int = 0):
@@ -164,7 +76,7 @@ class Workspace:
     @cached_property
     def qrels(self) -> DataFrame:
         """(split, qid, doc_id) as a written table."""
-        return materialise(containing_documents(self.questions(), self.spread_corpus()), "qrels")
+        return materialise(containing(self.questions(), self.spread_corpus(), KEYS), "qrels")
 
     def judged(self) -> DataFrame:
         return judged_questions(self.qrels, KEYS)

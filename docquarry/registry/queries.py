@@ -257,7 +257,7 @@ def query_vectors(ws: Workspace) -> DataFrame:
 @query
 def candidate_counts(ws: Workspace) -> DataFrame:
     vectors, small = vectors_of(ws.index, ws.questions(), KEYS)
-    found = candidates(ws.index.postings, vectors, KEYS, small)
+    found = candidates(ws.index, vectors, KEYS, small)
     return found.groupBy(*KEYS).agg(F.count("*").alias("n_candidates"))
 
 

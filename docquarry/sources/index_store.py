@@ -5,8 +5,9 @@ scoring a (question, document) pair and joining document data needs no shuffle.
 Postings are sorted by term inside a bucket: a filter on a few terms skips most
 row groups by their statistics. ``by_term`` holds the postings once more, bucketed by
 cell: a term, or a slice of the documents of a frequent term, with the documents' norms. A
-single query names its cells, so only their buckets are opened. The other tables are plain
-Parquet; ``bounds`` has the largest share of each frequent term by length of the documents,
+single query names its cells, so only their buckets are opened. ``terms`` is bucketed by
+term and sorted, in small row groups: the words of a query are looked up in their buckets.
+The other tables are plain Parquet; ``bounds`` has the largest share of each frequent term by length of the documents,
 ``lexicon`` and ``stopwords`` are what the texts were prepared with, for the questions to come.
 
 A bucketed table is known to the catalog only while it is opened: the DataFrame keeps its
@@ -33,11 +34,12 @@ BUCKETED = {
         "cell BIGINT, term STRING, doc_id BIGINT, tf BIGINT, dl BIGINT, l2 DOUBLE",
         "cell",
     ),
+    "terms": ("term STRING, df BIGINT, idf DOUBLE, bm25_idf DOUBLE", "term"),
 }
-BUCKET_KEY = {"by_term": "cell"}
+BUCKET_KEY = {"by_term": "cell", "terms": "term"}
+ROW_GROUP_BYTES = {"terms": 1 << 20}  # a look-up reads a few row groups of one bucket
 SLICE_POSTINGS = 4_000_000  # of one term in one cell
 PLAIN = {
-    "terms": "term STRING, df BIGINT, idf DOUBLE, bm25_idf DOUBLE",
     "bounds": "term STRING, class INT, max_tf BIGINT, min_dl BIGINT, max_share DOUBLE",
     "corpus": (
         "n_docs BIGINT, n_nonempty BIGINT, avgdl DOUBLE, buckets INT,"
@@ -124,6 +126,7 @@ def save_bucketed(df: DataFrame, path: str, table: str, buckets: int) -> DataFra
         .bucketBy(buckets, BUCKET_KEY.get(table, "doc_id"))
         .sortBy(BUCKETED[table][1])
         .option("path", f"{path}/{table}")
+        .options(**{"parquet.block.size": size for name, size in ROW_GROUP_BYTES.items() if name == table})
         .saveAsTable(name)
     )
     return _resolved(df.sparkSession, name)

@@ -11,7 +11,7 @@ from docquarry.operators import metrics, profile, sampling
 from docquarry.plans.evaluation import evaluate, evaluate_ranking, save_evaluation
 from docquarry.plans.indexing import build_index
 from docquarry.plans.reduction import reduce_tables
-from docquarry.plans.workspace import containing_documents
+from docquarry.operators import containment
 from docquarry.sources import tables
 from docquarry.sources.shared import new_path, shared_dir
 
@@ -248,8 +248,39 @@ def test_containment_against_brute_force(spark, setting, limit):
         if p is not None and text is not None and p in text
     ]
     with setting("docquarry.broadcastBytes", limit):
-        assert tuples(containing_documents(asked, docs)) == sorted(want, key=repr)
-        assert containing_documents(asked.filter("question IS NULL"), docs).isEmpty()
+        assert tuples(containment.containing(asked, docs, KEYS)) == sorted(want, key=repr)
+        assert containment.containing(asked.filter("question IS NULL"), docs, KEYS).isEmpty()
+
+
+@pytest.mark.parametrize("named, bits", [(200, 1 << 23), (0, 64)])
+def test_only_marked_runs_become_rows(spark, monkeypatch, named, bits):
+    monkeypatch.setattr(containment, "NAMED", named)
+    monkeypatch.setattr(containment, "MOST_BITS", bits)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(300)] + ["(a", "b)+", "[", "\\d", "é"]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(0, 80))) for _ in range(200)] + [None, "", " ", "w1  w2"]
+    asked = ["", " ", "(a", ")+ [", "\\d", "w1 w2", "1 w2 w", None, "none of these words at all", "é"]
+    for text in rng.sample(texts[:200], 12):
+        start = rng.randrange(max(1, len(text)))
+        asked.append(text[start : start + rng.randrange(1, 60)])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    passages = spark.createDataFrame([("s", i, q) for i, q in enumerate(asked)], "split string, qid long, question string")
+    hits, plain = [], containment.materialise
+
+    def watched(df, label):
+        rows = plain(df, label)
+        hits.extend([rows.count()] if label == "run-hits" else [])
+        return rows
+
+    monkeypatch.setattr(containment, "materialise", watched)
+    got = tuples(containment.containing(passages, docs, KEYS))
+    want = [("s", i, d) for i, q in enumerate(asked) for d, t in enumerate(texts) if q is not None and t is not None and q in t]
+    assert got == sorted(want, key=repr)
+    if named:  # far fewer rows than runs, even with five sizes of short passages
+        long = passages.filter("length(question) > 30")
+        hits.clear()
+        containment.containing(long, docs, KEYS).count()
+        assert hits[0] < 0.05 * sum(len((t or "").split(" ")) for t in texts)
 
 
 def test_shared_folder_comes_from_the_session(spark):

@@ -10,6 +10,7 @@ from docquarry.operators import postings, ranking
 from docquarry.operators.compounds import join_compounds
 from docquarry.operators.corpus import clean, drop_stopwords, words
 from docquarry.operators.joins import lookup
+from docquarry.operators.questions import question_tokens, question_vectors
 from docquarry.plans.indexing import build_index, prepare_documents
 from docquarry.plans.retrieval import rank, retrieve, retrieve_bm25
 from docquarry.plans.workspace import KEYS, workspace
@@ -209,6 +210,34 @@ def test_single_query_opens_its_buckets_only(spark, toy):
     assert f"SelectedBucketsCount: 1 out of {toy.buckets}" in plan
 
 
+def test_query_words_are_looked_up_in_their_buckets(spark):
+    docs = spark.createDataFrame([(i, f"w{i} w{i + 1} common") for i in range(400)], "doc_id long, text string")
+    index = build_index(docs, buckets=16)
+    scan = index.terms.filter(F.col("term").isin("w7", "w300", "common"))
+    assert scan.count() == 3
+    read = scan._jdf.queryExecution().executedPlan()
+    scan.collect()
+    assert len(index.terms.inputFiles()) == 16
+    assert _leaf(read).metrics().apply("numOutputRows").value() < 0.4 * index.terms.count()
+
+
+def _leaf(plan):
+    while plan.children().size():
+        plan = plan.children().head()
+    return plan
+
+
+def test_large_batches_leave_postings_where_they_are(spark, setting):
+    ws = workspace(spark, SMALL)
+    want = tuples(rank(ws.index, ws.questions(), KEYS))
+    with setting("docquarry.broadcastBytes", 0), setting("spark.sql.autoBroadcastJoinThreshold", -1):
+        vectors = question_vectors(question_tokens(ws.questions(), KEYS), ws.index.terms, KEYS, False)
+        hits = ranking.matches(ws.index, vectors, KEYS, False, ("doc_id", "term", "tf", "dl"))
+        moved = exchanges(hits)
+        assert "SortMergeJoin" in plan_of(hits) and len(moved) == 1 and "cell" in moved[0]
+        assert tuples(rank(ws.index, ws.questions(), KEYS)) == want
+
+
 def test_hot_words_on_both_sides(spark, setting):
     docs = spark.createDataFrame([(i, f"hot w{i % 3}") for i in range(40)], "doc_id long, text string")
     index = build_index(docs)
