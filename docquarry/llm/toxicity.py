@@ -29,6 +29,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
 from hashlib import blake2b
 
 import numpy as np
@@ -43,6 +44,10 @@ from docquarry.operators.joins import broadcast_if_small
 WORD = re.compile(r"[^\W\d_]+")
 BLOCK = 64
 OPENED = 4  # blocks opened before the others' bounds are looked at
+# If, by the common terms alone, a quarter of the blocks have bounds above this share of the
+# largest one, hardly any block could be left shut, and all postings are added up at once.
+FLAT = 0.4
+COMMON = 32  # a term of more than one example in so many is common
 EVIDENCE = "array<struct<doc_id:bigint,similarity:double,toxic:int>>"
 
 
@@ -95,6 +100,8 @@ class Index:
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int):
         """Examples and cosines of the k nearest, exact."""
+        if self._flat(terms, weights):
+            return self._best(self._all(terms, weights), k)
         first, last = self.starts[terms], self.starts[terms + 1]
         entry = _spans(first, last)
         if not len(entry):
@@ -117,11 +124,35 @@ class Index:
             sums = self._all(terms, weights)
         elif more.any():
             sums += opened(more)
+        return self._best(sums, k)
+
+    def _best(self, sums: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         rows = np.flatnonzero((sums > 0) & (sums >= _kth(sums, k) - 1e-9))
         scores = sums[rows]
-        best = np.lexsort((rows, -np.round(scores, 12)))[:k]
+        best = np.lexsort((self.ids[rows].astype(np.int64), -np.round(scores, 12)))[:k]
         return rows[best], np.minimum(scores[best], 1.0)
 
+    @cached_property
+    def _common(self) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each common term (-1: not common) and its largest weight in each block."""
+        df = self.cuts[self.starts[1:]] - self.cuts[self.starts[:-1]]
+        common = np.flatnonzero(df > len(self.ids) / COMMON)
+        place = np.full(len(df), -1)
+        place[common] = np.arange(len(common))
+        most = np.zeros((len(common), len(self.ids) // BLOCK + 1))
+        for row, term in enumerate(common):
+            entries = slice(self.starts[term], self.starts[term + 1])
+            most[row, self.blocks[entries]] = self.most[entries]
+        return place, most
+
+    def _flat(self, terms: np.ndarray, weights: np.ndarray) -> bool:
+        """Whether block bounds differ too little to shut blocks."""
+        place, most = self._common
+        at = place[terms]
+        bounds = weights[at >= 0] @ most[at[at >= 0]]
+        quarter = -(len(bounds) // 4) - 1
+        return bool(np.partition(bounds, quarter)[quarter] > FLAT * bounds.max())
+
     def _all(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """The cosines with all examples. A term's postings lie side by side."""
         at, end = self.cuts[self.starts[terms]], self.cuts[self.starts[terms + 1]]
