@@ -34,6 +34,7 @@ from docquarry.llm.components import components
 from docquarry.sources.shared import materialise
 
 SLACK = 1e-5  # rounding of the rotated vectors, kept in single precision
+SINGLE = 2e-5  # rounding of squared distances in single precision; vectors have length 1
 LINKS = "id long, n_links long, to long"
 
 
@@ -100,6 +101,11 @@ def join_chunks(a: Table, b: Table, same: bool, block: int, bounds, budgets, lea
     low, high = bounds[block]
     pa_, pb_ = a.turned[:, low:high], b.turned[:, low:high]
     sa, sb = np.einsum("ij,ij->i", pa_, pa_), np.einsum("ij,ij->i", pb_, pb_)
+    # squared distances as one product in single precision; what passes is verified in double
+    one_a, one_b = np.ones((len(sa), 1)), np.ones((len(sb), 1))
+    left = np.hstack([-2 * pa_, sa[:, None], one_a]).astype(np.float32)
+    right = np.hstack([pb_, one_b, sb[:, None]]).astype(np.float32).T.copy()
+    most = np.float32(budgets[block] + SLACK + SINGLE)
     na, nb = np.zeros(len(sa), np.int64), np.zeros(len(sb), np.int64)
     root = np.arange(len(sa) + (0 if same else len(sb)))
     shift = 0 if same else len(sa)
@@ -111,12 +117,12 @@ def join_chunks(a: Table, b: Table, same: bool, block: int, bounds, budgets, lea
             x = root[x]
         return x
 
-    step = max(1, (1 << 21) // max(1, len(sb)))
+    step = max(1, (1 << 20) // max(1, len(sb)))
     for start in range(0, len(sa), step):
         stop = min(start + step, len(sa))
-        gaps = sa[start:stop, None] + sb - 2 * (pa_[start:stop] @ pb_.T)
-        i, j = np.nonzero(gaps <= budgets[block] + SLACK)
-        i = i + start
+        near = np.flatnonzero(left[start:stop] @ right <= most)
+        i, j = np.divmod(near, len(sb))
+        i += start
         if same:
             i, j = i[i < j], j[i < j]
         for at in range(0, len(i), 1 << 16):
