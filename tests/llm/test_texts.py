@@ -191,7 +191,9 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.score(frame(spark, []), index).isEmpty()
 
 
-def test_block_max_search_is_exact():
+@pytest.mark.parametrize("flat", [0.0, 0.4, 2.0])
+def test_block_max_search_is_exact(monkeypatch, flat):
+    monkeypatch.setattr(toxicity, "FLAT", flat)
     rng = random.Random(4)
 
     class Row:
@@ -205,21 +207,35 @@ def test_block_max_search_is_exact():
     ]
     terms = [Row(term=t, df=sum(t in r.counts for r in rows)) for t in names]
     index = toxicity.build(rows, terms, 900, 450, {0: 1.0, 1: 1.0}, 0.1)
-    dense = np.zeros((900, len(names)))
-    for t in range(len(names)):
-        for e in range(index.starts[t], index.starts[t + 1]):
-            for p in range(index.cuts[e], index.cuts[e + 1]):
-                dense[index.rows[p], t] = index.weights[p]
+    by_id = np.zeros((900, len(names)))  # from the counts, not from the index
+    for row in rows:
+        for t, n in row.counts.items():
+            by_id[row.doc_id, index.terms[t]] = (1 + math.log(n)) * index.gain[index.terms[t]]
+    by_id /= np.linalg.norm(by_id, axis=1)[:, None]
+    ids = np.array(index.ids, int)
+    dense = by_id[ids]
     for _ in range(40):
         where, weights = index.vector(" ".join(rng.choices(names, k=4)))
         whole = dense[:, where] @ weights
-        want = np.lexsort((np.arange(900), -np.round(whole, 12)))[:15]
+        want = np.lexsort((ids, -np.round(whole, 12)))[:15]  # ties by id
         got, cosines = index.nearest(where, weights, 15)
         positive = whole[want] > 0
         assert got.tolist()[: positive.sum()] == want[positive].tolist()
         assert np.allclose(cosines[: positive.sum()], whole[want][positive])
 
 
+def test_ties_at_the_last_place_go_to_the_smaller_id(spark):
+    rows = [(1, "bb"), (2, "aa"), (3, "aa bb"), (4, "bb"), (5, "aa")]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    index = toxicity.train(frame(spark, rows), labels, least_rows=1)
+    for k, want in ((1, [3]), (2, [3, 1]), (4, [3, 1, 2, 4])):
+        told = toxicity.score(frame(spark, [(9, "aa bb")]), index, k).first().evidence
+        similar = sorted((-round(e.similarity, 9), e.doc_id) for e in told)
+        assert [i for _, i in similar] == [e.doc_id for e in told]
+        if len({s for s, _ in similar[1:]}) <= 1:
+            assert [e.doc_id for e in told] == want
+
+
 def test_toxicity_indexes_every_example_over_its_whole_vocabulary(spark):
     rng = random.Random(6)
     names = [f"t{chr(97 + i)}{chr(97 + j)}" for i in range(8) for j in range(10)]
