@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docquarry.functions.text import clean_text, is_kept, kept_tokens, word_tokens
 from docquarry.operators.joins import broadcast_limit, measure
+from docquarry.sources.shared import materialise
 
 
 # Stopword lists up to this length are written into the filter expression.
@@ -70,7 +71,8 @@ def drop_stopwords(tokens: DataFrame, stopwords: DataFrame) -> DataFrame:
     """Remove the tokens listed in ``stopwords(term)``; repeated tokens stay.
 
     A list of ordinary length is named in the expression and filters each token array in
-    place; a longer one is joined. Nulls in the list mean nothing, documents of stopwords
+    place; a longer one is joined, and one too long to broadcast only with the tokens that
+    are not frequent. Nulls in the list mean nothing, documents of stopwords
     only remain as empty ones, whichever way it goes.
     """
     words = stopwords.select(F.col("term").alias("token")).filter(F.col("token").isNotNull())
@@ -81,14 +83,52 @@ def drop_stopwords(tokens: DataFrame, stopwords: DataFrame) -> DataFrame:
         kept = F.filter("tokens", lambda token: ~token.isin(named))
         return tokens.select("doc_id", kept.alias("tokens"))
     if size <= broadcast_limit(tokens.sparkSession):
-        words = F.broadcast(words)
-    # tokens of empty documents are null and would meet in one task: they come back after
-    found = positions(tokens).filter(F.col("token").isNotNull())
-    kept = regroup(found.join(words, "token", "left_anti"))
+        # tokens of empty documents are null and would meet in one task: they come back after
+        found = positions(tokens).filter(F.col("token").isNotNull())
+        kept = regroup(found.join(F.broadcast(words), "token", "left_anti"))
+    else:
+        tokens = materialise(tokens, "tokens")
+        in_place, light = heavy_and_light(tokens, words)
+        kept = regroup(in_place.unionByName(light.join(words, "token", "left_anti")))
     empty = F.coalesce("tokens", F.array().cast("array<string>"))
     return tokens.select("doc_id").join(kept, "doc_id", "left").select("doc_id", empty.alias("tokens"))
 
 
+HEAVY_BYTES = 256  # of a heavy token in a broadcast table
+
+
+def heavy_and_light(tokens: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, pos, token) of the frequent tokens that are not among ``words``, decided in
+    place, and of all other tokens, none of which is frequent.
+
+    The frequent ones, listed or not, are as many as may be broadcast. ``tokens`` is read
+    several times and should be a written table.
+    """
+    limit = broadcast_limit(tokens.sparkSession)
+    found = positions(tokens).filter(F.col("token").isNotNull())
+    most = limit // HEAVY_BYTES
+    if not most:
+        return found.limit(0), found
+    counts = materialise(found.groupBy("token").agg(F.count("*").alias("n")), "token-counts")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    # fewer than total / threshold tokens can be as frequent as the threshold
+    threshold = total // most + 1
+    listed = words.withColumn("listed", F.lit(True))
+
+    def heavy():
+        return counts.filter(F.col("n") >= threshold).join(listed, "token", "left").select(
+            "token", F.coalesce("listed", F.lit(False)).alias("listed")
+        )
+
+    while measure(heavy())[1] > limit:
+        threshold *= 2
+    marked = found.join(F.broadcast(heavy()), "token", "left")
+    in_place = marked.filter(~F.col("listed")).drop("listed")
+    light = marked.filter(F.col("listed").isNull()).drop("listed")
+    columns = ["doc_id", "pos", "token"]
+    return in_place.select(*columns), light.select(*columns)
+
+
 def frequent_terms(terms: DataFrame, n_docs, share: float) -> DataFrame:
     """Stopword list from the corpus: terms found in more than ``share`` of it.
 

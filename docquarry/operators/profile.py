@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,20 +12,18 @@ from docquarry.operators.joins import broadcast_if_small
 def profile(docs: DataFrame) -> DataFrame:
     """Rows, distinct ids and distinct texts; null counts as a value.
 
-    Texts are compared by their SHA-256 digest, so 32 bytes are shuffled per
-    distinct text and not the text.
+    Every column is counted by its own partial groups, so no row is multiplied by the
+    number of columns. Texts are compared by their SHA-256 digest: 32 bytes are shuffled
+    per distinct text and not the text.
     """
     digest = F.unhex(F.sha2("text", 256))
-    return docs.select("doc_id", digest.alias("digest")).agg(
-        F.count("*").alias("n_rows"),
-        _distinct("doc_id").alias("n_ids"),
-        _distinct("digest").alias("n_texts"),
-    )
-
-
-def _distinct(column: str) -> Column:
-    has_null = F.coalesce(F.max(F.col(column).isNull().cast("int")), F.lit(0))
-    return F.count_distinct(column) + has_null
+    none, one = F.lit(0).cast("long"), F.count("*")
+    by_id = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    ids = by_id.agg(F.coalesce(F.sum("n"), none).alias("n_rows"), one.alias("n_ids"), none.alias("n_texts"))
+    texts = docs.select(digest.alias("digest")).distinct()
+    texts = texts.agg(none.alias("n_rows"), none.alias("n_ids"), one.alias("n_texts"))
+    both = ids.unionByName(texts)
+    return both.agg(*[F.sum(name).alias(name) for name in ("n_rows", "n_ids", "n_texts")])
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -283,5 +283,25 @@ def test_only_marked_runs_become_rows(spark, monkeypatch, named, bits):
         assert hits[0] < 0.05 * sum(len((t or "").split(" ")) for t in texts)
 
 
+def test_nth_id_by_narrowing(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "SORTED_IDS", 20)
+    monkeypatch.setattr(sampling, "SKETCH", 50)
+    rng = random.Random(9)
+    ids = rng.sample(range(-500, 10**12), 1500) + list(range(500))
+    docs = spark.createDataFrame([(i, "t") for i in {*ids}] + [(None, "t")], "doc_id long, text string")
+    known = sorted({*ids})
+    for n in (1, 2, 499, 1000, len(known) - 1, len(known), 5000):
+        assert sampling.nth_smallest(docs, n) == known[min(n, len(known)) - 1]
+    assert sampling.first_documents(docs, 700).count() == 700
+    assert sampling.first_documents(docs, 0).isEmpty() and sampling.first_documents(docs.limit(0), 3).isEmpty()
+
+
+def test_profile_multiplies_no_rows(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, None), (None, None)], "doc_id long, text string")
+    found = profile.profile(docs)
+    assert tuples(found) == [(3, 2, 2)]
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

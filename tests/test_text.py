@@ -149,3 +149,22 @@ def test_one_row_per_id(spark):
     assert corpus.has_duplicate_ids(rows)
     assert tuples(corpus.one_row_per_id(rows)) == [(1, "a"), (2, None)]
     assert not corpus.has_duplicate_ids(corpus.one_row_per_id(rows))
+
+
+def test_frequent_tokens_are_not_shuffled(spark, setting):
+    rng = random.Random(2)
+    rows = [(i, ["hot", "warm"] * 20 + [f"w{rng.randrange(400)}" for _ in range(10)]) for i in range(60)]
+    rows += [(90, []), (91, None), (92, ["hot"])]
+    tokens = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    listed = ["hot", *(f"w{i}" for i in range(200)), *(f"x{i}" for i in range(2000))]
+    stop = spark.createDataFrame([(w,) for w in listed], "term string")
+    want = [(i, [w for w in t or [] if w not in set(listed)]) for i, t in rows]
+    with setting("docquarry.broadcastBytes", 2_000), setting("spark.sql.autoBroadcastJoinThreshold", -1):
+        assert tuples(corpus.drop_stopwords(tokens, stop)) == sorted(want, key=repr)
+        in_place, light = corpus.heavy_and_light(tokens, stop.withColumnRenamed("term", "token"))
+        assert in_place.select("token").distinct().collect() == [("warm",)]
+        assert light.filter("token IN ('hot', 'warm')").isEmpty() and light.count() == 600
+        plan = light._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+    with setting("docquarry.broadcastBytes", 0), setting("spark.sql.autoBroadcastJoinThreshold", -1):
+        assert tuples(corpus.drop_stopwords(tokens, stop)) == sorted(want, key=repr)
