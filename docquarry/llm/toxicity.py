@@ -13,13 +13,13 @@ nearest are exact either way. They vote with a weight that falls with distance;
 smoothed with the prior, are the score, and the neighbours are the evidence.
 
 Term statistics are counted over all labelled rows. The examples are a bounded sample
-of them (``examples`` per class at most, chosen by a hash of the text), and each votes
-for as many rows as it stands for.
+of them (about ``examples`` per class at most, chosen by a hash of id and text, so that
+copies are not drawn together), and each votes for as many rows as it stands for.
 
 Defined results: a text without a term of the examples (null and empty texts too) has no
 neighbours and scores the smoothed share of toxic rows among labelled texts of that
-kind; without labelled rows every score is 0.5 before and 0 after rounding down by the
-prior, that is 0.0; equal similarities go to the smaller example id; a row labelled
+kind; without labelled rows every score is 0.0; equal similarities go to the smaller
+example id; rows that repeat id and text are one example; a row labelled
 twice counts as toxic if any label says so; null labels are ignored; further columns
 are carried along, those named like a result column are replaced.
 """
@@ -273,7 +273,7 @@ def train(
     n, n_toxic = sum(totals.values()), totals.get(1, 0)
     prior = n_toxic / n if n else 0.0
     fraction = {toxic: min(1.0, examples / count) for toxic, count in totals.items()}
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)
+    draw = F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(1 << 20)) / float(1 << 20)
     limit = F.when(F.col("toxic") == 1, fraction.get(1, 1.0)).otherwise(fraction.get(0, 1.0))
 
     def vectors(batches):
@@ -287,7 +287,7 @@ def train(
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "toxic", "terms", "counts"])
 
-    sample = labelled.filter(draw < limit).select("doc_id", "toxic", "text")
+    sample = labelled.filter(draw < limit).groupBy("doc_id", "toxic", "text").agg(F.count("*").alias("n"))
     rows = sample.mapInArrow(vectors, "doc_id long, toxic int, terms array<string>, counts array<int>").toArrow()
     rows = rows.combine_chunks()
     coded = pc.list_flatten(rows["terms"]).combine_chunks().dictionary_encode()

@@ -236,6 +236,18 @@ def test_ties_at_the_last_place_go_to_the_smaller_id(spark):
             assert [e.doc_id for e in told] == want
 
 
+def test_the_sample_of_examples_is_bounded(spark):
+    """Copies and null texts, a hundred times as many as examples are wanted."""
+    hot = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("copied words here").alias("text"))
+    none = spark.range(20_000, 40_000).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    again = spark.range(300).select(F.lit(50_000).cast("long").alias("doc_id"), F.lit("same row idiot").alias("text"))
+    docs = hot.union(none).union(again)
+    labels = docs.select("doc_id", (F.col("doc_id") >= 50_000).cast("int").alias("toxic")).distinct()
+    index = toxicity.train(docs, labels, examples=200)
+    assert 60 <= (index.toxic == 0).sum() <= 160 and (index.toxic == 1).sum() <= 1
+    assert index.bare < 0.05  # null texts are clean, and stand for twenty thousand
+
+
 def test_toxicity_indexes_every_example_over_its_whole_vocabulary(spark):
     rng = random.Random(6)
     names = [f"t{chr(97 + i)}{chr(97 + j)}" for i in range(8) for j in range(10)]
