@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docquarry.operators.idsets import id_blocks, set_digests, sizes
 from docquarry.operators.joins import broadcast_if_small
+from docquarry.sources.shared import materialise
 
 
 def profile(docs: DataFrame) -> DataFrame:
@@ -64,12 +66,13 @@ def context_per_id_set(qrels: DataFrame, contexts: DataFrame, keys: list[str]) -
     """(n_ids, first_id, context): one row per distinct set of relevant ids, with its
     smallest context.
 
-    Sets are compared by their size and two 64-bit hashes that add up in parts, so no
-    list of ids is ever put together.
+    Sets are compared by digests of their bitmaps, so no list of ids is ever put together.
     """
-    digest = [F.bit_xor(F.xxhash64("doc_id", F.lit(seed))).alias(f"h{seed}") for seed in (1, 2)]
-    sets = qrels.groupBy(*keys).agg(
-        F.count("*").alias("n_ids"), F.min("doc_id").alias("first_id"), *digest
+    sets = qrels.groupBy(*keys).agg(F.min("doc_id").alias("first_id"))
+    blocks = materialise(id_blocks(qrels, keys), "id-sets")
+    sets = sets.join(sizes(blocks, keys), keys).join(set_digests(blocks, keys), keys)
+    pairs = qrels.join(broadcast_if_small(materialise(sets, "sets")), keys).join(contexts, "doc_id")
+    grouped = pairs.groupBy("digest").agg(
+        F.first("n_ids").alias("n_ids"), F.first("first_id").alias("first_id"), F.min("context").alias("context")
     )
-    pairs = qrels.join(sets, keys).join(contexts, "doc_id")
-    return pairs.groupBy("n_ids", "first_id", "h1", "h2").agg(F.min("context").alias("context")).drop("h1", "h2")
+    return grouped.select("n_ids", "first_id", "context")

@@ -310,6 +310,10 @@ def oracle_sql() -> dict[str, str]:
             FROM labels_) WHERE len(cid) > 0""",
             ["labels_"],
         ),
+        "labels_bitmap_cutoff": _sql(
+            f"SELECT split, qid, count(*) AS n_ids FROM rels WHERE doc_id <= {CUTOFF} GROUP BY split, qid",
+            ["rels"],
+        ),
         "sample_consistent_qrels": _sql(
             f"""SELECT split, qid, doc_id FROM rels WHERE doc_id IN
             (SELECT doc_id FROM corpus ORDER BY doc_id LIMIT {SAMPLE_ROWS})""",

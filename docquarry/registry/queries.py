@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.functions.text import nfc, token_string
-from docquarry.operators import compounds, corpus, metrics, postings, profile, sampling
+from docquarry.operators import compounds, corpus, idsets, metrics, postings, profile, sampling
 from docquarry.operators.questions import in_vocabulary, question_tokens, vectors_fit
 from docquarry.operators.joins import broadcast_if_small, lookup
 from docquarry.operators.ranking import candidates, ranked_lists, with_excerpts
@@ -104,6 +104,13 @@ def labels_array_cutoff(ws: Workspace) -> DataFrame:
     return cut.select(*KEYS, "part", "question", ids("cid"))
 
 
+@query
+def labels_bitmap_cutoff(ws: Workspace) -> DataFrame:
+    """The same cut on sets of ids: questions that keep an id, and how many."""
+    kept = idsets.up_to(idsets.id_blocks(ws.qrels, KEYS), KEYS, CUTOFF)
+    return idsets.sizes(kept, KEYS)
+
+
 @query
 def sample_consistent_qrels(ws: Workspace) -> DataFrame:
     sample = sampling.first_documents(ws.corpus(), SAMPLE_ROWS)
