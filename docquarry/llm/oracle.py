@@ -207,7 +207,7 @@ kept AS (
     AND contains(' ' || x.phrase || ' ', ' ' || s.phrase || ' '))
 ),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::INTEGER AS rank FROM kept
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
 )
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
 """

@@ -114,7 +114,8 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return collocations.collocations(_table(spark, sf_dir, "documents")).drop("words")
+    found = collocations.collocations(_table(spark, sf_dir, "documents"))
+    return found.withColumn("rank", F.col("rank").cast("long")).drop("words")
 
 
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
