@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquarry.functions import weights
-from docquarry.operators.corpus import positions
 from docquarry.operators.joins import lookup
 
 
@@ -18,18 +17,23 @@ def with_length(tokens: DataFrame) -> DataFrame:
 def postings(documents: DataFrame) -> DataFrame:
     """(doc_id, term, tf, dl, positions), grouped by term within a document.
 
-    No group is larger than one document. With ``documents`` partitioned by
-    ``doc_id`` the grouping needs no shuffle.
+    The tokens of a document are sorted inside its array and cut into runs of equal ones,
+    so no row is made per occurrence and no task holds more than a document.
     """
-    occurrences = positions(documents, "dl").filter(F.col("token").isNotNull())
-    return (
-        occurrences.groupBy("doc_id", F.col("token").alias("term"))
-        .agg(
-            F.count("*").alias("tf"),
-            F.max("dl").alias("dl"),
-            F.sort_array(F.collect_list("pos")).alias("positions"),
-        )
-    )
+    placed = F.transform("tokens", lambda token, i: F.struct(token.alias("token"), i.alias("pos")))
+    rows = documents.filter(F.size("tokens") > 0).select("doc_id", "dl", F.sort_array(placed).alias("placed"))
+    token = lambda i: F.get("placed", i).getField("token")
+    numbers = F.sequence(F.lit(0), F.size("placed") - 1)
+    starts = F.filter(numbers, lambda i: (i == 0) | (token(i) != token(i - 1)))
+    rows = rows.withColumn("starts", starts)
+
+    def run(start: Column, i: Column) -> Column:
+        n = F.coalesce(F.get("starts", i + 1), F.size("placed")) - start
+        where = F.slice("placed", start + 1, n).getField("pos")
+        return F.struct(token(start).alias("term"), n.cast("long").alias("tf"), where.alias("positions"))
+
+    runs = rows.select("doc_id", "dl", F.inline(F.transform("starts", run)))
+    return runs.filter(F.col("term").isNotNull()).select("doc_id", "term", "tf", "dl", "positions")
 
 
 def vocabulary(posting_rows: DataFrame) -> DataFrame:

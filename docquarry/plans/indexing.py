@@ -13,11 +13,11 @@ from docquarry.sources.index_store import Index, cell_of, n_slices, save_buckete
 from docquarry.sources.shared import new_path
 
 BUCKET_SETTING = "docquarry.bucketBytes"
-DEFAULT_BUCKET_BYTES = 1024**3
+DEFAULT_BUCKET_BYTES = 16 * 1024**2  # what a task sorts and adds up of a bucket stays in its memory
 
 
 def bucket_count(spark: SparkSession, text_bytes: int) -> int:
-    """Enough buckets to use all cores and to keep each near a GiB of text."""
+    """Enough buckets to use all cores and to keep each near 16 MiB of text."""
     cores = spark.sparkContext.defaultParallelism
     most = int(spark.conf.get(BUCKET_SETTING, str(DEFAULT_BUCKET_BYTES)))
     return max(cores, -(-text_bytes // most))
@@ -49,8 +49,9 @@ def by_term(counts: DataFrame, terms: DataFrame, buckets: int) -> DataFrame:
     sliced = terms.select("term", "df", n_slices(F.col("df")).alias("slices"))
     placed = lookup(counts, sliced, ["term"], weight="df")
     cell = cell_of(F.col("term"), F.pmod(F.xxhash64("doc_id"), F.col("slices")))
-    rows = placed.select(cell.alias("cell"), "term", "doc_id", "tf", "dl", "l2")
-    return rows.repartition(buckets, "cell")
+    # the cell, a hash that does not compress, is not shuffled but computed again
+    rows = placed.select("term", "doc_id", "tf", "dl", "l2", F.col("slices").cast("int").alias("slices"))
+    return rows.repartition(buckets, cell).select(cell.alias("cell"), "term", "doc_id", "tf", "dl", "l2")
 
 
 def build_index(

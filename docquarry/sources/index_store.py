@@ -126,6 +126,7 @@ def save_bucketed(df: DataFrame, path: str, table: str, buckets: int) -> DataFra
         .bucketBy(buckets, BUCKET_KEY.get(table, "doc_id"))
         .sortBy(BUCKETED[table][1])
         .option("path", f"{path}/{table}")
+        .option("compression", "zstd")
         .options(**{"parquet.block.size": size for name, size in ROW_GROUP_BYTES.items() if name == table})
         .saveAsTable(name)
     )

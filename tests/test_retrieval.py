@@ -11,7 +11,7 @@ from docquarry.operators.compounds import join_compounds
 from docquarry.operators.corpus import clean, drop_stopwords, words
 from docquarry.operators.joins import lookup
 from docquarry.operators.questions import question_tokens, question_vectors
-from docquarry.plans.indexing import build_index, prepare_documents
+from docquarry.plans.indexing import bucket_count, build_index, prepare_documents
 from docquarry.plans.retrieval import rank, retrieve, retrieve_bm25
 from docquarry.plans.workspace import KEYS, workspace
 from docquarry.sources import index_store
@@ -199,6 +199,22 @@ def test_buckets_follow_the_texts(spark, setting):
         assert build_index(docs).buckets == 10
 
 
+def test_buckets_stay_small(spark):
+    """A bucket is sorted and added up in the memory of a task, however large the corpus."""
+    assert bucket_count(spark, 0) == spark.sparkContext.defaultParallelism
+    assert bucket_count(spark, 10**10) >= 10**10 // (32 << 20)
+
+
+def test_postings_are_cut_from_sorted_arrays(spark):
+    docs = [(1, "b a b a a".split()), (2, []), (3, ["z"]), (None, ["q", "q"])]
+    made = spark.createDataFrame(docs, "doc_id long, tokens array<string>").withColumn("dl", F.size("tokens").cast("long"))
+    rows = postings.postings(made)
+    assert tuples(rows) == sorted(
+        [(1, "a", 3, 5, [1, 3, 4]), (1, "b", 2, 5, [0, 2]), (3, "z", 1, 1, [0]), (None, "q", 2, 2, [0, 1])], key=repr
+    )
+    assert "Aggregate" not in plan_of(rows) and rows.schema["positions"].dataType.simpleString() == "array<int>"
+
+
 def test_build_shuffles_texts_once(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     plan = exchanges(prepare_documents(docs, 5))
