@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquarry.operators.corpus import drop_stopwords, keep_valid, regroup, tokenise, words
-from docquarry.operators.joins import fits, lookup
+from docquarry.operators.corpus import drop_stopwords, keep_valid, tokenise, words
+from docquarry.operators.joins import broadcast_if_small, fits, lookup
 from docquarry.sources.shared import materialise
 
 
@@ -30,38 +30,67 @@ def _pairs(words: DataFrame) -> DataFrame:
     return rows.select("doc_id", "pos", "pair.t1", "pair.t2")
 
 
-def learn_lexicon(words: DataFrame, min_count: int) -> DataFrame:
-    """(t1, t2, n): adjacent word pairs seen at least ``min_count`` times."""
-    return (
-        _pairs(words)
-        .filter(F.col("t2").isNotNull())
-        .groupBy("t1", "t2")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= min_count)
+def learn_lexicon(words: DataFrame, min_count: int, again: DataFrame | None = None) -> DataFrame:
+    """(t1, t2, n): adjacent word pairs seen at least ``min_count`` times.
+
+    Pairs are counted by a short hash first. Only those whose hash is as frequent, all
+    frequent ones among them, are then counted as words, so that the many rare pairs are
+    not shuffled as texts. The second count holds few groups: it may read the same words
+    from ``again``, in tasks of any size, if ``words`` had to be shuffled.
+    """
+    code = F.hash("t1", "t2")
+    pairs = _pairs(words).filter(F.col("t2").isNotNull())
+    codes = pairs.groupBy(code.alias("code")).agg(F.count("*").alias("n"))
+    often = materialise(codes.filter(F.col("n") >= min_count).select("code"), "frequent-codes")
+    pairs = _pairs(words if again is None else again).filter(F.col("t2").isNotNull())
+    pairs = pairs.withColumn("code", code).join(broadcast_if_small(often), "code", "left_semi")
+    counted = pairs.groupBy("t1", "t2").agg(F.count("*").alias("n"))
+    return counted.filter(F.col("n") >= min_count)
+
+
+def _found(words: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(doc_id, places): where a word and its successor are in the lexicon."""
+    pairs = _pairs(words).filter(F.col("t2").isNotNull())
+    hits = lookup(pairs, lexicon, ["t1", "t2"], weight="n")
+    return hits.groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("places"))
+
+
+def _joined(rows: DataFrame) -> DataFrame:
+    """(doc_id, tokens) of words and the places found among them."""
+    before = lambda i: F.coalesce(F.get("places", i - 1), F.lit(-1))
+    ones = F.transform("places", lambda p, i: F.concat(F.repeat(F.lit("0"), p - before(i) - 1), F.lit("1")))
+    flags = F.rpad(F.array_join(ones, ""), F.size("tokens"), F.lit("0"))
+    # S starts a compound, T is its second word, whatever it starts itself
+    marks = F.split(F.regexp_replace(flags, "1.", "ST"), "")
+    parts = F.arrays_zip(
+        F.col("tokens").alias("t1"),
+        F.slice("tokens", 2, F.size("tokens")).alias("t2"),
+        F.slice(marks, 1, F.size("tokens")).alias("mark"),
     )
+    both = lambda p: F.concat_ws("_", p["t1"], p["t2"])
+    chosen = F.transform(parts, lambda p: F.when(p["mark"] == "S", both(p)).when(p["mark"] == "0", p["t1"]))
+    chosen = F.filter(chosen, lambda token: token.isNotNull())
+    tokens = F.when(F.col("places").isNull(), F.col("tokens")).otherwise(chosen)
+    return rows.select("doc_id", F.coalesce(tokens, F.array().cast("array<string>")).alias("tokens"))
 
 
 def join_compounds(words: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Join lexicon pairs by '_', left to right without overlap.
 
-    In a run of consecutive matches every second one starts a compound, which is
-    what a greedy scan from the left would choose. ``words`` should be partitioned
-    by ``doc_id``; the windows then need no further shuffle. With a lexicon too large to
-    broadcast, the words are written first and every branch of the join reads them.
+    A document's words are marked as a text of 0 and 1 (the word and its successor are in
+    the lexicon); the greedy scan from the left is a pattern on it. Rows are made of the
+    pairs that are looked up, and only the places of those found are grouped. ``words``
+    should have one row per ``doc_id`` and be partitioned by it; no further shuffle is
+    needed then. With a lexicon too large to broadcast, the words are written first and
+    every branch of the join reads them.
     """
-    known = lexicon.withColumn("in_lexicon", F.lit(True))
-    if not fits(known):
+    if not fits(lexicon):
         words = materialise(words, "words")
-    marked = lookup(_pairs(words), known, ["t1", "t2"], weight="n", how="left")
-    in_doc = Window.partitionBy("doc_id").orderBy("pos")
-    so_far = in_doc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    gap = F.max(F.when(F.col("in_lexicon").isNull(), F.col("pos"))).over(so_far)
-    offset = F.col("pos") - F.coalesce(gap, F.lit(-1)) - 1
-    starts = F.coalesce(F.col("in_lexicon") & (offset % 2 == 0), F.lit(False))
-    chosen = marked.withColumn("starts", starts).withColumn(
-        "taken", F.coalesce(F.lag("starts").over(in_doc), F.lit(False))
-    )
-    token = F.when(F.col("starts"), F.concat_ws("_", "t1", "t2")).when(
-        ~F.col("taken"), F.col("t1")
-    )
-    return regroup(chosen.select("doc_id", "pos", token.alias("token")))
+    # an id of null meets no other in a join; such a row stands for itself
+    unnamed = words.filter(F.col("doc_id").isNull())
+    words = words.filter(F.col("doc_id").isNotNull())
+    found = _found(words, lexicon).withColumnRenamed("doc_id", "found_id")
+    named = words.join(found, F.col("doc_id") == F.col("found_id"), "left")
+    alone = unnamed.crossJoin(_found(unnamed, lexicon).select("places")) if not unnamed.isEmpty() else None
+    rows = named.select("doc_id", "tokens", "places")
+    return _joined(rows if alone is None else rows.unionByName(alone))

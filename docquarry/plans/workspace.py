@@ -18,11 +18,13 @@ from docquarry.operators.corpus import (
     frequent_terms,
     has_duplicate_ids,
     one_row_per_id,
+    tokenise,
     words,
 )
 from docquarry.operators.joins import broadcast_if_small
 from docquarry.operators.metrics import judged_questions
-from docquarry.plans.indexing import build_index
+from docquarry.operators.postings import document_frequency
+from docquarry.plans.indexing import bucket_count, build_index, measure_texts
 from docquarry.plans.retrieval import rank
 from docquarry.sources.index_store import Index
 from docquarry.sources.shared import materialise
@@ -57,13 +59,19 @@ class Workspace:
         """(doc_id, text), one row per id."""
         return self._corpus
 
-    def words(self) -> DataFrame:
-        """(doc_id, tokens) before any token is dropped."""
-        return words(clean(self.spread_corpus()))
+    def pairs_counted(self) -> DataFrame:
+        """(t1, t2, n) of frequent pairs of words; tasks of the first count are bounded."""
+        as_read = words(clean(self.spread_corpus()))
+        return learn_lexicon(words(self.placed_corpus()), LEXICON_COUNT, again=as_read)
 
     def spread_corpus(self) -> DataFrame:
         return spread(self.corpus(), self.input_bytes, "doc_id")
 
+    def placed_corpus(self) -> DataFrame:
+        """Cleaned texts, partitioned by document as in an index."""
+        size, _ = measure_texts(self.corpus(), unique_ids=True)
+        return clean(self.corpus()).repartition(bucket_count(self.spark, size), "doc_id")
+
     def questions(self) -> DataFrame:
         """(split, qid, question): the whole passages."""
         even = F.col("item_id") % 2 == 0
@@ -105,8 +113,13 @@ class Workspace:
     @cached_property
     def stopwords(self) -> DataFrame:
         """(term) as a written table: terms of more than a share of the documents."""
-        listed = frequent_terms(self.index.terms, self.index.scalar("n_docs"), STOPWORD_SHARE)
-        return materialise(listed, "stopwords")
+        if "index" in vars(self):
+            terms, n_docs = self.index.terms, self.index.scalar("n_docs")
+        else:  # the words that are frequent are known without an index
+            tokens = tokenise(clean(self.spread_corpus()))
+            terms = document_frequency(tokens.select(F.explode(F.array_distinct("tokens")).alias("term")))
+            n_docs = self.corpus().count()
+        return materialise(frequent_terms(terms, n_docs, STOPWORD_SHARE), "stopwords")
 
     @cached_property
     def compound_index(self) -> Index:
@@ -121,7 +134,7 @@ class Workspace:
     @cached_property
     def lexicon(self) -> DataFrame:
         """(t1, t2, n) as a written table."""
-        return materialise(learn_lexicon(self.words(), LEXICON_COUNT), "lexicon")
+        return materialise(self.pairs_counted(), "lexicon")
 
     @cached_property
     def ranking(self) -> DataFrame:

@@ -15,7 +15,7 @@ from docquarry.operators.ranking import candidates, ranked_lists, with_excerpts
 from docquarry.plans.evaluation import Evaluation, evaluate, evaluate_ranking, save_evaluation
 from docquarry.plans.reduction import reduce_tables
 from docquarry.plans.retrieval import rank, retrieve, retrieve_bm25, vectors_of
-from docquarry.plans.workspace import KEYS, LEXICON_COUNT, Workspace, workspace
+from docquarry.plans.workspace import KEYS, Workspace, workspace
 from docquarry.sources import tables
 from docquarry.sources.index_store import open_index, save_index
 from docquarry.sources.shared import new_path
@@ -158,7 +158,7 @@ def tokens_no_stopwords(ws: Workspace) -> DataFrame:
 
 @query
 def lexicon_learn(ws: Workspace) -> DataFrame:
-    return compounds.learn_lexicon(ws.words(), LEXICON_COUNT)
+    return ws.pairs_counted()
 
 
 @query
@@ -173,8 +173,7 @@ def stopwords_load(ws: Workspace) -> DataFrame:
 
 @query
 def tokens_compound(ws: Workspace) -> DataFrame:
-    placed = corpus.clean(ws.corpus()).repartition(ws.index.buckets, "doc_id")
-    joined = compounds.join_compounds(corpus.words(placed), ws.lexicon)
+    joined = compounds.join_compounds(corpus.words(ws.placed_corpus()), ws.lexicon)
     return token_rows(corpus.keep_valid(joined))
 
 

@@ -13,7 +13,8 @@ from docquarry.operators.joins import lookup
 from docquarry.operators.questions import question_tokens, question_vectors
 from docquarry.plans.indexing import bucket_count, build_index, prepare_documents
 from docquarry.plans.retrieval import rank, retrieve, retrieve_bm25
-from docquarry.plans.workspace import KEYS, workspace
+from docquarry.plans.workspace import KEYS, Workspace, workspace
+from docquarry.registry import queries
 from docquarry.sources import index_store
 from docquarry.sources.index_store import open_index, save_index
 from docquarry.sources.shared import new_path
@@ -215,6 +216,15 @@ def test_postings_are_cut_from_sorted_arrays(spark):
     assert "Aggregate" not in plan_of(rows) and rows.schema["positions"].dataType.simpleString() == "array<int>"
 
 
+def test_stopwords_and_compounds_need_no_index(spark):
+    ws = Workspace(spark, SMALL)
+    queries.tokens_compound(ws), ws.stopwords
+    assert "index" not in vars(ws)
+    alone, _ = tuples(ws.stopwords), ws.index
+    del ws.stopwords
+    assert tuples(ws.stopwords) == alone and len(alone) > 5
+
+
 def test_build_shuffles_texts_once(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     plan = exchanges(prepare_documents(docs, 5))

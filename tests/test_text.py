@@ -144,6 +144,30 @@ def test_compounds_against_a_greedy_scan(spark, setting, limit):
     assert dict(got) == {i: greedy(tokens, known) for i, tokens in data}
 
 
+def test_rare_pairs_are_not_shuffled_as_texts(spark, tmp_path):
+    """Nine of ten pairs are seen once; their words are in no shuffle."""
+    data = [(i, ["the", "same", f"x{i}", f"y{i}"] + ["the", "same"] * (i % 2)) for i in range(300)]
+    words = spark.createDataFrame(data, "doc_id long, tokens array<string>").repartition(4, "doc_id")
+    lexicon = compounds.learn_lexicon(words, 100)
+    assert tuples(lexicon) == [("the", "same", 450)]
+    twice = compounds.learn_lexicon(words, 100, again=words.repartition(2))
+    assert tuples(twice) == tuples(lexicon)
+    plan = lexicon._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("LeftSemi") > plan.index("HashAggregate") and "frequent-codes" in plan
+
+
+def test_compounds_make_no_row_per_word(spark):
+    """No window, and only places of found pairs are grouped; null and empty rows stay."""
+    data = [(1, "a b a b c".split()), (2, []), (3, None), (None, "a b a".split()), (4, "c b".split())]
+    words = spark.createDataFrame(data, "doc_id long, tokens array<string>")
+    lexicon = spark.createDataFrame([("a", "b", 3), ("b", "c", 1), ("b", "a", 1)], "t1 string, t2 string, n long")
+    joined = compounds.join_compounds(words, lexicon)
+    want = [(1, ["a_b", "a_b", "c"]), (2, []), (3, []), (4, ["c", "b"]), (None, ["a_b", "a"])]
+    assert tuples(joined) == sorted(want, key=repr)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "token#" not in plan
+
+
 def test_one_row_per_id(spark):
     rows = spark.createDataFrame([(1, "b"), (1, "a"), (2, None)], "doc_id long, text string")
     assert corpus.has_duplicate_ids(rows)
