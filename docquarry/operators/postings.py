@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.functions import weights
@@ -72,6 +72,7 @@ def token_counts(posting_rows: DataFrame) -> DataFrame:
 LENGTH_RATIO = 1.25  # of the longest to the shortest document of a class
 LONGEST_CLASS = 62  # classes fit the bits of a long; the last one is open
 FEW_POSTINGS = 64  # of a term that needs no bounds
+RARE = 1000  # nor does one of less than one document in so many
 
 
 def length_class(dl: Column) -> Column:
@@ -79,17 +80,17 @@ def length_class(dl: Column) -> Column:
     return F.least(number, F.lit(LONGEST_CLASS)).cast("int")
 
 
-def bounds(cells: DataFrame) -> DataFrame:
+def bounds(posting_rows: DataFrame, norms: DataFrame, terms: DataFrame, n_docs: int) -> DataFrame:
     """(term, class, max_tf, min_dl, max_share): the largest share a frequent term has in
-    documents of a length class, from the postings by cell. Cells group without a shuffle."""
+    documents of a length class. Postings stay in the buckets of their documents, and only
+    the largest of each bucket are shuffled. The frequent terms are bounded in number by the
+    words of a mean document."""
+    held = terms.filter(F.col("df") > max(FEW_POSTINGS, n_docs // RARE)).select("term", "df")
+    rows = posting_rows.select("doc_id", "term", "tf", "dl").join(norms, "doc_id")
+    rows = lookup(rows, held, ["term"], weight="df")
     share = F.max(F.col("tf") / F.coalesce("l2", F.lit(1.0))).alias("max_share")
     most = [F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"), share]
-    by_class = cells.groupBy("cell", "term", length_class(F.col("dl")).alias("class"))
-    found = by_class.agg(F.count("*").alias("n"), *most)
-    held = F.sum("n").over(Window.partitionBy("cell", "term"))
-    found = found.withColumn("held", held).filter(F.col("held") > FEW_POSTINGS)
-    again = [F.max("max_tf").alias("max_tf"), F.min("min_dl").alias("min_dl"), F.max("max_share").alias("max_share")]
-    return found.groupBy("term", "class").agg(*again)
+    return rows.groupBy("term", length_class(F.col("dl")).alias("class")).agg(*most)
 
 
 def tfidf(posting_rows: DataFrame, terms: DataFrame) -> DataFrame:

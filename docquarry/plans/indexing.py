@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from docquarry.operators import postings as ops
 from docquarry.operators.compounds import token_arrays
 from docquarry.operators.corpus import clean, one_row_per_id
-from docquarry.operators.joins import lookup
-from docquarry.sources.index_store import Index, cell_of, n_slices, save_bucketed, save_plain
+from docquarry.sources.index_store import Index, save_bucketed, save_cells, save_plain
 from docquarry.sources.shared import new_path
 
 BUCKET_SETTING = "docquarry.bucketBytes"
@@ -44,16 +43,6 @@ def prepare_documents(
     return ops.with_length(token_arrays(placed, lexicon, stopwords))
 
 
-def by_term(counts: DataFrame, terms: DataFrame, buckets: int) -> DataFrame:
-    """Postings (doc_id, term, tf, dl, l2) by cell; see the index at rest."""
-    sliced = terms.select("term", "df", n_slices(F.col("df")).alias("slices"))
-    placed = lookup(counts, sliced, ["term"], weight="df")
-    cell = cell_of(F.col("term"), F.pmod(F.xxhash64("doc_id"), F.col("slices")))
-    # the cell, a hash that does not compress, is not shuffled but computed again
-    rows = placed.select("term", "doc_id", "tf", "dl", "l2", F.col("slices").cast("int").alias("slices"))
-    return rows.repartition(buckets, cell).select(cell.alias("cell"), "term", "doc_id", "tf", "dl", "l2")
-
-
 def build_index(
     docs: DataFrame,
     path: str | None = None,
@@ -65,12 +54,14 @@ def build_index(
     """Build and store all index tables of ``docs(doc_id, text)``.
 
     Each table is written once and the next one is derived from what was
-    written, so nothing is tokenised twice and a lost executor costs its tasks.
+    written, so nothing is tokenised twice and a lost executor costs its tasks. An index
+    of the caller's ``path`` is whole; one in the shared folder gets its postings by cell,
+    which not every use needs, when they are first asked for.
     ``unique_ids`` vouches for one row per document and skips the check. The bucket
     count follows from the texts' size unless ``buckets`` sets it.
     """
     spark = docs.sparkSession
-    path = path or new_path(spark, "index")
+    lasting, path = path is not None, path or new_path(spark, "index")
     size, repeated = measure_texts(docs, unique_ids)
     buckets = buckets or bucket_count(spark, size)
     if repeated:
@@ -102,20 +93,20 @@ def build_index(
     n_docs = corpus.select("n_docs").scalar()
     terms = store(ops.term_stats(counts, n_docs).repartition(buckets, "term"), "terms")
     norms = store(ops.document_norms(ops.tfidf(counts, terms)), "norms")
-    cells = store(by_term(counts.join(norms, "doc_id"), terms, buckets), "by_term")
-    limits = ops.bounds(cells).sortWithinPartitions("term")
+    found = corpus.first().n_docs
+    limits = ops.bounds(counts, norms, terms, found).sortWithinPartitions("term")
     return Index(
         documents,
         posting_rows,
         norms,
-        cells,
         terms,
         save_plain(limits, path, "bounds"),
         corpus,
         **kept,
+        cells=save_cells(posting_rows, norms, terms, path, buckets) if lasting else None,
         path=path,
         buckets=buckets,
-        n_docs=corpus.first().n_docs,
+        n_docs=found,
         compounds=lexicon is not None,
         stopped=stopwords is not None,
     )

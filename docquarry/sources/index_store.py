@@ -5,7 +5,9 @@ scoring a (question, document) pair and joining document data needs no shuffle.
 Postings are sorted by term inside a bucket: a filter on a few terms skips most
 row groups by their statistics. ``by_term`` holds the postings once more, bucketed by
 cell: a term, or a slice of the documents of a frequent term, with the documents' norms. A
-single query names its cells, so only their buckets are opened. ``terms`` is bucketed by
+single query names its cells, so only their buckets are opened. As this is the only other
+copy of the postings that is shuffled, it is written when it is first asked for, unless
+the index is to last. ``terms`` is bucketed by
 term and sorted, in small row groups: the words of a query are looked up in their buckets.
 The other tables are plain Parquet; ``bounds`` has the largest share of each frequent term by length of the documents,
 ``lexicon`` and ``stopwords`` are what the texts were prepared with, for the questions to come.
@@ -19,10 +21,15 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, replace
+from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docquarry.operators.joins import lookup
+from docquarry.sources.shared import new_path
+
 BUCKETED = {
     "documents": ("doc_id BIGINT, tokens ARRAY<STRING>, dl BIGINT", "doc_id"),
     "postings": (
@@ -59,12 +66,12 @@ class Index:
     documents: DataFrame
     postings: DataFrame
     norms: DataFrame
-    by_term: DataFrame
     terms: DataFrame
     bounds: DataFrame
     corpus: DataFrame
     lexicon: DataFrame
     stopwords: DataFrame
+    cells: DataFrame | None  # ``by_term``, if it is written
     path: str
     buckets: int
     n_docs: int
@@ -75,6 +82,14 @@ class Index:
     def spark(self) -> SparkSession:
         return self.corpus.sparkSession
 
+    @cached_property
+    def by_term(self) -> DataFrame:
+        """Postings by cell; written at the first use, to a folder of their own, where the
+        index at rest has none."""
+        if self.cells is not None:
+            return self.cells
+        return save_cells(self.postings, self.norms, self.terms, new_path(self.spark, "cells"), self.buckets)
+
     @property
     def bucket_norms(self) -> DataFrame:
         """Norms for joins inside buckets.
@@ -133,26 +148,50 @@ def save_bucketed(df: DataFrame, path: str, table: str, buckets: int) -> DataFra
     return _resolved(df.sparkSession, name)
 
 
+def save_cells(posting_rows: DataFrame, norms: DataFrame, terms: DataFrame, path: str, buckets: int) -> DataFrame:
+    """Postings (cell, term, doc_id, tf, dl, l2) by cell, written."""
+    sliced = terms.select("term", "df", n_slices(F.col("df")).alias("slices"))
+    counts = posting_rows.select("doc_id", "term", "tf", "dl").join(norms, "doc_id")
+    placed = lookup(counts, sliced, ["term"], weight="df")
+    cell = cell_of(F.col("term"), F.pmod(F.xxhash64("doc_id"), F.col("slices")))
+    # the cell, a hash that does not compress, is not shuffled but computed again
+    rows = placed.select("term", "doc_id", "tf", "dl", "l2", F.col("slices").cast("int").alias("slices"))
+    rows = rows.repartition(buckets, cell).select(cell.alias("cell"), "term", "doc_id", "tf", "dl", "l2")
+    return save_bucketed(rows, path, "by_term", buckets)
+
+
 def save_plain(df: DataFrame, path: str, table: str) -> DataFrame:
     df.write.parquet(f"{path}/{table}")
     return df.sparkSession.read.schema(PLAIN[table]).parquet(f"{path}/{table}")
 
 
 def save_index(index: Index, path: str) -> Index:
-    """Copy an index to another place, keeping its bucketing."""
+    """Copy an index to another place, whole and keeping its bucketing."""
     kept = {
         table: save_bucketed(getattr(index, table), path, table, index.buckets)
         for table in BUCKETED
+        if table != "by_term"
     }
     kept |= {table: save_plain(getattr(index, table), path, table) for table in PLAIN}
-    return replace(index, **kept, path=path)
+    if "by_term" in vars(index) or index.cells is not None:
+        cells = save_bucketed(index.by_term, path, "by_term", index.buckets)
+    else:
+        cells = save_cells(index.postings, index.norms, index.terms, path, index.buckets)
+    return replace(index, **kept, cells=cells, path=path)
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
     """Open a stored index."""
     tables = {t: spark.read.schema(s).parquet(f"{path}/{t}") for t, s in PLAIN.items()}
     stats = tables["corpus"].first()
+    try:
+        spark.read.parquet(f"{path}/by_term")
+        written = True
+    except AnalysisException:  # there are none: a table over an absent folder would be empty
+        written = False
     for table, (schema, order) in BUCKETED.items():
+        if table == "by_term" and not written:
+            continue
         name, key = _new_name(table), BUCKET_KEY.get(table, "doc_id")
         location = f"{path}/{table}".replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
@@ -162,7 +201,8 @@ def open_index(spark: SparkSession, path: str) -> Index:
         )
         tables[table] = _resolved(spark, name)
     return Index(
-        **tables,
+        **{table: df for table, df in tables.items() if table != "by_term"},
+        cells=tables.get("by_term"),
         path=path,
         buckets=stats.buckets,
         n_docs=stats.n_docs,

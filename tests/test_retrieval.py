@@ -12,7 +12,7 @@ from docquarry.operators.corpus import clean, drop_stopwords, words
 from docquarry.operators.joins import lookup
 from docquarry.operators.questions import question_tokens, question_vectors
 from docquarry.plans.indexing import bucket_count, build_index, prepare_documents
-from docquarry.plans.retrieval import rank, retrieve, retrieve_bm25
+from docquarry.plans.retrieval import rank, retrieve, retrieve_bm25, vectors_of
 from docquarry.plans.workspace import KEYS, Workspace, workspace
 from docquarry.registry import queries
 from docquarry.sources import index_store
@@ -170,6 +170,41 @@ def test_no_tables_are_left_in_the_catalog(spark, toy):
     assert len(spark.catalog.listTables()) == before
 
 
+def test_postings_by_cell_are_written_when_they_are_needed(spark, monkeypatch):
+    """Not for rankings of all questions and candidates, whichever way; for one question, and
+    in an index that is to last."""
+    docs = spark.createDataFrame([(i, f"common w{i % 7} w{i}") for i in range(90)], "doc_id long, text string")
+    written, save = [], index_store.save_bucketed
+    monkeypatch.setattr(index_store, "save_bucketed", lambda *a: written.append(a[1:3]) or save(*a))
+    index = build_index(docs)
+    asked = ask(spark, "common w3", "w1 w50")
+    for score_all in (0, 10**15):
+        assert rank(index, asked, ["qid"], k=3, score_all=score_all).count() == 12
+    vectors, small = vectors_of(index, asked, ["qid"])
+    assert ranking.candidates(index, vectors, ["qid"], small).count() == 103
+    assert not written and index.cells is None
+    again = open_index(spark, index.path)
+    want = tuples(retrieve_bm25(index, "w1 common"))
+    assert tuples(retrieve_bm25(index, "w1 common")) == want == tuples(retrieve_bm25(again, "w1 common"))
+    assert [table for _, table in written] == ["by_term"] * 2  # each index once, in folders of their own
+    assert len(set(written)) == 2
+    path = new_path(spark, "lasting")
+    lasting = build_index(docs, path)
+    whole = tuples(index.by_term)
+    for kept in (lasting, save_index(open_index(spark, index.path), new_path(spark, "copy"))):
+        opened = open_index(spark, kept.path)
+        assert opened.cells is not None and tuples(opened.by_term) == whole
+
+
+def test_bounds_take_no_shuffle_of_postings(spark):
+    """Only the largest shares of each bucket are shuffled."""
+    docs = spark.createDataFrame([(i, "common words " * 9) for i in range(200)], "doc_id long, text string")
+    index = build_index(docs)
+    found = postings.bounds(index.postings, index.norms, index.terms, index.n_docs)
+    assert len(exchanges(found)) == 1
+    assert {r.term for r in found.collect()} == {"common", "words"}
+
+
 def test_questions_are_prepared_like_the_index(spark):
     texts = ["new york city hall", "old york town", "new shoes"]
     docs = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
