@@ -20,6 +20,7 @@ whoever chose the folder removes it.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import cached_property
 
@@ -45,6 +46,7 @@ BUCKETED = {
 }
 BUCKET_KEY = {"by_term": "cell", "terms": "term"}
 ROW_GROUP_BYTES = {"terms": 1 << 20}  # a look-up reads a few row groups of one bucket
+AUTO_SCAN = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
 SLICE_POSTINGS = 4_000_000  # of one term in one cell
 PLAIN = {
     "bounds": "term STRING, class INT, max_tf BIGINT, min_dl BIGINT, max_share DOUBLE",
@@ -134,17 +136,31 @@ def _new_name(table: str) -> str:
     return f"docquarry_{table}_{uuid.uuid4().hex}"
 
 
+@contextmanager
+def whole_buckets(spark: SparkSession):
+    """Bucketed tables are scanned a bucket a task, also where no join or grouping asks for
+    it. Spark packs their files into tasks of 128 MB then, whose rows, sorted for the next
+    table, spill."""
+    before = spark.conf.get(AUTO_SCAN)
+    spark.conf.set(AUTO_SCAN, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(AUTO_SCAN, before)
+
+
 def save_bucketed(df: DataFrame, path: str, table: str, buckets: int) -> DataFrame:
     name = _new_name(table)
-    (
+    writer = (
         df.write.format("parquet")
         .bucketBy(buckets, BUCKET_KEY.get(table, "doc_id"))
         .sortBy(BUCKETED[table][1])
         .option("path", f"{path}/{table}")
         .option("compression", "zstd")
         .options(**{"parquet.block.size": size for name, size in ROW_GROUP_BYTES.items() if name == table})
-        .saveAsTable(name)
     )
+    with whole_buckets(df.sparkSession):
+        writer.saveAsTable(name)
     return _resolved(df.sparkSession, name)
 
 

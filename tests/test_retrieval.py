@@ -1,6 +1,7 @@
 """Index, statistics and rankings on hand-computed values."""
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -196,6 +197,17 @@ def test_postings_by_cell_are_written_when_they_are_needed(spark, monkeypatch):
         assert opened.cells is not None and tuples(opened.by_term) == whole
 
 
+def test_a_bucket_is_written_by_a_task_of_its_own(spark):
+    """Not packed into a few large tasks, whose sorts spill."""
+    docs = spark.createDataFrame([(i, f"common w{i % 7} w{i}") for i in range(90)], "doc_id long, text string")
+    index = build_index(docs, buckets=16)
+    copy = save_index(index, new_path(spark, "copy"))
+    for table in (index.postings, copy.documents, copy.postings, copy.by_term):
+        tasks = [re.search(r"part-(\d+)", name).group(1) for name in table.inputFiles()]
+        assert len(set(tasks)) == len(tasks) >= 12
+    assert spark.conf.get(index_store.AUTO_SCAN) == "true"
+
+
 def test_bounds_take_no_shuffle_of_postings(spark):
     """Only the largest shares of each bucket are shuffled."""
     docs = spark.createDataFrame([(i, "common words " * 9) for i in range(200)], "doc_id long, text string")
