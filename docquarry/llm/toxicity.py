@@ -8,8 +8,8 @@ number of rows and the share of toxic ones. (By idf alone, the nearest rows to a
 are those of its subject.) The examples stand in an inverted index whose postings are cut
 into blocks of examples with the largest weight of each term in each block. For a text, the
 blocks' upper bounds order them, and blocks that cannot hold one of the k nearest are never
-opened; where most could, all postings of the text's terms are added up in one go. The k
-nearest are exact either way. They vote with a weight that falls with distance; the votes,
+opened; where most could, all postings of the text's terms are added up in one go, those of
+the most frequent terms as a product over several texts. The k nearest are exact either way. They vote with a weight that falls with distance; the votes,
 smoothed with the prior, are the score, and the neighbours are the evidence.
 
 Term statistics are counted over all labelled rows. The examples are a bounded sample
@@ -48,6 +48,8 @@ OPENED = 4  # blocks opened before the others' bounds are looked at
 # largest one, hardly any block could be left shut, and all postings are added up at once.
 FLAT = 0.4
 COMMON = 32  # a term of more than one example in so many is common
+DENSE = 256  # most frequent terms, whose weights also stand in a table of all examples
+TOGETHER = 256  # texts whose most frequent terms are added up in one product
 EVIDENCE = "array<struct<doc_id:bigint,similarity:double,toxic:int>>"
 
 
@@ -100,8 +102,22 @@ class Index:
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int):
         """Examples and cosines of the k nearest, exact."""
+        return self.nearest_each([(terms, weights)], k)[0]
+
+    def nearest_each(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list:
+        """``nearest`` of several texts; those that blocks do not help share a product."""
+        found = [self._by_blocks(terms, weights, k) for terms, weights in vectors]
+        rest = [i for i, f in enumerate(found) if f is None]
+        for start in range(0, len(rest), TOGETHER):
+            part = rest[start : start + TOGETHER]
+            for i, answer in zip(part, self._by_all([vectors[i] for i in part], k)):
+                found[i] = answer
+        return found
+
+    def _by_blocks(self, terms: np.ndarray, weights: np.ndarray, k: int):
+        """The k nearest from the blocks that can hold one; None where most blocks can."""
         if self._flat(terms, weights):
-            return self._best(self._all(terms, weights), k)
+            return None
         first, last = self.starts[terms], self.starts[terms + 1]
         entry = _spans(first, last)
         if not len(entry):
@@ -121,14 +137,32 @@ class Index:
         sums = opened(now)
         more = (bounds > 0) & (bounds >= _kth(sums, k) - 1e-9) & ~now
         if 4 * more.sum() > len(bounds):
-            sums = self._all(terms, weights)
-        elif more.any():
+            return None
+        if more.any():
             sums += opened(more)
-        return self._best(sums, k)
-
-    def _best(self, sums: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         rows = np.flatnonzero((sums > 0) & (sums >= _kth(sums, k) - 1e-9))
-        scores = sums[rows]
+        return self._best(rows, sums[rows], k)
+
+    def _by_all(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int):
+        """The k nearest from all postings: the most frequent terms of all ``vectors`` in one
+        product in single precision, whose error is bounded, the others by their postings.
+        What can be among the k nearest is added up again in double precision."""
+        place, dense, single = self._dense
+        asked = np.zeros((len(vectors), dense.shape[1]))
+        rare = []
+        for row, (terms, weights) in zip(asked, vectors):
+            at = place[terms]
+            own = at >= 0
+            row[at[own]] = weights[own]
+            rare.append((terms[~own], weights[~own]))
+        margin = (2 * dense.shape[1] + 16) * 2.0**-24  # both vectors have a length of 1 at most
+        for row, (terms, weights), rough in zip(asked, rare, asked.astype(np.float32) @ single.T):
+            sums = self._all(terms, weights)
+            rough += sums
+            near = np.flatnonzero((rough > 0) & (rough >= _kth(rough, k) - 2 * margin))
+            yield self._best(near, (dense[near] * row).sum(1) + sums[near], k)
+
+    def _best(self, rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         best = np.lexsort((self.ids[rows].astype(np.int64), -np.round(scores, 12)))[:k]
         return rows[best], np.minimum(scores[best], 1.0)
 
@@ -153,14 +187,26 @@ class Index:
         quarter = -(len(bounds) // 4) - 1
         return bool(np.partition(bounds, quarter)[quarter] > FLAT * bounds.max())
 
+    @cached_property
+    def _dense(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place of each of the most frequent terms (-1: not one), and all examples' weights of
+        them, in double and in single precision."""
+        df = self.cuts[self.starts[1:]] - self.cuts[self.starts[:-1]]
+        frequent = np.argsort(-df, kind="stable")[:DENSE]
+        place = np.full(len(df), -1)
+        place[frequent] = np.arange(len(frequent))
+        dense = np.zeros((len(self.ids), len(frequent)))
+        for column, term in enumerate(frequent):
+            entries = slice(self.cuts[self.starts[term]], self.cuts[self.starts[term + 1]])
+            dense[self.rows[entries], column] = self.weights[entries]
+        return place, dense, dense.astype(np.float32)
+
     def _all(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """The cosines with all examples. A term's postings lie side by side."""
+        """What the terms add to the cosines with all examples."""
         at, end = self.cuts[self.starts[terms]], self.cuts[self.starts[terms + 1]]
-        slices = [slice(a, b) for a, b in zip(at.tolist(), end.tolist())]
-        rows = np.concatenate([self.rows[s] for s in slices])
-        parts = np.concatenate([self.weights[s] for s in slices])
-        parts *= np.repeat(weights, end - at)
-        return np.bincount(rows, parts, minlength=len(self.ids))
+        postings = _spans(at, end)
+        parts = self.weights[postings] * np.repeat(weights, end - at)
+        return np.bincount(self.rows[postings], parts, minlength=len(self.ids))
 
     def score(self, rows: np.ndarray, cosines: np.ndarray, smoothing: float = 1.0) -> float:
         """Votes of the neighbours, weighted by closeness; a close one counts most."""
@@ -325,21 +371,23 @@ def score(docs: DataFrame, index: Index, k: int = 15) -> DataFrame:
         known: dict[bytes, tuple] = {}  # copies need one search
         for batch in batches:
             scores, evidence = [], []
-            for text in batch.column(batch.schema.get_field_index("text")):
-                terms, weights = index.vector(text.as_py())
-                key = blake2b(terms.tobytes() + weights.tobytes(), digest_size=16).digest()
-                if key not in known:
-                    if len(known) >= keep:
-                        known.clear()
-                    rows, cosines = index.nearest(terms, weights, k)
+            texts = batch.column(batch.schema.get_field_index("text"))
+            for start in range(0, len(texts), TOGETHER):
+                vectors = [index.vector(text.as_py()) for text in texts[start : start + TOGETHER]]
+                keys = [blake2b(t.tobytes() + w.tobytes(), digest_size=16).digest() for t, w in vectors]
+                if len(known) >= keep:
+                    known.clear()
+                new = {key: vector for key, vector in zip(keys, vectors) if key not in known}
+                for key, (rows, cosines) in zip(new, index.nearest_each(list(new.values()), k)):
                     told = [
                         {"doc_id": index.ids[r], "similarity": float(c), "toxic": int(index.toxic[r])}
                         for r, c in zip(rows, cosines)
                     ]
                     known[key] = (index.score(rows, cosines), told)
-                value, told = known[key]
-                scores.append(value)
-                evidence.append(told)
+                for key in keys:
+                    value, told = known[key]
+                    scores.append(value)
+                    evidence.append(told)
             kind = pa.list_(
                 pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())])
             )

@@ -224,6 +224,38 @@ def test_block_max_search_is_exact(monkeypatch, flat):
         assert np.allclose(cosines[: positive.sum()], whole[want][positive])
 
 
+def test_frequent_terms_share_a_product_and_ranks_stay_exact(monkeypatch):
+    """Cosines closer than single precision tells apart, and no posting of a frequent term
+    looked at when all are added up."""
+    monkeypatch.setattr(toxicity, "FLAT", 0.0)
+    monkeypatch.setattr(toxicity, "DENSE", 4)
+    monkeypatch.setattr(toxicity, "TOGETHER", 8)
+    names, rare = ["ta", "tb", "tc", "td"], [f"r{chr(97 + i)}" for i in range(20)]
+    n = 400
+    terms = np.array([[0, 1, 2, 3, 4 + i % 20] for i in range(n)]).ravel()
+    counts = np.array([[10**6 + i, 3, 2, 1 + i % 2, 1] for i in range(n)]).ravel()
+    example = np.repeat(np.arange(n), 5)
+    gain = np.linspace(1, 2, 24)
+    index = toxicity.arrange(
+        {t: i for i, t in enumerate(names + rare)}, gain, example, terms, counts,
+        np.arange(n).astype(object), np.zeros(n), {0: 1.0}, 0.5, 0.5,
+    )
+    dense = np.zeros((n, 24))
+    dense[example, terms] = (1 + np.log(counts)) * gain[terms]
+    dense /= np.linalg.norm(dense, axis=1)[:, None]
+    dense = dense[index.ids.astype(int)]
+    looked, add = [], toxicity.Index._all
+    monkeypatch.setattr(toxicity.Index, "_all", lambda self, t, w: looked.extend(t) or add(self, t, w))
+    asked = [index.vector(" ".join(names[: 1 + i % 4] + [rare[i]])) for i in range(20)] + [index.vector("ta")]
+    asked.append(index.vector(""))
+    for (where, weights), (got, cosines) in zip(asked, index.nearest_each(asked, 15)):
+        whole = dense[:, where] @ weights
+        want = np.lexsort((index.ids.astype(int), -np.round(whole, 12)))[: 15 if len(where) else 0]
+        assert got.tolist() == want.tolist() and np.allclose(cosines, whole[want], atol=1e-13, rtol=0)
+        assert np.array_equal(index.nearest(where, weights, 15)[1], cosines)  # alone or with others
+    assert looked and min(looked) >= 4
+
+
 def test_ties_at_the_last_place_go_to_the_smaller_id(spark):
     rows = [(1, "bb"), (2, "aa"), (3, "aa bb"), (4, "bb"), (5, "aa")]
     labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
