@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.sources.shared import materialise
@@ -53,25 +53,69 @@ RULES = (
 SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
 PIECES = "array<struct<gap:int,len:int,kept:boolean>>"
 
+# Matches that are added up in one go: an array that grows by one is copied each time.
+BLOCK = 256
+
 
 def _pieces(text: Column, rule: Rule) -> Column:
     """For each match: length of the text before it since the last one, its own
-    length, and whether it is long enough. Two passes, only over texts that match."""
+    length, and whether it is long enough. Three passes, only over texts that match;
+    the arrays are zipped, as a lambda that looks into them makes them anew each time."""
     pattern = F.lit(rule.pattern)
-    gaps = F.split(text, rule.pattern, -1)
+    gaps = F.split(text, rule.pattern, -1)  # one more than matches
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     tested = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    lengths = F.transform(
+    matches = F.zip_with(
         found,
-        lambda match, i: F.struct(
-            F.length(F.get(gaps, i)).alias("gap"),
-            F.length(match).alias("len"),
-            (F.length(F.get(tested, i)) >= rule.least).alias("kept"),
+        tested,
+        lambda match, part: F.struct(
+            F.length(match).alias("len"), (F.length(part) >= rule.least).alias("kept")
+        ),
+    )
+    lengths = F.filter(
+        F.zip_with(
+            gaps,
+            matches,
+            lambda gap, match: F.struct(
+                F.length(gap).alias("gap"), match["len"].alias("len"), match["kept"].alias("kept")
+            ),
         ),
+        lambda piece: piece["len"].isNotNull(),
     )
     return F.when(text.rlike(rule.pattern), lengths).otherwise(F.array()).cast(PIECES)
 
 
+def _spans(pieces: Column, kind: Column) -> Column:
+    """The spans of the pieces that are long enough, in their order. Places are added up
+    within blocks first, then over blocks, so that many matches of one text take neither
+    a sort nor time that grows with their square."""
+    last = F.floor((F.size(pieces) - 1) / F.lit(BLOCK)).cast("int")
+    blocks = F.when(F.size(pieces) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+
+    def start(kind_of: str) -> Column:
+        return F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(kind_of).alias("spans"))
+
+    def add(done, piece):
+        begin = done["at"] + piece["gap"]
+        end = begin + piece["len"]
+        span = F.array(F.struct(begin.alias("start"), kind.alias("kind"), end.alias("end"))).cast(SPANS)
+        spans = F.when(piece["kept"], F.concat(done["spans"], span)).otherwise(done["spans"])
+        return F.struct(end.alias("at"), spans.alias("spans"))
+
+    def place(done, block):
+        moved = F.transform(
+            block["spans"],
+            lambda s: F.struct(
+                (s["start"] + done["at"]).alias("start"), s["kind"].alias("kind"), (s["end"] + done["at"]).alias("end")
+            ),
+        )
+        spans = F.concat(done["spans"], F.array(moved.cast(SPANS)))
+        return F.struct((done["at"] + block["at"]).alias("at"), spans.alias("spans"))
+
+    summed = F.transform(blocks, lambda b: F.aggregate(F.slice(pieces, b * BLOCK + 1, BLOCK), start(SPANS), add))
+    return F.aggregate(summed, start(f"array<{SPANS}>"), place, lambda done: F.flatten(done["spans"]))
+
+
 def address(versions: DataFrame) -> DataFrame:
     """(path, version, blob, content): contents by their SHA-256."""
     content = F.coalesce(F.col("content"), F.lit(""))
@@ -111,23 +155,8 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules=RULES) -> D
         ]
     )
     rows = blobs.select("blob", F.explode(F.filter(scanned, lambda s: s.isNotNull())).alias("s"))
-    rows = materialise(rows.select("blob", "s.*"), "scanned")
-    order = Window.partitionBy("blob", "rule").orderBy("pos")
-    match = rows.filter(F.size("pieces") > 0).select(
-        "blob", "rule", "kind", F.posexplode("pieces").alias("pos", "piece")
-    )
-    match = match.withColumn("end", F.sum(F.col("piece.gap") + F.col("piece.len")).over(order))
-    span = F.struct((F.col("end") - F.col("piece.len")).alias("start"), "kind", "end")
-    spans = (
-        match.filter("piece.kept")
-        .groupBy("blob", "rule")
-        .agg(F.sort_array(F.collect_list(span)).cast(SPANS).alias("spans"))
-    )
-    none = F.array().cast(SPANS)
-    entries = rows.select("blob", "rule").join(spans, ["blob", "rule"], "left")
-    return materialise(
-        entries.withColumn("spans", F.coalesce("spans", none)), "secret-ledger"
-    )
+    entries = rows.select("blob", "s.rule", _spans(F.col("s.pieces"), F.col("s.kind")).alias("spans"))
+    return materialise(entries, "secret-ledger")
 
 
 def spans_by_blob(ledger: DataFrame, rules=RULES) -> DataFrame:
