@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docquarry.operators.joins import fits
 from docquarry.sources.shared import materialise
 
 
@@ -171,8 +172,12 @@ def spans_by_blob(ledger: DataFrame, rules=RULES) -> DataFrame:
 
 
 def findings(versions: DataFrame, ledger: DataFrame, rules=RULES) -> DataFrame:
-    """(path, version, blob, spans) of every version, from the ledger's rows."""
-    held = address(versions).drop("content").join(spans_by_blob(ledger, rules), "blob", "left")
+    """(path, version, blob, spans) of every version, from the ledger's rows. Versions
+    stay where they are read, unless the blobs with findings are many."""
+    found = spans_by_blob(ledger, rules)
+    if fits(found.select("blob", F.inline("spans"))):
+        found = F.broadcast(found)
+    held = address(versions).drop("content").join(found, "blob", "left")
     return held.select(
         "path", "version", "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans")
     )

@@ -489,6 +489,22 @@ def test_scan_writes_one_table_after_one_shuffle(spark, monkeypatch):
     assert "Window" not in plan and "Join" not in plan
 
 
+def test_findings_leave_versions_where_they_are(spark, setting):
+    # before, all versions were shuffled and sorted to meet a few blobs
+    rows = versions(spark, [(i, 1, "token=abcdef" if i % 9 == 0 else f"plain {i % 5}") for i in range(99)] + [(None, 2, None)])
+    ledger = secrets.scan(rows)
+    with setting("spark.sql.autoBroadcastJoinThreshold", -1):
+        near = secrets.findings(rows, ledger)
+        plans = [near._jdf.queryExecution().executedPlan().toString()]
+        with setting("docquarry.broadcastBytes", 1):
+            far = secrets.findings(rows, ledger)
+        plans.append(far._jdf.queryExecution().executedPlan().toString())
+    assert ["BroadcastHashJoin" in plan for plan in plans] == [True, False]
+    assert ["SortMergeJoin" in plan for plan in plans] == [False, True]
+    assert tuples(near) == tuples(far)
+    assert [len(r.spans) for r in near.orderBy("path").collect()] == [0] + [int(i % 9 == 0) for i in range(99)]
+
+
 def test_ledger_scans_only_what_it_lacks(spark):
     one = versions(spark, [(1, 1, "token=abcdef"), (2, 1, "token=abcdef"), (None, 1, "plain")])
     first = secrets.scan(one)
