@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docquarry.functions import weights
+from docquarry.operators.blocks import token_blocks
 from docquarry.operators.joins import lookup
 
 
@@ -15,25 +20,45 @@ def with_length(tokens: DataFrame) -> DataFrame:
 
 
 def postings(documents: DataFrame) -> DataFrame:
-    """(doc_id, term, tf, dl, positions), grouped by term within a document.
+    """(doc_id, term, tf, dl, positions), one row per document and term.
 
-    The tokens of a document are sorted inside its array and cut into runs of equal ones,
-    so no row is made per occurrence and no task holds more than a document.
+    The tokens of a block of documents are sorted by word and document as numbers and cut
+    into runs of equal ones, so no row is made per occurrence and no task holds more than a
+    block, or a document that is longer. A block comes in the order of its terms, which a
+    sort of the rows by term has only to merge.
     """
-    placed = F.transform("tokens", lambda token, i: F.struct(token.alias("token"), i.alias("pos")))
-    rows = documents.filter(F.size("tokens") > 0).select("doc_id", "dl", F.sort_array(placed).alias("placed"))
-    token = lambda i: F.get("placed", i).getField("token")
-    numbers = F.sequence(F.lit(0), F.size("placed") - 1)
-    starts = F.filter(numbers, lambda i: (i == 0) | (token(i) != token(i - 1)))
-    rows = rows.withColumn("starts", starts)
-
-    def run(start: Column, i: Column) -> Column:
-        n = F.coalesce(F.get("starts", i + 1), F.size("placed")) - start
-        where = F.slice("placed", start + 1, n).getField("pos")
-        return F.struct(token(start).alias("term"), n.cast("long").alias("tf"), where.alias("positions"))
-
-    runs = rows.select("doc_id", "dl", F.inline(F.transform("starts", run)))
-    return runs.filter(F.col("term").isNotNull()).select("doc_id", "term", "tf", "dl", "positions")
+    blocks = token_blocks()
+
+    def run(batches):
+        for rows, sizes, numbers, found in blocks(batches):
+            document = np.repeat(np.arange(len(sizes)), sizes)
+            place = np.arange(len(numbers)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            rank = np.full(len(found) + 1, -1)
+            rank[pc.array_sort_indices(found).to_numpy()] = np.arange(len(found))
+            key = rank[numbers] * len(sizes) + document
+            order = np.argsort(key, kind="stable")
+            order = order[numbers[order] >= 0]
+            starts = np.flatnonzero(np.diff(key[order], prepend=-1))
+            cuts = np.append(starts, len(order))
+            first = order[starts]
+            owner = pa.array(document[first])
+            columns = [
+                rows.column("doc_id").take(owner),
+                found.take(pa.array(numbers[first])),
+                pa.array(np.diff(cuts)),
+                rows.column("dl").take(owner),
+                pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(place[order], pa.int32())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "term", "tf", "dl", "positions"])
+
+    made = [
+        documents.schema["doc_id"],
+        T.StructField("term", T.StringType()),
+        T.StructField("tf", T.LongType()),
+        documents.schema["dl"],
+        T.StructField("positions", T.ArrayType(T.IntegerType())),
+    ]
+    return documents.select("doc_id", "dl", "tokens").mapInArrow(run, T.StructType(made))
 
 
 def vocabulary(posting_rows: DataFrame) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.operators import postings as ops
-from docquarry.operators.compounds import token_arrays
+from docquarry.operators.compounds import token_arrays, token_arrays_of
 from docquarry.operators.corpus import clean, one_row_per_id
-from docquarry.sources.index_store import Index, save_bucketed, save_cells, save_plain
+from docquarry.sources.index_store import Index, in_buckets, save_bucketed, save_cells, save_plain
 from docquarry.sources.shared import new_path
 
 BUCKET_SETTING = "docquarry.bucketBytes"
@@ -50,6 +50,7 @@ def build_index(
     lexicon: DataFrame | None = None,
     stopwords: DataFrame | None = None,
     unique_ids: bool = False,
+    words: DataFrame | None = None,
 ) -> Index:
     """Build and store all index tables of ``docs(doc_id, text)``.
 
@@ -58,7 +59,8 @@ def build_index(
     of the caller's ``path`` is whole; one in the shared folder gets its postings by cell,
     which not every use needs, when they are first asked for.
     ``unique_ids`` vouches for one row per document and skips the check. The bucket
-    count follows from the texts' size unless ``buckets`` sets it.
+    count follows from the texts' size unless ``buckets`` sets it. ``words``, if at hand, are
+    all words of the cleaned texts, a written table in as many buckets.
     """
     spark = docs.sparkSession
     lasting, path = path is not None, path or new_path(spark, "index")
@@ -79,7 +81,8 @@ def build_index(
     def store(df: DataFrame, table: str) -> DataFrame:
         return save_bucketed(df, path, table, buckets)
 
-    documents = store(prepare_documents(docs, buckets, **used), "documents")
+    made = prepare_documents(docs, buckets, **used) if words is None else ops.with_length(token_arrays_of(words, **used))
+    documents = store(made, "documents")
     stats = ops.corpus_stats(documents).withColumns(
         {
             "buckets": F.lit(buckets),
@@ -94,7 +97,7 @@ def build_index(
     terms = store(ops.term_stats(counts, n_docs).repartition(buckets, "term"), "terms")
     norms = store(ops.document_norms(ops.tfidf(counts, terms)), "norms")
     found = corpus.first().n_docs
-    limits = ops.bounds(counts, norms, terms, found).sortWithinPartitions("term")
+    limits = ops.bounds(counts, in_buckets(norms, found, buckets), terms, found).sortWithinPartitions("term")
     return Index(
         documents,
         posting_rows,

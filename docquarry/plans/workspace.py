@@ -26,8 +26,8 @@ from docquarry.operators.metrics import judged_questions
 from docquarry.operators.postings import document_frequency
 from docquarry.plans.indexing import bucket_count, build_index, measure_texts
 from docquarry.plans.retrieval import rank
-from docquarry.sources.index_store import Index
-from docquarry.sources.shared import materialise
+from docquarry.sources.index_store import Index, save_bucketed, whole_buckets
+from docquarry.sources.shared import materialise, new_path
 from docquarry.sources.tables import CORPUS_SCHEMA, read_table, spread
 
 KEYS = ["split", "qid"]
@@ -61,16 +61,26 @@ class Workspace:
 
     def pairs_counted(self) -> DataFrame:
         """(t1, t2, n) of frequent pairs of words; tasks of the first count are bounded."""
-        as_read = words(clean(self.spread_corpus()))
-        return learn_lexicon(words(self.placed_corpus()), LEXICON_COUNT, again=as_read)
+        with whole_buckets(self.spark):
+            return learn_lexicon(self.placed_words, LEXICON_COUNT, slots=self.buckets)
 
     def spread_corpus(self) -> DataFrame:
         return spread(self.corpus(), self.input_bytes, "doc_id")
 
     def placed_corpus(self) -> DataFrame:
         """Cleaned texts, partitioned by document as in an index."""
-        size, _ = measure_texts(self.corpus(), unique_ids=True)
-        return clean(self.corpus()).repartition(bucket_count(self.spark, size), "doc_id")
+        return clean(self.corpus()).repartition(self.buckets, "doc_id")
+
+    @cached_property
+    def buckets(self) -> int:
+        return bucket_count(self.spark, measure_texts(self.corpus(), unique_ids=True)[0])
+
+    @cached_property
+    def placed_words(self) -> DataFrame:
+        """(doc_id, tokens): all words of the cleaned texts, as a written table bucketed as
+        an index is. The lexicon and the indexes with compounds read it."""
+        placed = words(self.placed_corpus())
+        return save_bucketed(placed, new_path(self.spark, "words"), "documents", self.buckets)
 
     def questions(self) -> DataFrame:
         """(split, qid, question): the whole passages."""
@@ -123,14 +133,18 @@ class Workspace:
 
     @cached_property
     def compound_index(self) -> Index:
-        return build_index(self.corpus(), unique_ids=True, lexicon=self.lexicon)
+        return build_index(self.corpus(), unique_ids=True, lexicon=self.lexicon, **self._words)
 
     @cached_property
     def stopped_index(self) -> Index:
         return build_index(
-            self.corpus(), unique_ids=True, lexicon=self.lexicon, stopwords=self.stopwords
+            self.corpus(), unique_ids=True, lexicon=self.lexicon, stopwords=self.stopwords, **self._words
         )
 
+    @property
+    def _words(self) -> dict:
+        return {"words": self.placed_words, "buckets": self.buckets}
+
     @cached_property
     def lexicon(self) -> DataFrame:
         """(t1, t2, n) as a written table."""

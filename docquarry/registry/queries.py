@@ -173,7 +173,7 @@ def stopwords_load(ws: Workspace) -> DataFrame:
 
 @query
 def tokens_compound(ws: Workspace) -> DataFrame:
-    joined = compounds.join_compounds(corpus.words(ws.placed_corpus()), ws.lexicon)
+    joined = compounds.join_compounds(ws.placed_words, ws.lexicon)
     return token_rows(corpus.keep_valid(joined))
 
 

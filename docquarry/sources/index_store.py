@@ -63,6 +63,15 @@ PLAIN = {
 HASHED_NORMS = 2_000_000
 
 
+def in_buckets(norms: DataFrame, n_docs: int, buckets: int) -> DataFrame:
+    """Norms for joins inside buckets.
+
+    While a bucket has few enough documents, its norms are hashed, which spares
+    sorting the other side; otherwise the join sorts and can spill.
+    """
+    return norms.hint("shuffle_hash") if n_docs <= HASHED_NORMS * buckets else norms
+
+
 @dataclass(frozen=True)
 class Index:
     documents: DataFrame
@@ -94,14 +103,7 @@ class Index:
 
     @property
     def bucket_norms(self) -> DataFrame:
-        """Norms for joins inside buckets.
-
-        While a bucket has few enough documents, its norms are hashed, which spares
-        sorting the other side; otherwise the join sorts and can spill.
-        """
-        if self.n_docs <= HASHED_NORMS * self.buckets:
-            return self.norms.hint("shuffle_hash")
-        return self.norms
+        return in_buckets(self.norms, self.n_docs, self.buckets)
 
     @property
     def preparation(self) -> dict[str, DataFrame | None]:

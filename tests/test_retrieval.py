@@ -7,11 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL, tuples
-from docquarry.operators import postings, ranking
+from docquarry.operators import blocks, postings, ranking
 from docquarry.operators.compounds import join_compounds
 from docquarry.operators.corpus import clean, drop_stopwords, words
 from docquarry.operators.joins import lookup
 from docquarry.operators.questions import question_tokens, question_vectors
+from docquarry.plans import indexing
+from docquarry.plans import workspace as workspace_plan
 from docquarry.plans.indexing import bucket_count, build_index, prepare_documents
 from docquarry.plans.retrieval import rank, retrieve, retrieve_bm25, vectors_of
 from docquarry.plans.workspace import KEYS, Workspace, workspace
@@ -263,6 +265,31 @@ def test_postings_are_cut_from_sorted_arrays(spark):
     assert "Aggregate" not in plan_of(rows) and rows.schema["positions"].dataType.simpleString() == "array<int>"
 
 
+def test_postings_come_in_the_order_of_terms(spark, monkeypatch):
+    """The sort of a bucket by term has little left to do; no lambda runs for each token."""
+    docs = [(i, [f"t{(i * 7 + j * 3) % 11}" for j in range(20)]) for i in range(30)]
+    made = spark.createDataFrame(docs, "doc_id long, tokens array<string>").withColumn("dl", F.size("tokens").cast("long"))
+    rows = postings.postings(made.coalesce(1))
+    terms = [r.term for r in rows.select("term").collect()]
+    assert terms == sorted(terms) and "lambda" not in plan_of(rows)
+    want = tuples(rows)
+    monkeypatch.setattr(blocks, "BLOCK_TOKENS", 50)
+    assert tuples(postings.postings(made)) == want
+
+
+def test_words_are_made_once(spark, monkeypatch):
+    """For the lexicon and the index."""
+    made, ws = [], Workspace(spark, SMALL)
+    with monkeypatch.context() as patched:
+        patched.setattr(workspace_plan, "words", lambda cleaned: made.append(1) or words(cleaned))
+        patched.setattr(indexing, "prepare_documents", None)
+        got = ws.compound_index
+    want = build_index(ws.corpus(), lexicon=ws.lexicon)
+    assert made == [1] and got.buckets == want.buckets
+    for table in ("documents", "postings", "terms", "bounds"):
+        assert tuples(getattr(got, table)) == tuples(getattr(want, table))
+
+
 def test_stopwords_and_compounds_need_no_index(spark):
     ws = Workspace(spark, SMALL)
     queries.tokens_compound(ws), ws.stopwords

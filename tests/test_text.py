@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import tuples
 from docquarry.functions import text as t
 from docquarry.functions.fixed import CHARSET_RE, TOKEN_RE
-from docquarry.operators import compounds, corpus
+from docquarry.operators import blocks, compounds, corpus
 from docquarry.sources.tables import read_stopwords
 
 
@@ -168,6 +168,59 @@ def test_compounds_make_no_row_per_word(spark):
     assert "Window" not in plan and "token#" not in plan
 
 
+def test_compounds_stay_with_their_documents(spark, monkeypatch):
+    """No row per pair, no shuffle and no sort; blocks of any size give the same rows."""
+    rng = random.Random(5)
+    data = [(i % 50 or None, rng.choices(["a", "b", "ç", "_"], k=rng.randint(0, 12))) for i in range(120)]
+    data += [(7, None), (7, []), (8, ["a"] * 300)]
+    words = spark.createDataFrame(data, "doc_id long, tokens array<string>")
+    pairs = [("a", "a", 3), ("a", "ç", 2), ("ç", "b", 1), ("_", "a", 1), (None, "a", 9), ("a", "a", 3)]
+    lexicon = spark.createDataFrame(pairs, "t1 string, t2 string, n long")
+    want = sorted([(i, greedy(t or [], {p[:2] for p in pairs})) for i, t in data], key=repr)
+    for most in (500_000, 7):
+        monkeypatch.setattr(blocks, "BLOCK_TOKENS", most)
+        joined = compounds.join_compounds(words, lexicon)
+        assert tuples(joined) == want
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert not any(node in plan for node in ("Join", "Exchange", "Generate", "Sort"))
+        assert dict(tuples(compounds.join_compounds(words.limit(0), lexicon))) == {}
+        assert tuples(compounds.join_compounds(words, lexicon.limit(0))) == sorted([(i, t or []) for i, t in data], key=repr)
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_valid_tokens_of_compounds(spark, setting, limit):
+    """Validity is asked once per word of a block, and is that of a token."""
+    odd = ["a", "ab", "ç", "çé", "ăb", "ăb\n", "ăb\u2028", "ăb\r\n", "ăb\n\n", "ab\n", "", "a b", "ăB", "đ.-", "日本", "e\u0301x", "x" * 50]
+    data = [(i, [w, "x", "y", w, w]) for i, w in enumerate(odd)] + [(99, odd), (100, []), (101, None)]
+    words = spark.createDataFrame(data, "doc_id long, tokens array<string>")
+    lexicon = spark.createDataFrame([("ç", "x", 1), ("x", "y", 1), ("y", "日本", 1)], "t1 string, t2 string, n long")
+    want = tuples(corpus.keep_valid(compounds.join_compounds(words, lexicon)))
+    with setting("docquarry.broadcastBytes", limit):
+        assert tuples(compounds.join_compounds(words, lexicon, only_valid=True)) == want
+    assert tuples(compounds.token_arrays_of(words, lexicon)) == want
+    assert tuples(compounds.token_arrays_of(words)) == tuples(corpus.keep_valid(words))
+
+
+@pytest.mark.parametrize("slots", [1, 5, None])
+def test_pairs_are_counted_by_block(spark, monkeypatch, slots):
+    """Their hashes become no rows, and a pair does not reach over the end of a document."""
+    rng = random.Random(4)
+    data = [(i, rng.choices("abcdefgh", range(8, 0, -1), k=rng.randint(0, 9)) if i % 9 else None) for i in range(400)]
+    words = spark.createDataFrame(data, "doc_id long, tokens array<string>").repartition(3)
+    counts = {}
+    for _, tokens in data:
+        for pair in zip(tokens or [], (tokens or [])[1:]):
+            counts[pair] = counts.get(pair, 0) + 1
+    for most in (500_000, 20):
+        monkeypatch.setattr(blocks, "BLOCK_TOKENS", most)
+        lexicon = compounds.learn_lexicon(words, 20, slots=slots)
+        assert {(r.t1, r.t2): r.n for r in lexicon.collect()} == {p: n for p, n in counts.items() if n >= 20}
+        counted = compounds._frequent_codes(words, 20, 4)
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert "Generate" not in plan and "HashAggregate" not in plan
+    assert compounds.learn_lexicon(words.limit(0), 20).isEmpty()
+
+
 def test_one_row_per_id(spark):
     rows = spark.createDataFrame([(1, "b"), (1, "a"), (2, None)], "doc_id long, text string")
     assert corpus.has_duplicate_ids(rows)
