@@ -69,6 +69,20 @@ def document_frequency(posting_rows: DataFrame) -> DataFrame:
     return posting_rows.groupBy("term").agg(F.count("*").alias("df"))
 
 
+def document_frequency_of(tokens: DataFrame) -> DataFrame:
+    """(term, df) of token arrays, added up by block of documents before they become rows."""
+    blocks = token_blocks()
+
+    def run(batches):
+        for _, sizes, numbers, found in blocks(batches):
+            document = np.repeat(np.arange(len(sizes)), sizes)[numbers >= 0]
+            met = np.unique(document * len(found) + numbers[numbers >= 0]) % max(1, len(found))
+            df = pa.array(np.bincount(met, minlength=len(found)))
+            yield pa.RecordBatch.from_arrays([found, df], ["term", "df"])
+
+    return tokens.select("tokens").mapInArrow(run, "term string, df long").groupBy("term").agg(F.sum("df").alias("df"))
+
+
 def term_stats(posting_rows: DataFrame, n_docs: Column) -> DataFrame:
     """(term, df, idf, bm25_idf)."""
     df = F.col("df")

@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docquarry.functions.text import is_kept
 from docquarry.operators.compounds import learn_lexicon
 from docquarry.operators.containment import containing, documents_of
 from docquarry.operators.corpus import (
@@ -18,12 +19,11 @@ from docquarry.operators.corpus import (
     frequent_terms,
     has_duplicate_ids,
     one_row_per_id,
-    tokenise,
     words,
 )
 from docquarry.operators.joins import broadcast_if_small
 from docquarry.operators.metrics import judged_questions
-from docquarry.operators.postings import document_frequency
+from docquarry.operators.postings import document_frequency_of
 from docquarry.plans.indexing import bucket_count, build_index, measure_texts
 from docquarry.plans.retrieval import rank
 from docquarry.sources.index_store import Index, save_bucketed, whole_buckets
@@ -78,7 +78,7 @@ class Workspace:
     @cached_property
     def placed_words(self) -> DataFrame:
         """(doc_id, tokens): all words of the cleaned texts, as a written table bucketed as
-        an index is. The lexicon and the indexes with compounds read it."""
+        an index is. The lexicon, the stopwords and the indexes with compounds read it."""
         placed = words(self.placed_corpus())
         return save_bucketed(placed, new_path(self.spark, "words"), "documents", self.buckets)
 
@@ -126,8 +126,9 @@ class Workspace:
         if "index" in vars(self):
             terms, n_docs = self.index.terms, self.index.scalar("n_docs")
         else:  # the words that are frequent are known without an index
-            tokens = tokenise(clean(self.spread_corpus()))
-            terms = document_frequency(tokens.select(F.explode(F.array_distinct("tokens")).alias("term")))
+            at_hand = "placed_words" in vars(self)
+            found = self.placed_words if at_hand else words(clean(self.spread_corpus()))
+            terms = document_frequency_of(found).filter(is_kept(F.col("term")))
             n_docs = self.corpus().count()
         return materialise(frequent_terms(terms, n_docs, STOPWORD_SHARE), "stopwords")
 

@@ -278,18 +278,24 @@ def test_postings_come_in_the_order_of_terms(spark, monkeypatch):
 
 
 def test_words_are_made_once(spark, monkeypatch):
-    """For the lexicon and the index."""
+    """For the lexicon, the stopwords and the index that drops them."""
     made, ws = [], Workspace(spark, SMALL)
     with monkeypatch.context() as patched:
         patched.setattr(workspace_plan, "words", lambda cleaned: made.append(1) or words(cleaned))
         patched.setattr(indexing, "prepare_documents", None)
-        got = ws.compound_index
-    want = build_index(ws.corpus(), lexicon=ws.lexicon)
+        got = ws.stopped_index
+    want = build_index(ws.corpus(), lexicon=ws.lexicon, stopwords=ws.stopwords)
     assert made == [1] and got.buckets == want.buckets
     for table in ("documents", "postings", "terms", "bounds"):
         assert tuples(getattr(got, table)) == tuples(getattr(want, table))
 
 
+def test_document_frequency_of_arrays(spark):
+    docs = [(1, ["a", "b", "a"]), (2, None), (3, []), (None, ["b", None]), (1, ["b"])]
+    made = spark.createDataFrame(docs, "doc_id long, tokens array<string>")
+    assert tuples(postings.document_frequency_of(made)) == [("a", 1), ("b", 3)]
+
+
 def test_stopwords_and_compounds_need_no_index(spark):
     ws = Workspace(spark, SMALL)
     queries.tokens_compound(ws), ws.stopwords
